@@ -45,6 +45,10 @@ def with_text_stats(df: DataFrame, text: str = "content") -> DataFrame:
     ``size`` in UTF-8 bytes, ``max_line_length``, ``avg_line_length`` and
     ``alphanum_fraction``. The text is split into lines once; the lengths are kept in a
     narrow integer array from which all line statistics follow.
+
+    The statistics leave through ``inline``, so that a later filter on them is applied to
+    their values. Catalyst would otherwise move it below the projection and split every
+    text again for each comparison.
     """
     body, lengths = F.col(text), F.col("_line_lengths")
     pieces = F.size(lengths)
@@ -53,17 +57,16 @@ def with_text_stats(df: DataFrame, text: str = "content") -> DataFrame:
     average = F.coalesce(
         F.try_divide(total.cast("double"), lines.cast("double")), F.lit(0.0)
     )
+    stats = F.struct(
+        F.octet_length(body).cast("bigint").alias("size"),
+        F.array_max(lengths).cast("bigint").alias("max_line_length"),
+        F.when(body.isNotNull(), average).alias("avg_line_length"),
+        alphanum_fraction(body).alias("alphanum_fraction"),
+    )
     return (
         df.withColumn("_line_lengths", line_lengths(body))
-        .withColumns(
-            {
-                "size": F.octet_length(body).cast("bigint"),
-                "max_line_length": F.array_max(lengths).cast("bigint"),
-                "avg_line_length": F.when(body.isNotNull(), average),
-                "alphanum_fraction": alphanum_fraction(body),
-            }
-        )
-        .drop("_line_lengths")
+        .withColumn("_stats", stats)
+        .select(*df.columns, F.inline(F.array("_stats")))
     )
 
 

@@ -24,6 +24,12 @@ def first_of_each_text(df: DataFrame, order_by: str, text: str = "text") -> Data
 def drop_duplicate_texts(df: DataFrame, order_by: str, text: str = "text") -> DataFrame:
     """Keep the first row of every text, first by the unique column ``order_by``.
 
-    The survivors are joined on that unique column, so no task receives a hot group.
+    The survivors are joined on that unique column, so no task receives a hot group. A table
+    already bucketed by it is not shuffled again.
     """
-    return df.join(first_of_each_text(df, order_by, text), order_by, "left_semi")
+    return keep_listed(df, first_of_each_text(df, order_by, text), order_by)
+
+
+def keep_listed(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
+    """Rows whose ``key`` is listed; the planner decides by size whether to broadcast."""
+    return df.join(listed, key, "left_semi")

@@ -4,6 +4,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from corpuslens.operators.rules import RULE_REASONS, SYNTAX_REASON
+from corpuslens.session import materialize
 
 # Number of blocks the running mean is cut into.
 _BLOCKS = 4096
@@ -48,11 +49,13 @@ def running_mean(
 
     The range of ``order_by`` is cut into a fixed number of blocks. Sums run inside a block
     in parallel, and one small table carries the totals of the blocks before; it never has
-    more than that fixed number of rows.
+    more than that fixed number of rows. The rates, one per chunk, are read three times and
+    therefore written to the checkpoint folder first.
     """
-    low, high = _bounds(rates, order_by)
-    width = F.greatest(F.ceil((high - low + 1) / F.lit(_BLOCKS)), F.lit(1))
-    blocked = rates.withColumn("_block", F.floor((F.col(order_by) - low) / width))
+    rates = materialize(rates)
+    low, high = rates.agg(F.min(order_by), F.max(order_by)).first()
+    width = -(-((high or 0) - (low or 0) + 1) // _BLOCKS)
+    blocked = rates.withColumn("_block", F.expr(f"({order_by} - {low or 0}) div {width}"))
     inside = Window.partitionBy("_block").orderBy(order_by)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
@@ -71,8 +74,3 @@ def running_mean(
         .withColumn("running_rate", mean)
         .select(*rates.columns, "running_rate")
     )
-
-
-def _bounds(df: DataFrame, column: str) -> tuple[Column, Column]:
-    """Smallest and largest value as scalar subqueries."""
-    return df.agg(F.min(column)).scalar(), df.agg(F.max(column)).scalar()

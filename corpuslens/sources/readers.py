@@ -63,7 +63,7 @@ def spread(df: DataFrame) -> DataFrame:
     task. An input of many files, which is the normal case, is returned as it is.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if len(df.inputFiles()) < cores else df
+    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
 
 
 def _scan(spark: SparkSession, path: str | list[str], is_slim: bool) -> DataFrame:
