@@ -1,6 +1,14 @@
 """Curation of source-code and text corpora as Spark DataFrames."""
 
-from corpuslens.operators.rules import TIERS, Thresholds, cascade, kept_only, tier
+from corpuslens.operators.rules import (
+    TIERS,
+    Thresholds,
+    cascade,
+    cascade_text,
+    kept_only,
+    kept_text,
+    tier,
+)
 from corpuslens.plans.curate import LanguageChoice, curate, label_corpus
 from corpuslens.plans.extract import extract
 
@@ -9,9 +17,11 @@ __all__ = [
     "LanguageChoice",
     "Thresholds",
     "cascade",
+    "cascade_text",
     "curate",
     "extract",
     "kept_only",
+    "kept_text",
     "label_corpus",
     "tier",
 ]

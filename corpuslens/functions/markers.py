@@ -41,25 +41,48 @@ MARKERS = {
 }
 
 
+# All markers but a few hold this stem. Text without it needs one search for them, not one each.
+STEM = "enerated"
+
+
 def all_markers(groups: list[str] | None = None) -> list[str]:
     return [m for group in (groups or MARKERS) for m in MARKERS[group]]
 
 
-def is_generated(text: Column, groups: list[str] | None = None) -> Column:
-    """True where the text holds any marker of the given groups (all by default)."""
+def _any_of(text: Column, needles: list[str]) -> Column:
     hit = F.lit(False)
-    for marker in all_markers(groups):
-        hit = hit | F.contains(text, F.lit(marker))
-    return F.coalesce(hit, F.lit(False))
+    for needle in needles:
+        hit = hit | F.contains(text, F.lit(needle))
+    return hit
 
 
-def matching_groups(text: Column) -> Column:
-    """Names of the groups with at least one marker in the text."""
-    found = [F.when(is_generated(text, [group]), F.lit(group)) for group in MARKERS]
-    return F.array_compact(F.array(*found))
+def is_generated(text: Column, groups: list[str] | None = None) -> Column:
+    """True where the text holds any marker of the given groups (all by default)."""
+    wanted = all_markers(groups)
+    with_stem = [m for m in wanted if STEM in m]
+    others = [m for m in wanted if STEM not in m]
+    hit = (F.contains(text, F.lit(STEM)) & _any_of(text, with_stem)) | _any_of(text, others)
+    return F.coalesce(hit, F.lit(False))
 
 
 def matching_markers(text: Column) -> Column:
     """The markers found in the text, in the order of the fixed list."""
+    others = [m for m in all_markers() if STEM not in m]
     found = [F.when(F.contains(text, F.lit(m)), F.lit(m)) for m in all_markers()]
-    return F.array_compact(F.array(*found))
+    possible = F.contains(text, F.lit(STEM)) | _any_of(text, others)
+    none = F.array().cast("array<string>")
+    return F.when(possible, F.array_compact(F.array(*found))).otherwise(none)
+
+
+def groups_of(found: Column) -> Column:
+    """Names of the groups that the markers in an array belong to."""
+    names = [
+        F.when(F.arrays_overlap(found, F.array(*[F.lit(m) for m in listed])), F.lit(group))
+        for group, listed in MARKERS.items()
+    ]
+    return F.array_compact(F.array(*names))
+
+
+def matching_groups(text: Column) -> Column:
+    """Names of the groups with at least one marker in the text."""
+    return groups_of(matching_markers(text))

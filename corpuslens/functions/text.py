@@ -7,14 +7,14 @@ Python pattern. Both are wider than the Java defaults, so the classes are spelle
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-# \R covers CRLF, LF, VT, FF, CR, NEL and the Unicode line and paragraph separators;
-# Python also breaks lines at the three information separators FS, GS and RS.
-LINE_BREAK = r"\R|[\x1c-\x1e]"
+# \v covers LF, VT, FF, CR, NEL and the Unicode line and paragraph separators; Python also
+# breaks lines at the information separators FS, GS and RS. CRLF is made one break before.
+LINE_BREAK = r"[\v\x1c-\x1e]"
 
 # All Unicode white space plus FS, GS, RS and US, which Python counts as white space.
 WHITESPACE = r"(?U)[\s\x1c-\x1f]"
 
-NOT_ALPHANUMERIC = r"[^\p{L}\p{N}]"
+ALPHANUMERIC = r"[\p{L}\p{N}]+"
 
 _UNITS = {"B": 1, "KB": 1024, "MB": 1024**2, "GB": 1024**3}
 
@@ -24,7 +24,12 @@ def line_lengths(text: Column) -> Column:
 
     A trailing line break leaves one empty piece at the end which is not a line.
     """
-    return F.transform(F.split(text, LINE_BREAK), lambda piece: F.length(piece))
+    return F.transform(F.split(_unified(text), LINE_BREAK), lambda piece: F.length(piece))
+
+
+def _unified(text: Column) -> Column:
+    """The text with every line break one character long."""
+    return F.replace(text, F.lit("\r\n"), F.lit("\n"))
 
 
 def max_line_length(text: Column) -> Column:
@@ -33,41 +38,52 @@ def max_line_length(text: Column) -> Column:
 
 
 def alphanum_fraction(text: Column) -> Column:
-    """Share of characters that are letters or numbers, 0 for an empty text."""
-    kept = F.length(F.regexp_replace(text, NOT_ALPHANUMERIC, ""))
+    """Share of characters that are letters or numbers, 0 for an empty text.
+
+    Removing whole runs of them and counting what is left copies less than keeping them.
+    """
+    kept = F.length(text) - F.length(F.regexp_replace(text, ALPHANUMERIC, ""))
     share = F.try_divide(kept.cast("double"), F.length(text).cast("double"))
     return F.when(text.isNotNull(), F.coalesce(share, F.lit(0.0)))
 
 
-def with_text_stats(df: DataFrame, text: str = "content") -> DataFrame:
-    """Add the four statistics the quality rules read.
+def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
+    """Add costly columns in a way that later filters use their values.
+
+    Catalyst moves a filter below the projection it refers to and would then evaluate the
+    expressions once for the filter, once per comparison, and again for the output. A filter
+    on generated columns stays above the generator.
+    """
+    together = F.struct(*[column.alias(name) for name, column in columns.items()])
+    return df.withColumn("_settled", together).select(
+        *df.columns, F.inline(F.array("_settled"))
+    )
 
-    ``size`` in UTF-8 bytes, ``max_line_length``, ``avg_line_length`` and
-    ``alphanum_fraction``. The text is split into lines once; the lengths are kept in a
-    narrow integer array from which all line statistics follow.
 
-    The statistics leave through ``inline``, so that a later filter on them is applied to
-    their values. Catalyst would otherwise move it below the projection and split every
-    text again for each comparison.
+def with_line_stats(df: DataFrame, text: str = "content") -> DataFrame:
+    """Add ``size`` in UTF-8 bytes, ``max_line_length`` and ``avg_line_length``.
+
+    The text is split into lines once; what is kept of them is a narrow integer array.
     """
     body, lengths = F.col(text), F.col("_line_lengths")
     pieces = F.size(lengths)
     lines = pieces - F.when(F.element_at(lengths, -1) == 0, 1).otherwise(0)
-    total = F.aggregate(lengths, F.lit(0).cast("bigint"), lambda acc, n: acc + n)
-    average = F.coalesce(
-        F.try_divide(total.cast("double"), lines.cast("double")), F.lit(0.0)
-    )
-    stats = F.struct(
-        F.octet_length(body).cast("bigint").alias("size"),
-        F.array_max(lengths).cast("bigint").alias("max_line_length"),
-        F.when(body.isNotNull(), average).alias("avg_line_length"),
-        alphanum_fraction(body).alias("alphanum_fraction"),
-    )
-    return (
-        df.withColumn("_line_lengths", line_lengths(body))
-        .withColumn("_stats", stats)
-        .select(*df.columns, F.inline(F.array("_stats")))
-    )
+    chars_in_lines = F.length(_unified(body)) - (pieces - 1)
+    average = F.try_divide(chars_in_lines.cast("double"), lines.cast("double"))
+    stats = {
+        "size": F.octet_length(body).cast("bigint"),
+        "max_line_length": F.array_max(lengths).cast("bigint"),
+        "avg_line_length": F.when(body.isNotNull(), F.coalesce(average, F.lit(0.0))),
+    }
+    measured = df.withColumn("_line_lengths", line_lengths(body))
+    return settle(measured, stats).drop("_line_lengths")
+
+
+def with_text_stats(df: DataFrame, text: str = "content") -> DataFrame:
+    """Add the four statistics the quality rules read: those of the lines and
+    ``alphanum_fraction``."""
+    share = {"alphanum_fraction": alphanum_fraction(F.col(text))}
+    return settle(with_line_stats(df, text), share)
 
 
 def text_size(length: Column, unit: str = "MB") -> Column:

@@ -4,6 +4,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.functions.text import remove_whitespace
+from corpuslens.session import materialize
+
+# Up to this many dropped rows, their order values are broadcast: tens of megabytes.
+MAX_BROADCAST_ROWS = 2_000_000
 
 
 def text_key(text: Column) -> Column:
@@ -22,14 +26,16 @@ def first_of_each_text(df: DataFrame, order_by: str, text: str = "text") -> Data
 
 
 def drop_duplicate_texts(df: DataFrame, order_by: str, text: str = "text") -> DataFrame:
-    """Keep the first row of every text, first by the unique column ``order_by``.
+    """Keep the first row of every text, first by the unique number column ``order_by``.
 
-    The survivors are joined on that unique column, so no task receives a hot group. A table
-    already bucketed by it is not shuffled again.
+    The order values to keep are written to the checkpoint folder, then counted. Where few
+    rows have to go, their order values are broadcast and no text is shuffled. Otherwise the
+    rows are joined with the kept values on the unique column, so that no task receives a
+    hot group; a table bucketed by that column is not shuffled for it.
     """
-    return keep_listed(df, first_of_each_text(df, order_by, text), order_by)
-
-
-def keep_listed(df: DataFrame, listed: DataFrame, key: str) -> DataFrame:
-    """Rows whose ``key`` is listed; the planner decides by size whether to broadcast."""
-    return df.join(listed, key, "left_semi")
+    kept = materialize(first_of_each_text(df, order_by, text))
+    ids = df.select(order_by)
+    if ids.count() - kept.count() <= MAX_BROADCAST_ROWS:
+        dropped = ids.join(kept, order_by, "left_anti")
+        return df.join(F.broadcast(dropped), order_by, "left_anti")
+    return df.join(kept, order_by, "left_semi")

@@ -42,7 +42,9 @@ def with_row_index(
     position break ties, so a value that fills a third of the table is still spread over
     many partitions. The sorted table is written to the checkpoint folder together with
     partition number and offset: the second step cannot see another partitioning than the
-    first, even if an executor was lost. Select the columns needed before the call.
+    first, even if an executor was lost. The input is read twice, for the range boundaries
+    and for the rows: select the columns needed before the call, and materialize the input
+    where it is costly to compute.
     """
     spark = df.sparkSession
     parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))

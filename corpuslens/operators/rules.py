@@ -12,8 +12,9 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpuslens.functions.text import alphanum_fraction, settle, with_line_stats
 from corpuslens.operators.syntax import PYTHON, parses_as_python
-from corpuslens.schemas import SLIM_FROM_FULL, SLIM
+from corpuslens.schemas import SLIM, SLIM_FROM_FULL
 
 
 @dataclass(frozen=True)
@@ -132,6 +133,43 @@ def cascade(
     return out.withColumn("verdict", verdict(F.col("reason")))
 
 
+def cascade_text(
+    df: DataFrame,
+    limits: Thresholds,
+    python_gate: str = "python_only",
+    content: str = "content",
+    lang: str = "repo_lang",
+) -> DataFrame:
+    """``cascade`` over raw text without precomputed statistics.
+
+    The slim statistics are added. Counting letters costs as much as splitting lines, so it
+    is done only for rows that pass the rules before it; the others have a null there.
+    """
+    measured = with_line_stats(df, content).select(
+        *df.columns,
+        F.col("size").cast("int").alias("file_size"),
+        F.col("max_line_length").cast("int").alias("max_ll"),
+        F.col("avg_line_length").cast("float").alias("ave_ll"),
+    )
+    blank = measured.withColumn("alphanum_frac", F.lit(None).cast("float"))
+    before = RULE_REASONS.index("alphanum_frac")
+    undecided = first_failure(rules(blank, limits)[:before]).isNull()
+    share = F.when(undecided, alphanum_fraction(F.col(content))).cast("float")
+    return cascade(settle(measured, {"alphanum_frac": share}), limits, python_gate, content, lang)
+
+
+def kept_text(df: DataFrame, limits: Thresholds, content: str = "content") -> DataFrame:
+    """Rows of raw text that pass all rules, with the slim statistics.
+
+    Order does not matter where no reason is given, so rows of the wrong size go first and
+    are never split into lines.
+    """
+    size = F.octet_length(content)
+    sized = df.filter((size >= limits.min_len) & (size < (limits.max_size_kbs + 1) * 1024))
+    labelled = cascade_text(sized, limits, "off", content)
+    return labelled.filter(F.col("reason").isNull()).drop("reason", "verdict")
+
+
 def verdict(reason: Column) -> Column:
     return F.when(reason.isNull(), F.lit("kept")).otherwise(F.lit("rejected"))
 

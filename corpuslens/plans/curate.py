@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.operators import languages, rules
+from corpuslens.session import materialize
 from corpuslens.sources import readers, writers
 
 
@@ -44,15 +45,43 @@ def label_corpus(
     is_slim: bool = False,
     python_gate: str = "python_only",
 ) -> DataFrame:
-    """Every row of the chosen languages with ``reason`` and ``verdict``."""
-    limits = rules.tier(tier)
-    corpus = readers.scan_corpus_tree(spark, root, is_slim)
-    if choice != LanguageChoice(bad_langs=()):
-        files = selected_files(spark, root, choice)
+    """Every row of the chosen languages with ``reason`` and ``verdict``.
+
+    Languages are chosen from the file listing, and only their directories are read. A
+    choice with too many directories to name is joined by language instead.
+    """
+    files = selected_files(spark, root, choice)
+    return _label(spark, root, files, rules.tier(tier), is_slim, python_gate)
+
+
+def _label(
+    spark: SparkSession,
+    root: str,
+    files: DataFrame,
+    limits: rules.Thresholds,
+    is_slim: bool,
+    python_gate: str,
+) -> DataFrame:
+    folders = _directories(files, languages.MAX_LITERAL_LANGS)
+    if folders is None:
+        corpus = readers.scan_corpus_tree(spark, root, is_slim)
         corpus = languages.restrict_to_languages(corpus, files)
+    elif folders:
+        corpus = readers.scan_corpus_tree(spark, folders, is_slim)
+        names = sorted({folder.rsplit("/", 1)[-1] for folder in folders})
+        corpus = corpus.filter(F.col("lang").isin(names))
+    else:
+        corpus = readers.empty_corpus_tree(spark)
     return rules.cascade(corpus, limits, python_gate)
 
 
+def _directories(files: DataFrame, most: int) -> list[str] | None:
+    """Directories of the listed files, or None if there are more than ``most``."""
+    folder = F.regexp_extract("pq_path", "^(.*)/[^/]*$", 1).alias("folder")
+    found = [row[0] for row in files.select(folder).distinct().limit(most + 1).collect()]
+    return sorted(found) if len(found) <= most else None
+
+
 def curate(
     spark: SparkSession,
     root: str,
@@ -70,9 +99,11 @@ def curate(
     in which ``filtered_pq_path`` names the directory with the kept rows of a file.
     """
     out = output.rstrip("/")
-    labelled = label_corpus(spark, root, tier, choice, is_slim, python_gate)
+    limits = rules.tier(tier)
+    files = materialize(selected_files(spark, root, choice))  # listed once
+    labelled = _label(spark, root, files, limits, is_slim, python_gate)
     writers.write_curated(labelled, f"{out}/rows", mode, rebalance)
     target = F.concat_ws("/", F.lit(f"{out}/rows/verdict=kept"), F.concat(F.lit("lang="), "lang"))
-    files = selected_files(spark, root, choice).withColumn("filtered_pq_path", target)
+    files = files.withColumn("filtered_pq_path", target)
     writers.write_file_table(files, f"{out}/filtered_meta", mode)
     return spark.read.schema(files.schema).option("header", True).csv(f"{out}/filtered_meta")

@@ -1,5 +1,6 @@
 """Where tables come from: parquet corpora, CSV lists, JSON archives and file trees."""
 
+import re
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -23,6 +24,11 @@ LISTING = T.StructType(
         T.StructField("length", T.LongType()),
     ]
 )
+_ORIGIN = [
+    T.StructField("lang", T.StringType()),
+    T.StructField("src_path", T.StringType()),
+    T.StructField("src_row", T.LongType()),
+]
 CONTENTS = T.StructType(LISTING.fields + [T.StructField("content", T.BinaryType())])
 
 
@@ -44,7 +50,7 @@ def scan_corpus_tree(
     """Like ``scan_corpus``, with where each row came from.
 
     ``lang`` is the directory a file lies in; ``src_path`` and ``src_row`` give the
-    original order.
+    original order. Directories that start with a dot or an underscore are not seen.
     """
     found = _scan(spark, path, is_slim)
     file_path = decoded_file_path(F.col("_metadata.file_path"))
@@ -56,20 +62,30 @@ def scan_corpus_tree(
     return found.select("*", *origin) if is_slim else slim(found, on_overflow, origin)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all cores on an input of fewer files than cores.
+def spread(scan: DataFrame) -> DataFrame:
+    """Use all cores on a scan that is planned as fewer tasks than there are cores.
 
     Text functions are bound by the processor, and a single small file would be read by one
-    task. An input of many files, which is the normal case, is returned as it is.
+    task. A scan of many splits, which is the normal case, is returned as it is.
     """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if 0 < len(df.inputFiles()) < cores else df
+    cores = scan.sparkSession.sparkContext.defaultParallelism
+    return scan.repartition(cores) if scan.rdd.getNumPartitions() < cores else scan
+
+
+def empty_corpus_tree(spark: SparkSession) -> DataFrame:
+    """What ``scan_corpus_tree`` gives where no file was chosen."""
+    columns = T.StructType(schemas.SLIM.fields + _ORIGIN)
+    return spark.createDataFrame([], columns)
 
 
 def _scan(spark: SparkSession, path: str | list[str], is_slim: bool) -> DataFrame:
     reader = spark.read.schema(schemas.SLIM if is_slim else schemas.FULL)
     reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    return reader.parquet(*([path] if isinstance(path, str) else path))
+    if isinstance(path, str):
+        return reader.parquet(path)
+    # each directory is read with all below it, so one inside another is not named again
+    paths = [p for p in path if not any(p.startswith(f"{q.rstrip('/')}/") for q in path)]
+    return reader.parquet(*[re.sub(r"([*?\[\]{}\\])", r"\\\1", p) for p in paths])
 
 
 def list_corpus(spark: SparkSession, root: str) -> DataFrame:

@@ -4,6 +4,7 @@ import numpy as np
 import pytest
 
 from corpuslens import schemas
+from corpuslens.functions.text import with_text_stats
 from corpuslens.operators import reports, rules
 from corpuslens.operators.rules import TIERS, Thresholds
 from pyspark.sql import functions as F
@@ -125,6 +126,32 @@ def test_kept_only_agrees_with_cascade_and_is_pushed(spark, tmp_path):
         assert column in pushed
 
 
+BODIES = [
+    "x" * 30 + "\n" + "word, " * 20 + "\n" + "y" * 40, "", None, "short", "-" * 60 + "\n" * 3, "a b\n" * 40,
+    "w" * 700, "\n".join(["alpha beta gamma delta epsilon"] * 30), "é€\r\n" * 50 + "z" * 40,
+]
+
+
+@pytest.mark.parametrize("name", TIERS)
+def test_raw_text_gives_the_same_labels(spark, name):
+    limits = TIERS[name]
+    rows = spark.createDataFrame(list(enumerate(BODIES)), "id bigint, content string").withColumn("repo_lang", F.lit("Go"))
+    stats = with_text_stats(rows)
+    slim = stats.select(
+        "id", "content", "repo_lang", F.col("size").cast("int").alias("file_size"),
+        F.col("max_line_length").cast("int").alias("max_ll"),
+        F.col("avg_line_length").cast("float").alias("ave_ll"),
+        F.col("alphanum_fraction").cast("float").alias("alphanum_frac"),
+    )
+    want = {r["id"]: r["reason"] for r in rules.cascade(slim, limits, "off").collect()}
+    got = {r["id"]: r for r in rules.cascade_text(rows, limits).collect()}
+    assert {i: r["reason"] for i, r in got.items()} == want
+    kept = rules.kept_text(rows, limits)
+    assert {tuple(r) for r in kept.collect()} == {
+        tuple(r) for r in slim.select(kept.columns).filter(F.col("id").isin([i for i in want if want[i] is None])).collect()
+    }
+
+
 def test_tier_names():
     assert rules.tier("MoDerate") is TIERS["moderate"]
     with pytest.raises(ValueError, match="unknown tier"):

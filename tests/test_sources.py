@@ -155,8 +155,32 @@ def test_language_choice(spark, corpus):
         sizes[path.parent.name] = sizes.get(path.parent.name, 0) + path.stat().st_size
     largest = min(sizes, key=lambda lang: (-sizes[lang], lang))
     assert {r[0] for r in chosen.select("lang").distinct().collect()} == {largest}
+    location = chosen._jdf.queryExecution().executedPlan().toString()
+    assert f"/{largest}]" in location  # the other directories are not read
     everything = label_corpus(spark, corpus, choice=LanguageChoice(bad_langs=()))
     assert everything.count() == 100
+    nothing = label_corpus(spark, corpus, choice=LanguageChoice(mb_size_thresh=1e9))
+    assert nothing.count() == 0 and nothing.columns == everything.columns
+
+
+def test_language_choice_too_long_for_literals(spark, corpus, monkeypatch):
+    from corpuslens.operators import languages
+
+    monkeypatch.setattr(languages, "MAX_LITERAL_LANGS", 2)
+    out = label_corpus(spark, corpus, "moderate", LanguageChoice(bad_langs=("csv",)))
+    assert out.groupBy("verdict").count().count() == 2 and out.count() == 84
+
+
+def test_nested_and_oddly_named_directories(spark, corpus, tmp_path):
+    source = next(Path(corpus).glob("python/*.parquet")).read_bytes()
+    for name in ("a[b]c", "outer", "outer/inner", "x{1,2}*"):
+        (tmp_path / name).mkdir(parents=True, exist_ok=True)
+        (tmp_path / name / "data.parquet").write_bytes(source)
+    out = label_corpus(spark, str(tmp_path))
+    counts = {r["lang"]: r["count"] for r in out.groupBy("lang").count().collect()}
+    assert counts == {"a[b]c": 8, "outer": 8, "inner": 8, "x{1,2}*": 8}
+    only = label_corpus(spark, str(tmp_path), choice=LanguageChoice(bad_langs=("inner",)))
+    assert "inner" not in {r["lang"] for r in only.collect()}
 
 
 def test_repo_list_and_urls(spark, tmp_path):

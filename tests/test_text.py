@@ -178,7 +178,9 @@ def test_flatten(spark):
     assert [tuple(r) for r in exploded] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c")]
 
 
-def test_duplicates_ignore_white_space(spark):
+@pytest.mark.parametrize("limit", [2_000_000, 3])
+def test_duplicates_ignore_white_space(spark, monkeypatch, limit):
+    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", limit)
     bodies = ["a b", "ab", "a\xa0b", "a\u3000b\x1c", "\tab\n", "a b c", "abc", "", " \n", "x"]
     bodies += ["hot text"] * 50
     rows = frame(spark, bodies)
@@ -191,5 +193,7 @@ def test_duplicates_ignore_white_space(spark):
     for parts in (1, 7):
         once = dedup.drop_duplicate_texts(rows.repartition(parts), "id")
         assert sorted(r["id"] for r in once.collect()) == want
+    join = once._jdf.queryExecution().optimizedPlan().toString()
+    assert ("LeftAnti" in join) == (limit > 50)
     again = dedup.drop_duplicate_texts(once, "id")
     assert sorted(r["id"] for r in again.collect()) == want

@@ -4,6 +4,8 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators import positions, reports, rules
 from corpuslens.operators.rules import TIERS, Thresholds
+from corpuslens.session import materialize
+from corpuslens.sources.readers import spread
 from workload.registry import query
 from workload.tables import (
     SQL_SLIM,
@@ -50,7 +52,9 @@ def sql_labelled(limits: Thresholds, key: str = "doc_id", source: str = SQL_SLIM
 
 
 def labelled(spark, sf, limits):
-    return rules.cascade(slim_documents(spark, sf), limits, python_gate="off")
+    """Cascade over the raw text of the documents."""
+    rows = documents(spark, sf).withColumn("repo_lang", F.col("lang"))
+    return rules.cascade_text(rows, limits, python_gate="off", content="text")
 
 
 # F1 to F6: each rule on its own, moderate limits ------------------------------------------
@@ -92,6 +96,16 @@ def _tier(name, limits):
     def kept(spark, sf):
         return rules.kept_only(slim_documents(spark, sf), limits).select("doc_id", "file_size")
 
+    @query(
+        f"f9_kept_text_{name}",
+        f"""SELECT doc_id, file_size, alphanum_frac::DOUBLE AS alphanum_frac
+            FROM (SELECT *, {sql_reason(limits)} AS reason FROM {SQL_SLIM}) WHERE reason IS NULL""",
+    )
+    def kept_text(spark, sf):
+        return rules.kept_text(documents(spark, sf), limits, "text").select(
+            "doc_id", "file_size", F.col("alphanum_frac").cast("double").alias("alphanum_frac")
+        )
+
     @query(
         f"a4_funnel_{name}",
         f"""WITH l AS (SELECT reason FROM {sql_labelled(limits)}),
@@ -173,14 +187,14 @@ def u2(spark, sf):
         FROM {sql_labelled(TIERS['moderate'])} WHERE verdict = 'rejected'""",
 )
 def o3(spark, sf):
-    origin = [F.col("src_path"), F.col("src_row"), F.col("doc_id")]
     located = table(spark, sf, "documents").select(
         "*", F.col("_metadata.file_path").alias("src_path"),
         F.col("_metadata.row_index").alias("src_row"),
     )
-    full = full_rows(located, "text", "source", "lang")
-    out = rules.cascade(rules.slim(full, also=origin), TIERS["moderate"], python_gate="off")
+    located = spread(located)
+    out = rules.cascade_text(located, TIERS["moderate"], "off", "text", "lang")
     _, rejected = rules.split(out)
-    narrow = rejected.select("src_path", "src_row", "doc_id", "reason")
+    # written first: finding the range boundaries would run the rules a second time
+    narrow = materialize(rejected.select("src_path", "src_row", "doc_id", "reason"))
     numbered = positions.with_row_index(narrow, ["src_path", "src_row"], "seq")
     return numbered.select("seq", "doc_id", "reason")

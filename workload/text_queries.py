@@ -384,16 +384,31 @@ _SQL_FOUND = ", ".join(f"CASE WHEN contains(body, '{m}') THEN '{m}' END" for m i
         FROM {_SQL_MARKED}""",
 )
 def f21(spark, sf):
-    # every third document ends with one of the markers
+    found = marked(spark, sf).select("doc_id", markers.matching_markers(F.col("body")).alias("found"))
+    return found.select(
+        "doc_id",
+        (F.size("found") > 0).alias("generated"),
+        F.array_join(markers.groups_of(F.col("found")), ",").alias("groups"),
+        F.array_join("found", ",").alias("markers"),
+    )
+
+
+def marked(spark, sf):
+    """Documents of which every third ends with one of the markers."""
     listed = F.array(*[F.lit(m) for m in _MARKERS])
     place = (F.floor(F.col("doc_id") / 3) % len(_MARKERS) + 1).cast("int")
     marked = F.concat(F.col("text"), F.lit(" "), F.element_at(listed, place))
     body = F.when(F.col("doc_id") % 3 == 0, marked).otherwise(F.col("text"))
-    return documents(spark, sf).select("doc_id", body.alias("body")).select(
-        "doc_id",
-        markers.is_generated(F.col("body")).alias("generated"),
-        F.array_join(markers.matching_groups(F.col("body")), ",").alias("groups"),
-        F.array_join(markers.matching_markers(F.col("body")), ",").alias("markers"),
+    return documents(spark, sf).select("doc_id", body.alias("body"))
+
+
+@query(
+    "f21_not_generated",
+    f"SELECT doc_id, length(body) AS n FROM {_SQL_MARKED} WHERE NOT ({_sql_any(_MARKERS)})",
+)
+def f21_filter(spark, sf):
+    return marked(spark, sf).filter(~markers.is_generated(F.col("body"))).select(
+        "doc_id", F.length("body").cast("bigint").alias("n")
     )
 
 
@@ -406,12 +421,20 @@ def f21(spark, sf):
           FROM documents) WHERE rn = 1""",
 )
 def d1(spark, sf):
-    first = dedup.first_of_each_text(documents(spark, sf), "doc_id")
-    return dedup.keep_listed(table(spark, sf, "documents"), first, "doc_id").select(
+    return dedup.drop_duplicate_texts(documents(spark, sf), "doc_id").select(
         "doc_id", "lang", "source", "n_chars", F.md5("text").alias("text_md5")
     )
 
 
+@query(
+    "d1_first_of_each_text",
+    f"""SELECT min(doc_id) AS doc_id FROM documents
+        GROUP BY regexp_replace(text, '{SQL_WHITESPACE}', '', 'g')""",
+)
+def d1_first(spark, sf):
+    return dedup.first_of_each_text(documents(spark, sf), "doc_id")
+
+
 @query(
     "p3_chars_in_lines",
     f"""SELECT doc_id, list_sum(list_transform(string_split_regex(text, '{SQL_LINE_BREAK}'),
