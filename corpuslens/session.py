@@ -1,6 +1,7 @@
 """Session settings and the place where intermediate tables are kept."""
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -50,11 +51,20 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+def scratch_path(spark: SparkSession, name: str) -> str:
+    """A new path in the checkpoint folder."""
+    use_checkpoint_dir(spark)
+    return f"{spark.sparkContext.getCheckpointDir()}/{name}-{uuid.uuid4().hex}"
+
+
 def materialize(df: DataFrame) -> DataFrame:
-    """Write ``df`` to the checkpoint folder once and read it from there afterwards.
+    """Write ``df`` as a table in the checkpoint folder and read it from there afterwards.
 
-    Used where later steps must see exactly the same rows in the same partitions, also
-    when an executor is lost in between.
+    Used where later steps must see exactly the same rows, also when an executor is lost in
+    between, or where computing them again would cost more than reading them. A parquet
+    table rather than a checkpointed RDD: later steps read only the columns they need, and
+    the planner knows the size.
     """
-    use_checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    path = scratch_path(df.sparkSession, "table")
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
