@@ -29,6 +29,7 @@ _ORIGIN = [
     T.StructField("src_path", T.StringType()),
     T.StructField("src_row", T.LongType()),
 ]
+_ENTRY = T.StructType(LISTING.fields + [T.StructField("is_folder", T.BooleanType())])
 CONTENTS = T.StructType(LISTING.fields + [T.StructField("content", T.BinaryType())])
 
 
@@ -146,62 +147,86 @@ def read_json_document(
 def list_repositories(repos: DataFrame, root: str) -> DataFrame:
     """One row per file of every repository landed under ``<root>/<repo_name>``.
 
-    Tasks list the directories of their repositories; the driver lists nothing. The
-    built-in file sources are not used here because they skip names that start with an
-    underscore, such as ``__init__.py``. Directories called ``.git`` are left out and
-    links to directories are not followed. A repository that did not land gives no rows.
+    Tasks list directories; the driver lists nothing. The top level of every repository is
+    listed first and written to the checkpoint folder, then each of its directories is walked
+    on its own, so a very large repository is shared by many tasks. The built-in file sources
+    are not used here because they skip names that start with an underscore, such as
+    ``__init__.py``. Directories called ``.git`` are left out and links to directories are not
+    followed. A repository that did not land gives no rows. ``root`` is a mounted disk unless
+    it starts with a scheme such as ``hdfs://``.
     """
+    top = repos.select("repo_name", F.lit("").alias("folder"))
+    level = materialize(_list_directories(top, root, recursive=False))
+    folders = level.filter("is_folder").select("repo_name", F.col("file_name").alias("folder"))
+    below = _list_directories(folders, root, recursive=True)
+    return level.unionByName(below).filter("not is_folder").select(*LISTING.names)
+
+
+def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFrame:
+    """Entries of the directories ``<root>/<repo_name>/<folder>``, or all files below them."""
     base = root.rstrip("/")
-    fields = LISTING.names
+    fields = _ENTRY.names
 
+    # Nested, like all functions for workers, so that it is shipped by value.
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import os
 
         import pyarrow as pa
         from pyarrow import fs
 
-        def local(start):
-            for folder, folders, names in os.walk(start):
-                folders[:] = [f for f in folders if f != ".git"]
-                for name in names:
-                    full = os.path.join(folder, name)
-                    if os.path.isfile(full):
-                        yield full, os.path.getsize(full)
-
-        def remote(files, start):
-            selector = fs.FileSelector(start, recursive=True, allow_not_found=True)
-            for info in files.get_file_info(selector):
-                if info.is_file and "/.git/" not in info.path:
-                    yield info.path, info.size
+        def children(path):
+            """Name, whether it is a directory, and length of what a directory holds."""
+            if "://" in path:  # a remote store; without a scheme, a mounted disk
+                files, inner = fs.FileSystem.from_uri(path)
+                selector = fs.FileSelector(inner, allow_not_found=True)
+                for info in files.get_file_info(selector):
+                    if info.type in (fs.FileType.File, fs.FileType.Directory):
+                        yield info.base_name, info.type == fs.FileType.Directory, info.size
+            elif os.path.isdir(path):
+                with os.scandir(path) as entries:
+                    for entry in entries:
+                        if entry.is_dir(follow_symlinks=False):
+                            yield entry.name, True, None
+                        elif entry.is_file():
+                            yield entry.name, False, entry.stat().st_size
+
+        def entries(repo, start):
+            pending = [start]
+            while pending:
+                folder = pending.pop()
+                prefix = f"{folder}/" if folder else ""
+                for name, is_folder, length in children(f"{base}/{repo}/{folder}".rstrip("/")):
+                    inside = prefix + name
+                    if not is_folder:
+                        yield repo, inside, f"{base}/{repo}/{inside}", length, False
+                    elif name != ".git" and recursive:
+                        pending.append(inside)
+                    elif name != ".git":
+                        yield repo, inside, f"{base}/{repo}/{inside}", None, True
 
         def flush(rows):
-            return pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows)], fields)
+            types = [pa.string(), pa.string(), pa.string(), pa.int64(), pa.bool_()]
+            arrays = [pa.array(c, t) for c, t in zip(zip(*rows), types)]
+            return pa.RecordBatch.from_arrays(arrays, fields)
 
+        rows = []
         for batch in batches:
-            for repo in batch.column(0).to_pylist():
-                # with a scheme the path names a remote store, without one a mounted disk
-                if "://" in base:
-                    files, top = fs.FileSystem.from_uri(f"{base}/{repo}")
-                    found = remote(files, top)
-                else:
-                    top = f"{base}/{repo}"
-                    found = local(top)
-                rows = []
-                for path, size in found:
-                    rows.append((repo, path[len(top) + 1 :], f"{base}/{repo}/{path[len(top) + 1 :]}", size))
+            for repo, start in zip(*(column.to_pylist() for column in batch.columns)):
+                for row in entries(repo, start):
+                    rows.append(row)
                     if len(rows) == 10_000:
                         yield flush(rows)
                         rows = []
-                if rows:
-                    yield flush(rows)
+        if rows:
+            yield flush(rows)
 
     # An explicit number of partitions, because adaptive execution would merge rows this
     # small into one task without knowing how much work each of them stands for.
     tasks = max(
-        int(repos.sparkSession.conf.get("spark.sql.shuffle.partitions")),
-        repos.sparkSession.sparkContext.defaultParallelism,
+        int(folders.sparkSession.conf.get("spark.sql.shuffle.partitions")),
+        folders.sparkSession.sparkContext.defaultParallelism,
     )
-    return repos.select("repo_name").repartition(tasks).mapInArrow(walk, LISTING)
+    return folders.repartition(tasks).mapInArrow(walk, _ENTRY)
 
 
 def read_contents(listing: DataFrame, task_bytes: int = 128 * 1024 * 1024) -> DataFrame:
