@@ -16,26 +16,33 @@ def text_key(text: Column) -> Column:
 
 
 def first_of_each_text(df: DataFrame, order_by: str, text: str = "text") -> DataFrame:
-    """``order_by`` values of the first row of every distinct text.
+    """``order_by`` of the first row of every distinct text, and the number of its ``copies``.
 
     Only digest and order value are shuffled. A text that makes up a large part of the
     corpus is reduced to one row per map task before the shuffle.
     """
     keys = df.select(text_key(F.col(text)).alias("_key"), F.col(order_by))
-    return keys.groupBy("_key").agg(F.min(order_by).alias(order_by)).select(order_by)
+    groups = keys.groupBy("_key").agg(
+        F.min(order_by).alias(order_by), F.count(F.lit(1)).alias("copies")
+    )
+    return groups.drop("_key")
 
 
 def drop_duplicate_texts(df: DataFrame, order_by: str, text: str = "text") -> DataFrame:
     """Keep the first row of every text, first by the unique number column ``order_by``.
 
-    The order values to keep are written to the checkpoint folder, then counted. Where few
-    rows have to go, their order values are broadcast and no text is shuffled. Otherwise the
-    rows are joined with the kept values on the unique column, so that no task receives a
-    hot group; a table bucketed by that column is not shuffled for it.
+    The order values to keep are written to the checkpoint folder with the number of copies,
+    which tells how many rows have to go. If they are few, their order values are broadcast
+    and no text is shuffled. Otherwise the rows are joined with the kept values on the unique
+    column, so that no task receives a hot group; a table bucketed by that column is not
+    shuffled for it.
     """
     kept = materialize(first_of_each_text(df, order_by, text))
-    ids = df.select(order_by)
-    if ids.count() - kept.count() <= MAX_BROADCAST_ROWS:
-        dropped = ids.join(kept, order_by, "left_anti")
+    dropped_rows = kept.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
+    kept = kept.select(order_by)
+    if dropped_rows == 0:
+        return df
+    if dropped_rows <= MAX_BROADCAST_ROWS:
+        dropped = df.select(order_by).join(kept, order_by, "left_anti")
         return df.join(F.broadcast(dropped), order_by, "left_anti")
     return df.join(kept, order_by, "left_semi")

@@ -12,6 +12,9 @@ from corpuslens.session import materialize
 # Number of buckets of the sampling histogram: four hexadecimal digits.
 _BUCKET_DIGITS = 4
 
+# Rows up to this many, counted before, are ranked by a window without partitions.
+_MAX_ROWS_RANKED_IN_ONE_TASK = 1_000_000
+
 # File counts above this are not broadcast.
 _MAX_BROADCAST_FILES = 100_000
 
@@ -124,7 +127,8 @@ def sample_exact(df: DataFrame, frac: float, key: str, seed: int = 0) -> DataFra
 
     A histogram over the first digits of the digest, 65,536 entries at most, tells which
     buckets are taken whole. Only the one bucket at the border is ranked, so the table is
-    neither sorted nor shuffled. ``key`` should identify a row.
+    neither sorted nor shuffled. ``key`` should identify a row; rows that share a key fall
+    into one bucket, which may then be too large for one task and is ranked by many.
     """
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
     keyed = df.withColumn("_digest", digest)
@@ -135,15 +139,20 @@ def sample_exact(df: DataFrame, frac: float, key: str, seed: int = 0) -> DataFra
         _running_total(counts, "_bucket")
         .withColumn("_missing", wanted - F.col("_before"))
         .filter((F.col("_missing") > 0) & (F.col("_missing") <= F.col("n")))
-        .select("_bucket", "_missing")
+        .select("_bucket", "_missing", "n")
         .first()
     )
     if border is None:
         return df.limit(0)
-    bucket, missing = border
+    bucket, missing, rows = border
     whole = keyed.filter(F.col("_bucket") < bucket)
-    ranked = with_row_index(keyed.filter(F.col("_bucket") == bucket), ["_digest"], "_rank")
-    part = ranked.filter(F.col("_rank") < missing).drop("_rank", "_total")
+    part = keyed.filter(F.col("_bucket") == bucket)
+    if rows <= _MAX_ROWS_RANKED_IN_ONE_TASK:
+        rank = F.row_number().over(Window.orderBy("_digest"))
+        part = part.withColumn("_rank", rank - 1)
+    else:
+        part = with_row_index(part, ["_digest"], "_rank").drop("_total")
+    part = part.filter(F.col("_rank") < missing).drop("_rank")
     return whole.unionByName(part).drop("_digest", "_bucket")
 
 

@@ -7,21 +7,25 @@ and could change from one run to the next.
 from pyspark.sql import types as T
 
 
-def _repo_columns(kind: str) -> list[T.StructField]:
+def _repo_columns(kind: str, licenses: T.DataType) -> list[T.StructField]:
     """Columns describing the repository with the most stars, forks or issues."""
     repo = f"max_{kind}_repo"
-    text = [f"{repo}_path", f"{repo}_name", f"{repo}_head_hexsha", f"{repo}_licenses"]
+    text = [f"{repo}_path", f"{repo}_name", f"{repo}_head_hexsha"]
     dates = [f"{repo}_{kind}_{edge}_datetime" for edge in ("min", "max")]
     return (
         [T.StructField(c, T.StringType()) for c in text]
-        + [T.StructField(f"max_{kind}_count", T.LongType())]
+        + [T.StructField(f"{repo}_licenses", licenses), T.StructField(f"max_{kind}_count", T.LongType())]
         + [T.StructField(c, T.StringType()) for c in dates]
     )
 
 
-# One source file per row, text and precomputed statistics.
-FULL = T.StructType(
-    [
+def full(licenses: T.DataType = T.StringType()) -> T.StructType:
+    """One source file per row, text and precomputed statistics.
+
+    ``licenses`` is the type of the license columns of the three repositories, which are
+    strings or lists of strings.
+    """
+    columns = [
         T.StructField("content", T.StringType()),
         T.StructField("repository_name", T.StringType()),
         T.StructField("licenses", T.ArrayType(T.StringType())),
@@ -34,8 +38,12 @@ FULL = T.StructType(
         T.StructField("alphanum_fraction", T.DoubleType()),
         T.StructField("hexsha", T.StringType()),
     ]
-    + [f for kind in ("stars", "forks", "issues") for f in _repo_columns(kind)]
-)
+    for kind in ("stars", "forks", "issues"):
+        columns += _repo_columns(kind, licenses)
+    return T.StructType(columns)
+
+
+FULL = full()
 
 # The eight columns curation works on, in 32-bit types.
 SLIM = T.StructType(

@@ -34,26 +34,35 @@ CONTENTS = T.StructType(LISTING.fields + [T.StructField("content", T.BinaryType(
 
 
 def scan_corpus(
-    spark: SparkSession, path: str | list[str], is_slim: bool = False, on_overflow: str = "error"
+    spark: SparkSession,
+    path: str | list[str],
+    is_slim: bool = False,
+    on_overflow: str = "error",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Parquet files anywhere below ``path``.
 
     ``is_slim=True`` reads slim files as they are; otherwise full files are projected and
-    downcast, and the scan reads eight columns only.
+    downcast, and the scan reads eight columns only. ``schema`` declares files that hold
+    other types or further columns.
     """
-    found = _scan(spark, path, is_slim)
+    found = _scan(spark, path, is_slim, schema)
     return found if is_slim else slim(found, on_overflow)
 
 
 def scan_corpus_tree(
-    spark: SparkSession, path: str | list[str], is_slim: bool = False, on_overflow: str = "error"
+    spark: SparkSession,
+    path: str | list[str],
+    is_slim: bool = False,
+    on_overflow: str = "error",
+    schema: T.StructType | None = None,
 ) -> DataFrame:
     """Like ``scan_corpus``, with where each row came from.
 
     ``lang`` is the directory a file lies in; ``src_path`` and ``src_row`` give the
     original order. Directories that start with a dot or an underscore are not seen.
     """
-    found = _scan(spark, path, is_slim)
+    found = _scan(spark, path, is_slim, schema)
     file_path = decoded_file_path(F.col("_metadata.file_path"))
     origin = [
         parent_name(file_path).alias("lang"),
@@ -79,8 +88,10 @@ def empty_corpus_tree(spark: SparkSession) -> DataFrame:
     return spark.createDataFrame([], columns)
 
 
-def _scan(spark: SparkSession, path: str | list[str], is_slim: bool) -> DataFrame:
-    reader = spark.read.schema(schemas.SLIM if is_slim else schemas.FULL)
+def _scan(
+    spark: SparkSession, path: str | list[str], is_slim: bool, schema: T.StructType | None
+) -> DataFrame:
+    reader = spark.read.schema(schema or (schemas.SLIM if is_slim else schemas.FULL))
     reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
     if isinstance(path, str):
         return reader.parquet(path)

@@ -60,9 +60,3 @@ def test_custom_limits_reach_every_rule(spark):
     assert reasons == {
         None, "max_ll", "file_too_small", "file_too_large", "alphanum_frac", "ave_ll", "min_lines",
     }
-
-
-def test_syntax_gate_on_documents(spark):
-    rows = contract.queries()["f7_syntax_gate"](spark, SF).filter("reason is null or reason = 'python2'")
-    got = {r["doc_id"]: r["reason"] for r in rows.collect()}
-    assert got and all((reason is None) == (doc % 2 == 0) for doc, reason in got.items())

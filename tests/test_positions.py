@@ -80,10 +80,15 @@ def test_exact_sample_is_reproducible(spark):
     assert sample(1, 1) == sample(1, 9) != sample(2, 1)
 
 
-def test_exact_sample_with_a_hot_key(spark):
+@pytest.mark.parametrize("in_one_task", [1_000_000, 10])
+def test_exact_sample_with_a_hot_key(spark, monkeypatch, in_one_task):
+    monkeypatch.setattr(positions, "_MAX_ROWS_RANKED_IN_ONE_TASK", in_one_task)
     df = spark.createDataFrame([("hot", n) for n in range(600)] + [(f"k{n}", n) for n in range(600)], "k string, n int")
     got = positions.sample_exact(df, 0.25, "k")
     assert got.count() == 300 and got.columns == ["k", "n"]
+    # 600 equal keys fall into one bucket; a quarter, half and three quarters cut it or not
+    for frac in (0.5, 0.75, 0.99):
+        assert positions.sample_exact(df, frac, "k").distinct().count() == round(1200 * frac)
 
 
 def test_select_repos_samples_without_segment(spark):

@@ -13,6 +13,7 @@ from corpuslens.plans.extract import extract, outcomes, success_report
 from corpuslens.operators import positions
 from corpuslens.sources import readers, writers
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 SLIM_COLUMNS = schemas.SLIM.names
 
@@ -71,6 +72,25 @@ def test_slim_scan(spark, corpus, tmp_path):
     assert again.columns == SLIM_COLUMNS and again.count() == 100
 
 
+def test_slim_scan_of_other_types(spark, corpus, tmp_path):
+    path = str(tmp_path / "wide")
+    wide = readers.scan_corpus(spark, corpus).withColumn("ave_ll", F.col("ave_ll").cast("double"))
+    wide = wide.withColumn("extra", F.lit("x"))
+    wide.write.parquet(path)
+    rows = readers.scan_corpus(spark, path, is_slim=True, schema=wide.schema)
+    assert rows.columns == [*SLIM_COLUMNS, "extra"]
+    labels = rules.cascade(rows, rules.tier("moderate"), "off").groupBy("reason").count()
+    again = rules.cascade(readers.scan_corpus(spark, corpus), rules.tier("moderate"), "off")
+    assert set(labels.collect()) == set(again.groupBy("reason").count().collect())
+
+
+def test_full_schema():
+    assert len(schemas.FULL.names) == len(set(schemas.FULL.names)) == 32
+    lists = schemas.full(T.ArrayType(T.StringType()))
+    assert lists.names == schemas.FULL.names
+    assert isinstance(lists["max_forks_repo_licenses"].dataType, T.ArrayType)
+
+
 def test_missing_path(spark, tmp_path):
     with pytest.raises(Exception, match="PATH_NOT_FOUND"):
         readers.scan_corpus(spark, str(tmp_path / "nowhere"))
@@ -127,7 +147,8 @@ def test_curate(spark, corpus, tmp_path, rebalance):
     assert rows.filter("verdict = 'kept' and reason is not null").count() == 0
     assert rows.filter("verdict = 'rejected' and reason is null").count() == 0
     # original order inside each output file
-    order = rows.select(F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i"), "src_path", "src_row")
+    place = [F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")]
+    order = rows.select(*place, "src_path", "src_row")
     by_file = {}
     for r in order.orderBy("f", "i").collect():
         by_file.setdefault(r["f"], []).append((r["src_path"], r["src_row"]))

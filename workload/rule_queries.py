@@ -11,9 +11,9 @@ from workload.tables import (
     SQL_SLIM,
     SQL_SLIM_PAGES,
     documents,
-    full_rows,
     slim_documents,
     slim_pages,
+    sql_slim,
     table,
 )
 
@@ -133,15 +133,40 @@ def f8_pages(spark, sf):
     return out.select("page_id", "verdict", "reason")
 
 
-@query("f7_syntax_gate")
+# Documents as Python: all lines are comments, and every second text starts with a statement
+# that only Python 2 accepts. SQL cannot parse, but it knows which texts these are.
+SQL_PROGRAMS = """(SELECT doc_id, source, CASE WHEN doc_id % 2 = 1 THEN 'print ''x''' || chr(10)
+                     ELSE '' END || '# ' || replace(text, chr(10), chr(10) || '# ') AS body
+                   FROM documents)"""
+SQL_SLIM_PROGRAMS = sql_slim(SQL_PROGRAMS, "body", "doc_id", "source", "'Python'")
+
+
+@query(
+    "f7_syntax_gate",
+    f"""SELECT doc_id, CASE WHEN reason IS NULL THEN 'kept' ELSE 'rejected' END AS verdict, reason
+        FROM (SELECT doc_id, CASE WHEN reason IS NULL AND doc_id % 2 = 1 THEN 'python2'
+                                  ELSE reason END AS reason
+              FROM {sql_labelled(TIERS['permissive'], source=SQL_SLIM_PROGRAMS)})""",
+)
 def f7(spark, sf):
-    """Every second document as a block of Python comments, all treated as Python."""
     commented = F.concat(F.lit("# "), F.replace("text", F.lit("\n"), F.lit("\n# ")))
-    body = F.when(F.col("doc_id") % 2 == 0, commented).otherwise(F.col("text"))
-    rows = documents(spark, sf).withColumn("body", body).withColumn("kind", F.lit("Python"))
-    full = full_rows(rows, "body", "source", "kind")
-    slim = rules.slim(full, also=[F.col("doc_id")])
-    return rules.cascade(slim, TIERS["permissive"]).select("doc_id", "verdict", "reason")
+    old = F.when(F.col("doc_id") % 2 == 1, F.lit("print 'x'\n")).otherwise(F.lit(""))
+    rows = documents(spark, sf).select(
+        "doc_id", F.concat(old, commented).alias("content"), F.lit("Python").alias("repo_lang")
+    )
+    out = rules.cascade_text(rows, TIERS["permissive"], python_gate="python_only")
+    return out.select("doc_id", "verdict", "reason")
+
+
+@query(
+    "f7_gate_skips_other_languages",
+    f"SELECT doc_id, verdict, reason FROM {sql_labelled(TIERS['permissive'])}",
+)
+def f7_others(spark, sf):
+    """Prose that does not parse, but is not Python either."""
+    rows = documents(spark, sf).withColumn("repo_lang", F.col("lang"))
+    out = rules.cascade_text(rows, TIERS["permissive"], "python_only", "text")
+    return out.select("doc_id", "verdict", "reason")
 
 
 @query(

@@ -428,7 +428,7 @@ def d1(spark, sf):
 
 @query(
     "d1_first_of_each_text",
-    f"""SELECT min(doc_id) AS doc_id FROM documents
+    f"""SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents
         GROUP BY regexp_replace(text, '{SQL_WHITESPACE}', '', 'g')""",
 )
 def d1_first(spark, sf):
