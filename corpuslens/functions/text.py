@@ -4,6 +4,8 @@ Line and whitespace rules are those of Python's ``str.splitlines`` and of ``\\s`
 Python pattern. Both are wider than the Java defaults, so the classes are spelled out.
 """
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -16,6 +18,9 @@ WHITESPACE = r"(?U)[\s\x1c-\x1f]"
 
 ALPHANUMERIC = r"[\p{L}\p{N}]+"
 
+TEXT_STATS = ("size", "max_line_length", "avg_line_length", "alphanum_fraction")
+LINE_STATS = {"max_line_length", "avg_line_length"}
+
 _UNITS = {"B": 1, "KB": 1024, "MB": 1024**2, "GB": 1024**3}
 
 
@@ -60,9 +65,13 @@ def settle(df: DataFrame, columns: dict[str, Column]) -> DataFrame:
     )
 
 
-def with_line_stats(df: DataFrame, text: str = "content") -> DataFrame:
-    """Add ``size`` in UTF-8 bytes, ``max_line_length`` and ``avg_line_length``.
+def with_text_stats(
+    df: DataFrame, text: str = "content", only: Iterable[str] = TEXT_STATS
+) -> DataFrame:
+    """Add the statistics the quality rules read.
 
+    ``size`` in UTF-8 bytes, ``max_line_length``, ``avg_line_length`` and
+    ``alphanum_fraction``, or ``only`` some of them: what is not asked for is not computed.
     The text is split into lines once; what is kept of them is a narrow integer array.
     """
     body, lengths = F.col(text), F.col("_line_lengths")
@@ -74,16 +83,13 @@ def with_line_stats(df: DataFrame, text: str = "content") -> DataFrame:
         "size": F.octet_length(body).cast("bigint"),
         "max_line_length": F.array_max(lengths).cast("bigint"),
         "avg_line_length": F.when(body.isNotNull(), F.coalesce(average, F.lit(0.0))),
+        "alphanum_fraction": alphanum_fraction(body),
     }
+    wanted = {name: stats[name] for name in only}
+    if not LINE_STATS & set(wanted):
+        return settle(df, wanted)
     measured = df.withColumn("_line_lengths", line_lengths(body))
-    return settle(measured, stats).drop("_line_lengths")
-
-
-def with_text_stats(df: DataFrame, text: str = "content") -> DataFrame:
-    """Add the four statistics the quality rules read: those of the lines and
-    ``alphanum_fraction``."""
-    share = {"alphanum_fraction": alphanum_fraction(F.col(text))}
-    return settle(with_line_stats(df, text), share)
+    return settle(measured, wanted).drop("_line_lengths")
 
 
 def text_size(length: Column, unit: str = "MB") -> Column:

@@ -12,7 +12,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions.text import alphanum_fraction, settle, with_line_stats
+from corpuslens.functions.text import alphanum_fraction, settle, with_text_stats
 from corpuslens.operators.syntax import PYTHON, parses_as_python
 from corpuslens.schemas import SLIM, SLIM_FROM_FULL
 
@@ -70,11 +70,12 @@ def _limit(df: DataFrame, column: str, value: float) -> Column:
     A double literal next to a 32-bit column would move the boundary: 0.001 as a float is
     larger than 0.001 as a double.
     """
-    return F.lit(value).cast(df.schema[column].dataType)
+    kind = df.schema[column].dataType if column in df.columns else SLIM[column].dataType
+    return F.lit(value).cast(kind)
 
 
 def rules(df: DataFrame, limits: Thresholds) -> list[Rule]:
-    """The rules over the slim columns of ``df``.
+    """The rules over the slim columns of ``df``; each needs only the columns it reads.
 
     Spark orders NaN above every number, so lower bounds on floating columns exclude it
     explicitly; an upper bound already does.
@@ -145,7 +146,8 @@ def cascade_text(
     The slim statistics are added. Counting letters costs as much as splitting lines, so it
     is done only for rows that pass the rules before it; the others have a null there.
     """
-    measured = with_line_stats(df, content).select(
+    sizes = with_text_stats(df, content, ("size", "max_line_length", "avg_line_length"))
+    measured = sizes.select(
         *df.columns,
         F.col("size").cast("int").alias("file_size"),
         F.col("max_line_length").cast("int").alias("max_ll"),

@@ -103,7 +103,7 @@ def curate(
     files = materialize(selected_files(spark, root, choice))  # listed once
     labelled = _label(spark, root, files, limits, is_slim, python_gate)
     writers.write_curated(labelled, f"{out}/rows", mode, rebalance)
-    target = F.concat_ws("/", F.lit(f"{out}/rows/verdict=kept"), F.concat(F.lit("lang="), "lang"))
+    target = writers.kept_directory(f"{out}/rows", F.col("lang"))
     files = files.withColumn("filtered_pq_path", target)
     writers.write_file_table(files, f"{out}/filtered_meta", mode)
     return spark.read.schema(files.schema).option("header", True).csv(f"{out}/filtered_meta")

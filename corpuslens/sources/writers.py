@@ -1,8 +1,11 @@
 """Where results go. Every writer is one job; the commit protocol makes it all or nothing."""
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+# Printable characters that Spark escapes in directory names, besides the percent.
+_ESCAPED = "\"#'*/:=?\\{[]^"
+
 # Rows of one output file; keeps a large language from ending in one huge file.
 MAX_RECORDS_PER_FILE = 500_000
 
@@ -30,6 +33,17 @@ def write_curated(
     writer.option("maxRecordsPerFile", max_records_per_file).parquet(path)
 
 
+def kept_directory(path: str, lang: Column) -> Column:
+    """Directory below ``path`` that holds the kept rows of a language.
+
+    Spark writes some characters of a partition value as percent escapes.
+    """
+    value = F.replace(lang, F.lit("%"), F.lit("%25"))
+    for char in _ESCAPED:
+        value = F.replace(value, F.lit(char), F.lit(f"%{ord(char):02X}"))
+    return F.concat(F.lit(f"{path.rstrip('/')}/verdict=kept/lang="), value)
+
+
 def read_kept(curated: DataFrame) -> DataFrame:
     return curated.filter(F.col("verdict") == "kept")
 

@@ -2,8 +2,10 @@
 
 from pyspark.sql import functions as F
 
+from corpuslens.functions.text import with_text_stats
 from corpuslens.operators import positions, reports, rules
 from corpuslens.operators.rules import TIERS, Thresholds
+from corpuslens.schemas import SLIM, SLIM_FROM_FULL
 from corpuslens.session import materialize
 from corpuslens.sources.readers import spread
 from workload.registry import query
@@ -60,6 +62,16 @@ def labelled(spark, sf, limits):
 # F1 to F6: each rule on its own, moderate limits ------------------------------------------
 
 
+RULE_STATS = {
+    "max_ll": ["max_line_length"],
+    "file_too_small": ["size"],
+    "file_too_large": ["size"],
+    "alphanum_frac": ["alphanum_fraction"],
+    "ave_ll": ["avg_line_length"],
+    "min_lines": ["size", "avg_line_length"],
+}
+
+
 def _single_rule(number, reason):
     limits = TIERS["moderate"]
 
@@ -69,7 +81,12 @@ def _single_rule(number, reason):
             FROM {SQL_SLIM}""",
     )
     def build(spark, sf):
-        rows = slim_documents(spark, sf)
+        stats = RULE_STATS[reason]
+        rows = with_text_stats(documents(spark, sf), "text", stats)
+        names = {SLIM_FROM_FULL[field.name]: field for field in SLIM.fields}
+        rows = rows.select(
+            "doc_id", *[F.col(s).cast(names[s].dataType).alias(names[s].name) for s in stats]
+        )
         rule = rules.rules(rows, limits)[number - 1]
         return rows.select("doc_id", F.coalesce(rule.holds, F.lit(False)).alias("holds"))
 
