@@ -55,7 +55,7 @@ def running_mean(
     rates = materialize(rates)
     low, high = rates.agg(F.min(order_by), F.max(order_by)).first()
     width = -(-((high or 0) - (low or 0) + 1) // _BLOCKS)
-    blocked = rates.withColumn("_block", F.expr(f"({order_by} - {low or 0}) div {width}"))
+    blocked = rates.withColumn("_block", F.expr(f"(`{order_by}` - {low or 0}) div {width}"))
     inside = Window.partitionBy("_block").orderBy(order_by)
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)

@@ -126,7 +126,8 @@ def cascade(
         if python_gate == "python_only":
             gated = gated & F.lower(F.col(lang)).isin(list(PYTHON))
         gated = F.coalesce(gated, F.lit(False))
-        out = out.withColumn("_parses", parses_as_python(F.when(gated, F.col(content))))
+        # settled, or a filter on the verdict would parse every text a second time
+        out = settle(out, {"_parses": parses_as_python(F.when(gated, F.col(content)))})
         out = out.withColumn(
             "reason",
             F.when(gated & ~F.col("_parses"), F.lit(SYNTAX_REASON)).otherwise(F.col("reason")),
@@ -161,7 +162,7 @@ def cascade_text(
 
 
 def kept_text(df: DataFrame, limits: Thresholds, content: str = "content") -> DataFrame:
-    """Rows of raw text that pass all rules, with the slim statistics.
+    """Rows of raw text that pass all rules, with the slim statistics and no syntax gate.
 
     Order does not matter where no reason is given, so rows of the wrong size go first and
     are never split into lines.

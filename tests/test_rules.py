@@ -192,6 +192,8 @@ def test_syntax_gate_only_sees_rows_that_passed(spark):
     assert out.first()["reason"] == "max_ll"
     plan = out._jdf.queryExecution().executedPlan().toString()
     assert plan.count("ArrowEvalPython") == 1 and "isnull(reason" in plan
+    for side in rules.split(out):
+        assert side._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1
     plain = rules.cascade(rows, TIERS["moderate"], "off")
     assert "Python" not in plain._jdf.queryExecution().executedPlan().toString()
 
