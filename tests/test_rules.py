@@ -1,4 +1,5 @@
 import math
+import random
 
 import numpy as np
 import pytest
@@ -75,6 +76,29 @@ def test_bounds(spark, name):
     assert got == [expected_reason(GOOD | c, limits) for c in changes]
 
 
+@pytest.mark.parametrize("name", TIERS)
+def test_random_rows_against_the_rules_spelled_out(spark, name):
+    limits, draw = TIERS[name], random.Random(11)
+    near = {
+        "max_ll": [None, 0, limits.min_max_ll - 1, limits.min_max_ll, limits.max_ll, limits.max_ll + 1],
+        "file_size": [None, 0, limits.min_len, 1023, 40_000, limits.max_size_kbs * 1024 + 1023, 2**30],
+        "alphanum_frac": [None, float("nan"), 0.0, limits.min_alphanum, 0.5, limits.max_alphanum, 1.0],
+        "ave_ll": [None, float("nan"), 0.0, float(limits.min_ave_ll), limits.min_ave_ll + 0.5, 33.3, 1e6],
+    }
+    weights = {column: [1] * 3 + [12] * (len(values) - 3) for column, values in near.items()}
+    changes = [
+        {column: draw.choices(values, weights[column])[0] for column, values in near.items()}
+        for _ in range(1500)
+    ]
+    want = [expected_reason(GOOD | c, limits) for c in changes]
+    assert len(set(want)) == 7
+    rows = slim_rows(spark, changes)
+    out = rules.cascade(rows, limits, "off").orderBy("id").select("reason")
+    assert [r[0] for r in out.collect()] == want
+    kept = {r["id"] for r in rules.kept_only(rows, limits).select("id").collect()}
+    assert kept == {n for n, reason in enumerate(want) if reason is None}
+
+
 def test_nan_fails_the_first_rule_that_reads_it(spark):
     nan = float("nan")
     assert reasons(spark, [{"ave_ll": nan}, {"alphanum_frac": nan}]) == ["ave_ll", "alphanum_frac"]

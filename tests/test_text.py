@@ -1,3 +1,4 @@
+import random
 import re
 
 import pandas as pd
@@ -44,6 +45,38 @@ def test_line_statistics_follow_python(spark):
     ]
 
 
+def random_texts(count, seed):
+    draw = random.Random(seed)
+    alphabet = BREAKS + list("aZ09_-.,;(){}\"'\\ \t") + list("éßñ中文ⅣⅫ²½\u0301\xa0\u3000\u200b\ufeff") + [
+        "\U0001F600", "\U00020000", "\x00", "\x1f", "\x7f", "b'", "ab" * 5,
+    ]
+    return ["".join(draw.choices(alphabet, k=draw.randrange(60))) for _ in range(count)]
+
+
+def test_random_texts_follow_python(spark):
+    bodies = random_texts(800, seed=3)
+    rows = text.with_text_stats(frame(spark, bodies), "text")
+    rows = rows.withColumn("stripped", text.remove_whitespace(F.col("text"))).orderBy("id").collect()
+    for body, row in zip(bodies, rows, strict=True):
+        lines = body.splitlines()
+        assert row["max_line_length"] == max(map(len, lines), default=0)
+        assert row["avg_line_length"] == (sum(map(len, lines)) / len(lines) if lines else 0)
+        assert row["alphanum_fraction"] == (sum(map(str.isalnum, body)) / len(body) if body else 0)
+        assert row["stripped"] == re.sub(r"\s+", "", body)
+
+
+@pytest.mark.parametrize("only", [("size",), ("alphanum_fraction",), ("avg_line_length", "size")])
+def test_only_some_statistics(spark, only):
+    rows = frame(spark, TEXTS)
+    some = text.with_text_stats(rows, "text", only).orderBy("id")
+    assert some.columns == ["id", "text", *only]
+    every = text.with_text_stats(rows, "text").orderBy("id").select(some.columns)
+    assert some.collect() == every.collect()
+    plan = some._jdf.queryExecution().optimizedPlan().toString()
+    assert ("split(" in plan) == ("avg_line_length" in only)
+    assert ("regexp_replace" in plan) == ("alphanum_fraction" in only)
+
+
 def test_missing_text_has_no_statistics(spark):
     row = text.with_text_stats(frame(spark, [None]), "text").first()
     assert [row[c] for c in ("size", "max_line_length", "avg_line_length", "alphanum_fraction")] == [None] * 4
