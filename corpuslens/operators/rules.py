@@ -50,8 +50,10 @@ RULE_REASONS = [
 SYNTAX_REASON = "python2"
 
 
-def tier(name: str) -> Thresholds:
-    """Thresholds of a tier, whatever the case of its name."""
+def tier(name: str | Thresholds) -> Thresholds:
+    """Thresholds of a tier, whatever the case of its name; own thresholds pass through."""
+    if isinstance(name, Thresholds):
+        return name
     try:
         return TIERS[name.lower()]
     except KeyError:

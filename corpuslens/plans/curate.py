@@ -40,7 +40,7 @@ def selected_files(
 def label_corpus(
     spark: SparkSession,
     root: str,
-    tier: str = "permissive",
+    tier: str | rules.Thresholds = "permissive",
     choice: LanguageChoice = LanguageChoice(),
     is_slim: bool = False,
     python_gate: str = "python_only",
@@ -86,12 +86,13 @@ def curate(
     spark: SparkSession,
     root: str,
     output: str,
-    tier: str = "permissive",
+    tier: str | rules.Thresholds = "permissive",
     choice: LanguageChoice = LanguageChoice(),
     is_slim: bool = False,
     python_gate: str = "python_only",
     mode: str = "errorifexists",
     rebalance: bool = False,
+    keep_origin: bool = True,
 ) -> DataFrame:
     """Curate a corpus tree: one scan, one partitioned write, one file table.
 
@@ -102,7 +103,7 @@ def curate(
     limits = rules.tier(tier)
     files = materialize(selected_files(spark, root, choice))  # listed once
     labelled = _label(spark, root, files, limits, is_slim, python_gate)
-    writers.write_curated(labelled, f"{out}/rows", mode, rebalance)
+    writers.write_curated(labelled, f"{out}/rows", mode, rebalance, keep_origin)
     target = writers.kept_directory(f"{out}/rows", F.col("lang"))
     files = files.withColumn("filtered_pq_path", target)
     writers.write_file_table(files, f"{out}/filtered_meta", mode)

@@ -15,12 +15,13 @@ def write_curated(
     path: str,
     mode: str = "errorifexists",
     rebalance: bool = False,
+    keep_origin: bool = True,
     max_records_per_file: int = MAX_RECORDS_PER_FILE,
 ) -> None:
     """Write kept rows and rejects in one pass as ``verdict=.../lang=...`` directories.
 
     Rows keep their original order inside each output file where ``src_path`` and
-    ``src_row`` are present. Without ``rebalance`` nothing is shuffled: a corpus stored by
+    ``src_row`` are present; ``keep_origin`` says whether these two are written. Without ``rebalance`` nothing is shuffled: a corpus stored by
     language gives each task one or two directories to write. With it, rows are regrouped
     into files of the advisory size, and a language too large for one task is split.
     """
@@ -29,6 +30,8 @@ def write_curated(
         labelled = labelled.hint("rebalance", *keys)
     origin = [c for c in ("src_path", "src_row") if c in labelled.columns]
     ordered = labelled.sortWithinPartitions(*keys, *origin)
+    if not keep_origin:
+        ordered = ordered.drop(*origin)
     writer = ordered.write.mode(mode).partitionBy(*keys)
     writer.option("maxRecordsPerFile", max_records_per_file).parquet(path)
 

@@ -163,6 +163,24 @@ def test_curate(spark, corpus, tmp_path, rebalance):
         curate(spark, corpus, out)
 
 
+def test_own_thresholds_without_origin(spark, corpus, tmp_path):
+    out, strict = str(tmp_path / "out"), rules.Thresholds(min_len=2001)
+    curate(spark, corpus, out, strict, LanguageChoice(bad_langs=("c++",)), keep_origin=False)
+    rows = spark.read.parquet(f"{out}/rows")
+    assert set(rows.columns) == {*SLIM_COLUMNS, "reason", "verdict", "lang"}
+    assert rows.count() == 64
+    reasons = {r["reason"] for r in rows.select("reason").distinct().collect()}
+    assert reasons == {"max_ll", "file_too_small"}
+    place = [F.col("_metadata.file_path").alias("f"), F.col("_metadata.row_index").alias("i")]
+    by_file = {}
+    for r in rows.select(*place, "repo_name").orderBy("f", "i").collect():
+        by_file.setdefault(r["f"], []).append(r["repo_name"])
+    # each input file holds the repositories in ascending order
+    for names in by_file.values():
+        descents = sum(a > b for a, b in zip(names, names[1:]))
+        assert descents <= 1
+
+
 def test_curate_reads_the_corpus_once(spark, corpus):
     plan = label_corpus(spark, corpus)._jdf.queryExecution().executedPlan().toString()
     assert plan.count("Scan parquet") == 1 and "Exchange" not in plan
