@@ -37,7 +37,10 @@ def first_file(files: DataFrame, order_by: str = "pq_path") -> DataFrame:
 
 
 def with_language_totals(files: DataFrame) -> DataFrame:
-    """Attach the totals of its language to every file."""
+    """Attach the totals of its language to every file.
+
+    The listing is read twice, so one that is costly to compute should be materialized.
+    """
     return files.join(language_totals(files), "lang", "left")
 
 

@@ -24,8 +24,11 @@ class LanguageChoice:
 def selected_files(
     spark: SparkSession, root: str, choice: LanguageChoice = LanguageChoice()
 ) -> DataFrame:
-    """File table of a corpus tree with language totals, restricted to the choice."""
-    meta = languages.with_language_totals(readers.list_corpus(spark, root))
+    """File table of a corpus tree with language totals, restricted to the choice.
+
+    Files are listed once; the listing is kept as a table and read several times.
+    """
+    meta = languages.with_language_totals(materialize(readers.list_corpus(spark, root)))
     meta = meta.select("pq_path", "lang", "lang_size_mb", "lang_file_cnt")
     return languages.select_languages(
         meta,
@@ -101,7 +104,7 @@ def curate(
     """
     out = output.rstrip("/")
     limits = rules.tier(tier)
-    files = materialize(selected_files(spark, root, choice))  # listed once
+    files = materialize(selected_files(spark, root, choice))
     labelled = _label(spark, root, files, limits, is_slim, python_gate)
     writers.write_curated(labelled, f"{out}/rows", mode, rebalance, keep_origin)
     target = writers.kept_directory(f"{out}/rows", F.col("lang"))

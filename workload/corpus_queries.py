@@ -3,12 +3,18 @@
 from pyspark.sql import functions as F
 
 from corpuslens.operators import languages, positions, reports
+from corpuslens.session import materialize
 from workload.registry import query
 from workload.tables import SQL_FILES, SQL_META, SQL_TOTALS, corpus_files, table
 
 
+def listing(spark, sf):
+    """The file listing as a table, since it is read several times and comes from all texts."""
+    return materialize(corpus_files(spark, sf))
+
+
 def meta(spark, sf):
-    return languages.with_language_totals(corpus_files(spark, sf)).drop("length", "first_doc")
+    return languages.with_language_totals(listing(spark, sf)).drop("length", "first_doc")
 
 
 @query(
@@ -38,7 +44,7 @@ def a3(spark, sf):
         FROM {SQL_FILES} f LEFT JOIN {SQL_TOTALS} t ON f.lang = t.lang""",
 )
 def j1(spark, sf):
-    joined = languages.with_language_totals(corpus_files(spark, sf))
+    joined = languages.with_language_totals(listing(spark, sf))
     return joined.select("pq_path", "length", "lang_size_mb", "lang_file_cnt")
 
 
