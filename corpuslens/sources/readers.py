@@ -1,9 +1,10 @@
 """Where tables come from: parquet corpora, CSV lists, JSON archives and file trees."""
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
+from pyarrow import fs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -173,10 +174,33 @@ def list_repositories(repos: DataFrame, root: str) -> DataFrame:
     return level.unionByName(below).filter("not is_folder").select(*LISTING.names)
 
 
+def _file_systems() -> Callable[[str], tuple[fs.FileSystem, str]]:
+    """A function that finds the file system of a path with a scheme and the path inside it.
+
+    Each worker connects to a store once. It is made here, not at module level, so that it
+    is shipped to the workers by value.
+    """
+    known = {}
+
+    def resolve(path):
+        from pyarrow import fs
+
+        scheme, rest = path.split("://", 1)
+        host, _, inside = rest.partition("/")
+        if (scheme, host) not in known:
+            files, start = fs.FileSystem.from_uri(f"{scheme}://{host}/")
+            known[scheme, host] = files, start.rstrip("/")
+        files, start = known[scheme, host]
+        return files, f"{start}/{inside}"
+
+    return resolve
+
+
 def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFrame:
     """Entries of the directories ``<root>/<repo_name>/<folder>``, or all files below them."""
     base = root.rstrip("/")
     fields = _ENTRY.names
+    resolve = _file_systems()
 
     # Nested, like all functions for workers, so that it is shipped by value.
     def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -188,7 +212,7 @@ def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFra
         def children(path):
             """Name, whether it is a directory, and length of what a directory holds."""
             if "://" in path:  # a remote store; without a scheme, a mounted disk
-                files, inner = fs.FileSystem.from_uri(path)
+                files, inner = resolve(path)
                 selector = fs.FileSelector(inner, allow_not_found=True)
                 for info in files.get_file_info(selector):
                     if info.type in (fs.FileType.File, fs.FileType.Directory):
@@ -249,15 +273,15 @@ def read_contents(listing: DataFrame, task_bytes: int = 128 * 1024 * 1024) -> Da
     gets null; any other error fails the task, which Spark then tries again.
     """
     fields = CONTENTS.names
+    resolve = _file_systems()
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import pyarrow as pa
-        from pyarrow import fs
 
         def content(path):
             try:
                 if "://" in path:
-                    files, inner = fs.FileSystem.from_uri(path)
+                    files, inner = resolve(path)
                     with files.open_input_stream(inner) as handle:
                         return handle.read()
                 with open(path, "rb") as handle:

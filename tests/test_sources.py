@@ -321,6 +321,10 @@ def test_extract(spark, tree, repos):
 def test_remote_style_path(spark, tree, repos):
     names = {r["file_name"] for r in readers.list_repositories(repos, "file://" + tree).collect()}
     assert "__init__.py" in names and "src/_private/main.py" in names and ".git/config.py" not in names
+    got = {}
+    for r in extract(repos, "file://" + tree).collect():
+        got.setdefault(r["meta"]["repo_name"], set()).add(r["meta"]["file_name"])
+    assert got == WANTED
     listed = readers.list_repositories(repos, "file://" + tree).filter("file_name = 'main.py'")
     assert readers.read_contents(listed).first()["content"].startswith(b"# other")
 
