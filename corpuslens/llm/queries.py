@@ -10,6 +10,8 @@ from corpuslens.llm import (
     decontamination,
     host_quality,
     language_id,
+    substring_dedup,
+    suffix_dedup,
     tokens,
 )
 from corpuslens.session import materialize
@@ -205,3 +207,18 @@ def op6(spark: SparkSession, sf: str) -> DataFrame:
 @query("op9_cutting_stock")
 def op9(spark: SparkSession, sf: str) -> DataFrame:
     return cutting_stock.pack_cutting_stock(table(spark, sf, "documents"), tokens.default_path())
+
+
+# 1, 7, 8 ---------------------------------------------------------------------------------
+
+
+@query("op1_suffix_dedup")
+def op1(spark: SparkSession, sf: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeated_bytes(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query("op8_substring_dedup")
+def op8(spark: SparkSession, sf: str) -> DataFrame:
+    cut = substring_dedup.remove_repeated_words(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
