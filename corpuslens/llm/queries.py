@@ -9,6 +9,7 @@ from corpuslens.llm import (
     cutting_stock,
     decontamination,
     host_quality,
+    jaccard_join,
     language_id,
     substring_dedup,
     suffix_dedup,
@@ -218,6 +219,11 @@ def op1(spark: SparkSession, sf: str) -> DataFrame:
     return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
 
 
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, sf: str) -> DataFrame:
+    return jaccard_join.jaccard_components(table(spark, sf, "documents"))
+
+
 @query("op8_substring_dedup")
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     cut = substring_dedup.remove_repeated_words(table(spark, sf, "documents"))

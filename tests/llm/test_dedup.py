@@ -5,7 +5,7 @@ import random
 import brute
 import pytest
 
-from corpuslens.llm import passages, substring_dedup, suffix_dedup
+from corpuslens.llm import jaccard_join, passages, substring_dedup, suffix_dedup
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -70,11 +70,54 @@ def test_words_agree_with_brute_force(spark, texts, limit):
     assert got == brute.op8(texts)
 
 
+def near_copies():
+    rng = random.Random(9)
+    words = ["".join(rng.choices("abcdef", k=4)) for _ in range(400)]
+    rows, key = [], 0
+    for n in (5, 8, 11, 30, 60, 130, 400):
+        for _ in range(6):
+            base = rng.choices(words, k=n)
+            for _ in range(14):
+                copy = list(base)
+                for _ in range(rng.randint(0, max(1, n // 25))):
+                    copy[rng.randrange(n)] = rng.choice(words)
+                rows.append((key, " ".join(copy)))
+                key += 1
+    chain = rng.choices(words, k=120)  # each links with the next only
+    for _ in range(40):
+        chain = chain[4:] + rng.choices(words, k=4)
+        rows.append((key, " ".join(chain).upper()))
+        key += 1
+    rows += [(key, None), (key + 1, " "), (key + 2, "a"), (key + 3, "A\n")]
+    rng.shuffle(rows)
+    return rows
+
+
+@pytest.mark.parametrize("least", [16, 1], ids=["rare", "frequent"])
+def test_components_agree_with_brute_force(spark, monkeypatch, least):
+    monkeypatch.setattr(jaccard_join, "LEAST_HEAVY", least)
+    rows = near_copies()
+    docs = spark.createDataFrame(rows, SCHEMA).repartition(5)
+    assert as_dict(jaccard_join.jaccard_components(docs), "n_shingles", "component_id") == brute.op7(rows)
+
+
+def test_odd_components(spark):
+    assert jaccard_join.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
+    rows = [(None, "a b c d e", 1), (4, "a b c d e", 2), (4, "a b c d e", 2), (3, "A B c d e", 0), (5, None, 0)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, n int")
+    out = sorted(map(str, jaccard_join.jaccard_components(docs).collect()))
+    assert out == sorted(
+        f"Row(doc_id={a}, n_shingles={b}, component_id={c})"
+        for a, b, c in [(None, None, None), (4, 2, 3), (4, 2, 3), (3, 2, 3), (5, 0, 5)]
+    )
+
+
 def test_queries_agree_with_brute_force(spark):
     from corpuslens.llm import queries
 
     rows = [tuple(r) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
     assert as_dict(queries.op1(spark, SF), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.op1(rows)
+    assert as_dict(queries.op7(spark, SF), "n_shingles", "component_id") == brute.op7(rows)
     assert as_dict(queries.op8(spark, SF), "n_words", "n_removed", "kept_sha256") == brute.op8(rows)
 
 
