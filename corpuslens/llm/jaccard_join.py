@@ -22,6 +22,8 @@ HEAVY_LEVEL, LEAST_HEAVY = 2, 16
 # Sets smaller than this index frequent tokens alone as well; larger ones in pairs.
 SMALL_SET, MOST_CLASSES = 8, 32
 
+PARITY_BYTES = 32
+
 PARTNERS = 64  # rows of one signature compared at once
 
 
@@ -149,11 +151,12 @@ def signatures(keys: np.ndarray, rare: int, like: Similarity) -> np.ndarray:
     frequent tokens, which are dealt to classes by their hash, a class with k tokens in the
     prefix counts k - 1, because only pairs of its tokens are indexed. The prefix is extended
     until the count exceeds what may be missing: then one signature at least is shared.
+    Signatures of single rare tokens are even, all others odd.
     """
     n = len(keys)
     need = like.missing(n) + 1
     singles = keys[: min(rare, need)]
-    out = [textbuf.mix(singles)]
+    out = []
     if rare < need:
         low, high = like.partners(n)
         for classes in sorted({scheme(m) for m in range(max(low, 1), high + 1)} if high < 300 else {scheme(low), scheme(n), scheme(high)}):
@@ -166,12 +169,13 @@ def signatures(keys: np.ndarray, rare: int, like: Similarity) -> np.ndarray:
             counts[np.unique(kind, return_index=True)[1]] = 0
             enough = int(np.searchsorted(np.cumsum(counts), need - rare)) + 1
             frequent, kind = frequent[:enough], kind[:enough]
-            salt = U64(classes) * U64(0xA24BAED4963EE407)
+            salt = textbuf.mix(np.array([classes], dtype=U64))
             for c in np.unique(kind):
                 own = textbuf.mix(frequent[kind == c] + salt)
                 i, j = np.triu_indices(len(own), 1)
                 out.append(textbuf.mix(own[i] * U64(3) + own[j]))
-    return np.unique(np.concatenate(out))
+    out = [np.concatenate(out) | U64(1)] if out else []
+    return np.unique(np.concatenate([textbuf.mix(singles) & ~U64(1), *out]))
 
 
 def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
@@ -194,7 +198,8 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
                     a, b = int(first[i]), int(first[i + 1])
                     rare = b - a - int(heavy[b] - heavy[a])
                     lists.append(signatures(keys[a:b], rare, like).view(np.int64))
-                    plain.append(min(rare, like.missing(b - a) + 1))
+                    need = like.missing(b - a) + 1
+                    plain.append(min(rare, need))
                 if not lists:
                     continue
                 at = np.concatenate([[0], np.cumsum([len(x) for x in lists])]).astype(np.int32)
@@ -211,33 +216,36 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
     return rows.mapInArrow(run, "doc bigint, n bigint, plain bigint, signatures array<bigint>")
 
 
+MEMBERS = "signature bigint, plain bigint, doc bigint, n bigint, centre bigint, centre_n bigint"
+
+
 def with_company(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows (signature, plain, doc, n), sorted, of signatures that occur more than once; each
     with the first document of its signature, the centre."""
-    held = None  # a first row whose company is not known yet: signature, doc, n, shown
+    held = None  # a first row whose company is not known yet: signature, plain, doc, n, shown
 
-    def made(sig, doc, n, centre, centre_n):
-        columns = [pa.array(c) for c in (sig, doc, n, centre, centre_n)]
-        return pa.RecordBatch.from_arrays(columns, names=["signature", "doc", "n", "centre", "centre_n"])
+    def made(*columns):
+        names = ["signature", "plain", "doc", "n", "centre", "centre_n"]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=names)
 
     for batch in batches:
-        sig, _, doc, n = (c.to_numpy() for c in batch.columns)
+        sig, plain, doc, n = (c.to_numpy() for c in batch.columns)
         if not len(sig):
             continue
         if held is not None:
-            sig, doc, n = (np.concatenate([[h], x]) for h, x in zip(held, (sig, doc, n)))
+            sig, plain, doc, n = (np.concatenate([[h], x]) for h, x in zip(held, (sig, plain, doc, n)))
         new = np.ones(len(sig), dtype=bool)
         new[1:] = sig[1:] != sig[:-1]
         first = np.flatnonzero(new)
         centre = first[np.cumsum(new) - 1]
         keep = ~new | np.append(~new[1:], False)
-        if held is not None and held[3]:
+        if held is not None and held[4]:
             keep[0] = False
         if keep.any():
-            yield made(sig[keep], doc[keep], n[keep], doc[centre[keep]], n[centre[keep]])
+            yield made(sig[keep], plain[keep], doc[keep], n[keep], doc[centre[keep]], n[centre[keep]])
         last = first[-1]
-        shown = (len(sig) - 1 > last) or (held is not None and last == 0 and held[3])
-        held = (sig[last], doc[last], n[last], shown)
+        shown = (len(sig) - 1 > last) or (held is not None and last == 0 and held[4])
+        held = (sig[last], plain[last], doc[last], n[last], shown)
 
 
 # Verification ----------------------------------------------------------------------------
@@ -249,11 +257,16 @@ def sets_of(rows: DataFrame, size: int) -> DataFrame:
             for ids, tokens, first in blocks(batch, size):
                 raw = tokens.tobytes()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids.astype(np.int64)), pa.array(sets, pa.binary())], names=["doc", "set"]
-                )
+                owner = np.repeat(np.arange(len(ids)), np.diff(first))
+                bits = 8 * PARITY_BYTES
+                cell = owner * bits + (tokens % U64(bits)).astype(np.int64)
+                odd = np.bincount(cell, minlength=len(ids) * bits).reshape(len(ids), bits) & 1
+                packed = np.packbits(odd.astype(bool), axis=1)
+                parity = [row.tobytes() for row in packed]
+                columns = [pa.array(ids.astype(np.int64)), pa.array(sets, pa.binary()), pa.array(parity, pa.binary())]
+                yield pa.RecordBatch.from_arrays(columns, names=["doc", "set", "parity"])
 
-    return rows.mapInArrow(run, "doc bigint, set binary")
+    return rows.mapInArrow(run, "doc bigint, set binary, parity binary")
 
 
 def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -279,15 +292,22 @@ def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows (signature, component, doc, n, distance), sorted, of one signature and
-    different components, as far as size and distance from the centre allow a link."""
+    """Pairs of rows (signature, component, doc, n, distance, parity), sorted, of one signature
+    and different components, as far as their sizes, their distances from the centre and their
+    parities allow a link.
+
+    ``parity`` has a bit for every class of tokens: whether the set has an odd number of them.
+    Every token that only one of two sets has flips one bit, so they differ in as many tokens
+    as bits at least.
+    """
     reach = 1 - percent / 100 + 1e-9
+    differ = (100 - percent) / (100 + percent)
 
     def made(a, b):
         low, high = np.minimum(a, b), np.maximum(a, b)
         return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
 
-    def pairs(comp, doc, n, far):
+    def pairs(comp, doc, n, far, parity):
         for i in range(0, len(doc), PARTNERS):
             j = slice(i, i + PARTNERS)
             fits = (comp[j, None] != comp[None, i:]) & (100 * np.minimum(n[j, None], n[None, i:])
@@ -295,6 +315,9 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             known = np.abs(far[j, None] - far[None, i:])
             fits &= ~(known > reach)  # an unknown distance rules nothing out
             x, y = np.nonzero(np.triu(fits, 1))
+            apart = np.bitwise_count(parity[i + x] ^ parity[i + y]).sum(axis=1, dtype=np.int64)
+            fits = apart <= differ * (n[i + x] + n[i + y]) + 1e-9
+            x, y = x[fits], y[fits]
             if len(x):
                 yield made(doc[i + x], doc[i + y])
 
@@ -302,7 +325,10 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
     for batch in batches:
         if not len(batch):
             continue
-        rows = [c.to_numpy() for c in batch.columns]
+        rows = [c.to_numpy() for c in batch.columns[:-1]]
+        data, _ = textbuf.column_bytes(batch.column(5))
+        at = batch.column(5).offset * PARITY_BYTES
+        rows.append(data[at : at + len(batch) * PARITY_BYTES].view(U64).reshape(len(batch), -1))
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows)]
         border = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
@@ -330,8 +356,8 @@ def jaccard_components(
     verified on whole sets. First every set is compared with one other per signature, the one
     with the fewest rare tokens, to which near copies are closest; what that joins need not be
     compared any more, since only components are asked for. Then all pairs that still share a
-    signature across components are compared, unless their sizes, or their distances from the
-    common centre by the triangle inequality, rule a link out. No pair of a finished group is
+    signature across components are compared, unless their sizes, their distances from the
+    common centre by the triangle inequality, or parities of their sets rule a link out. No pair of a finished group is
     ever listed, and no pair that could join two groups is left out.
 
     A null or blank text has an empty set and links with nothing; rows with a null key come
@@ -351,7 +377,7 @@ def jaccard_components(
     members = signs.select(F.explode("signatures").alias("signature"), "plain", "doc", "n")
     members = members.repartition("signature").sortWithinPartitions("signature", "plain", "doc")
     members = materialize(
-        members.mapInArrow(with_company, "signature bigint, doc bigint, n bigint, centre bigint, centre_n bigint")
+        members.mapInArrow(with_company, MEMBERS)
     )
 
     smaller, larger = F.least("n", "centre_n"), F.greatest("n", "centre_n")
@@ -380,9 +406,8 @@ def jaccard_components(
     open_ = materialize(open_.withColumn("distance", own))
     split = open_.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = split.filter("low <> high").select("signature")
-    open_ = open_.join(split, "signature", "left_semi").select(
-        "signature", "component", "doc", "n", "distance", "centre"
-    )
+    open_ = open_.join(split, "signature", "left_semi").join(wanted.select("doc", "parity"), "doc")
+    open_ = open_.select("signature", "component", "doc", "n", "distance", "parity", "centre")
     open_ = open_.filter("doc <> centre").drop("centre")
     rest = open_.repartition("signature").sortWithinPartitions("signature", "component", "doc")
     rest = rest.mapInArrow(lambda batches: across(batches, percent), "a bigint, b bigint").distinct()
