@@ -1,8 +1,79 @@
 """From raw documents to packed sequences: each stage works on all that the one before kept."""
 
-STAGES = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from corpuslens.llm import (
+    cutting_stock,
+    decontamination,
+    jaccard_join,
+    substring_dedup,
+    tokens,
+    toxicity,
+)
+from corpuslens.llm.queries import fold, table
+from corpuslens.session import materialize
+
+
+def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the toxicity model does not reject."""
+    scored = toxicity.score_toxicity(
+        docs,
+        table(spark, sf_dir, "labels"),
+        learn=F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0),
+        keep=[F.col(c) for c in docs.columns],
+    )
+    return scored.filter("predicted = 0").select(*docs.columns)
+
+
+def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The first document of every group linked by the Jaccard join."""
+    groups = jaccard_join.jaccard_components(docs)
+    others = groups.filter("component_id <> doc_id").select("doc_id").distinct()
+    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+
+
+def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Texts without the passages that stand earlier already; untouched texts stay as they are.
+
+    A document of which nothing is left has an empty text.
+    """
+    cut = substring_dedup.remove_repeated_words(docs).filter("n_removed > 0")
+    cut = cut.select("doc_id", F.col("kept").alias("_kept")).dropDuplicates(["doc_id"])
+    text = F.coalesce("_kept", "text")
+    joined = docs.join(cut, "doc_id", "left").withColumn("text", text)
+    return joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
+        *docs.columns
+    )
+
+
+def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that are not contaminated by the benchmark."""
+    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    bad = found.filter("contaminated").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+
+
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of all documents and their places in sequences."""
+    return cutting_stock.pack_cutting_stock(docs, tokens.default_path())
+
+
+STAGES = [
+    ("toxicity", drop_toxic),
+    ("near_duplicates", drop_near_duplicates),
+    ("repeated_passages", cut_repeated_passages),
+    ("decontamination", drop_contaminated),
+    ("packing", pack),
+]
+
+# Tokens and learnt scores cannot be written in SQL.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All stages over the documents; what each returns is written and read by the next."""
+    rows = table(spark, sf_dir, "documents")
+    for _, stage in STAGES:
+        rows = materialize(stage(spark, rows, sf_dir))
+    return rows

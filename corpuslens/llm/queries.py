@@ -14,6 +14,7 @@ from corpuslens.llm import (
     substring_dedup,
     suffix_dedup,
     tokens,
+    toxicity,
 )
 from corpuslens.session import materialize
 
@@ -228,3 +229,17 @@ def op7(spark: SparkSession, sf: str) -> DataFrame:
 def op8(spark: SparkSession, sf: str) -> DataFrame:
     cut = substring_dedup.remove_repeated_words(table(spark, sf, "documents"))
     return cut.select("doc_id", "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+# 10 --------------------------------------------------------------------------------------
+
+
+@query("op10_toxicity")
+def op10(spark: SparkSession, sf: str) -> DataFrame:
+    held_out = F.coalesce(fold("doc_id", 5) == 0, F.lit(False))
+    return toxicity.score_toxicity(
+        table(spark, sf, "documents"),
+        table(spark, sf, "labels"),
+        learn=F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0),
+        keep=[F.col("doc_id"), held_out.alias("held_out")],
+    )
