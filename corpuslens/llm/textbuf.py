@@ -6,6 +6,7 @@ so every substring has a hash in constant time. Bytes are replaced by random 64-
 first, and results are mixed, so that low bits may be used as well.
 """
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -79,8 +80,22 @@ def gram_hashes(values: np.ndarray, k: int) -> np.ndarray:
     return mix((prefix[k:] - prefix[:-k]) * down[: len(values) - k + 1])
 
 
+def release():
+    """Give memory that is no longer used back to the system.
+
+    Python workers live from task to task and share the memory of their executor; what the
+    allocators of Arrow and C keep for later use would add up.
+    """
+    pa.default_memory_pool().release_unused()
+    try:
+        ctypes.CDLL("libc.so.6").malloc_trim(0)
+    except (OSError, AttributeError):  # another C library
+        pass
+
+
 def column_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """Bytes of all texts and their offsets; a null counts as an empty text."""
+    release()
     if isinstance(column, pa.ChunkedArray):
         column = column.combine_chunks()
     if column.null_count:

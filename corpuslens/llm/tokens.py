@@ -14,9 +14,9 @@ import pyarrow as pa
 
 from corpuslens.llm import textbuf
 
-# Distinct pieces remembered per Python worker, about 40 bytes each; beyond it the cache
+# Distinct pieces remembered per Python worker, about 70 bytes each; beyond it the cache
 # starts anew.
-CACHE_PIECES = 1_500_000
+CACHE_PIECES = 1_000_000
 
 _LETTER = np.zeros(256, dtype=bool)
 _LETTER[65:91] = _LETTER[97:123] = True
@@ -145,7 +145,7 @@ class Encoder:
         """Encode pieces that are not known yet."""
         if 2 * (self.size + len(keys)) > len(self.keys):
             old = self.keys, self.at, self.count
-            slots = 1 << int(4 * (self.size + len(keys)) - 1).bit_length()
+            slots = 1 << int(2 * (self.size + len(keys))).bit_length()
             self.bits = np.uint64(65 - slots.bit_length())
             self.keys = np.zeros(slots, dtype=np.uint64)
             self.at = np.zeros(slots, dtype=np.uint32)
@@ -167,7 +167,7 @@ class Encoder:
         count = np.concatenate([np.diff(ends, prepend=-1), [len(x) for x in rest]]).astype(np.int64)
         total = int(count.sum())
         if self.used + total > len(self.flat):
-            grown = np.empty(2 * (self.used + total), dtype=np.uint32)
+            grown = np.empty(5 * (self.used + total) // 4, dtype=np.uint32)
             grown[: self.used] = self.flat[: self.used]
             self.flat = grown
         self.flat[self.used : self.used + len(words)] = words
