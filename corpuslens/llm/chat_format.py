@@ -21,7 +21,7 @@ def escape(value: Column, level: int) -> Column:
         for string, broken in (("###", "#\\-##"), ("</turn>", "<\\-/turn>"), (":", ":\\-")):
             doubled = F.replace(doubled, F.lit(string), F.lit(broken))
         return doubled
-    return F.regexp_replace(doubled, r"([^\\])", r"$1\\\\-")
+    return F.regexp_replace(doubled, r"([^\\])", r"$1\\-")
 
 
 def unescape(value: Column) -> Column:

@@ -1,0 +1,159 @@
+"""Quality, decontamination, chats, language and toxicity; kernels on their own."""
+
+import random
+from collections import defaultdict
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from corpuslens.llm import (
+    chat_format,
+    decontamination,
+    host_quality,
+    language_id,
+    queries,
+    suffix_dedup,
+    textbuf,
+    toxicity,
+)
+from corpuslens.llm.components import connected_components
+
+SF = "/root/testdata/sf0.01"
+
+
+def test_odd_quality_rows(spark):
+    rows = [(None, None, None, 1), (1, "", "h", 1), (1, "", "h", 1), (2, "a b c d e f g h i j k", None, 1),
+            (3, "a b c d e " * 4000, "h", 1), (4, "x\nx\n \n \n", "h", 1)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, source string, n_words int")
+    out = {(r["doc_id"], r["n_words"]): r for r in host_quality.host_quality(docs).collect()}
+    assert len(out) == 5
+    assert out[(None, 0)]["base_failed"] and not out[(None, 0)]["kept"]
+    assert not out[(2, 11)]["base_failed"]
+    assert out[(3, 20000)]["n_repeat_words"] == 20000
+    assert out[(4, 2)]["n_dup_lines"] == 1
+    assert host_quality.host_quality(docs.limit(0)).count() == 0
+
+
+def test_hosts_are_judged_by_shrunken_rates(spark):
+    good, bad = "a b c d e f g h i j k l", "a"
+    rows = [(i, bad if i % 20 else good, "bad") for i in range(200)]
+    rows += [(1000 + i, bad if i % 20 == 0 else good, f"good{i % 9}") for i in range(900)]
+    rows += [(5000, bad, "small"), (5001, good, "small")]
+    out = host_quality.host_quality(spark.createDataFrame(rows, "doc_id bigint, text string, source string"))
+    kept = {r[0] for r in out.filter("kept").select("doc_id").collect()}
+    assert not kept & set(range(200))
+    assert 5001 in kept and 1001 in kept
+
+
+def test_odd_contamination(spark):
+    words = [f"w{i}" for i in range(60)]
+    docs = [(None, " ".join(words), 1), (1, "x " + " ".join(words[3:16]), 1), (2, " ".join(words[3:15]), 1),
+            (3, "Short-ITEM yes", 1), (4, None, 1), (5, "q " * 300 + "short item", 1), (5, "q " * 300 + "short item", 1)]
+    docs = spark.createDataFrame(docs, "doc_id bigint, text string, item_id int")
+    items = [(10, " ".join(words[:40]), 0), (9, "short item", 0), (8, None, 0), (7, "...", 0), (9, "short item", 0)]
+    items = spark.createDataFrame(items, "item_id bigint, text string, doc_id int")
+    out = decontamination.decontaminate(docs, items)
+    got = sorted((str(r[0]), r["n_hit"], r["items"], r["contaminated"]) for r in out.collect())
+    assert got == sorted([
+        ("None", 0, [], False), ("1", 13, ["10"], True), ("2", 0, [], False), ("3", 2, ["9"], True),
+        ("4", 0, [], False), ("5", 2, ["9"], False), ("5", 2, ["9"], False),
+    ])
+    assert decontamination.decontaminate(docs, items.limit(0)).agg(F.sum("n_hit")).first()[0] == 0
+    assert decontamination.decontaminate(docs.limit(0), items).count() == 0
+
+
+def test_chats_round_trip(spark):
+    rng = random.Random(4)
+    bits = ["\\", "-", "</turn>", "\n", "### ", "assistant", ":", "<", "/turn>", "é", "a", "#", "\\-", "\\\\", " "]
+    rows = [(c, t, rng.choice(["user", "assistant", "a:\nb", "###", "", None]),
+             rng.choice([None, "".join(rng.choices(bits, k=rng.randint(0, 12)))]))
+            for c in range(80) for t in range(rng.randint(1, 6))]
+    rows += [(None, 1, "user", "hi"), (200, None, "assistant", "x"), (200, None, "assistant", "x")]
+    chats = spark.createDataFrame(rows, "conv_id bigint, turn bigint, role string, text string")
+    out = chat_format.format_chats(chats).withColumn("read", chat_format.parse(F.col("formatted"))).collect()
+    want = defaultdict(list)
+    for c, t, role, text in sorted(rows, key=lambda r: (str(r[0]), r[1] is not None, r[1] or 0)):
+        want[c].append((role or "", text or ""))
+    assert {r["conv_id"]: [(t["role"], t["text"]) for t in r["read"]] for r in out} == want
+    assert {r["level"] for r in out} >= {0, 1}
+    for r in out:
+        loss = [r["formatted"][s["start"] : s["end"]] for s in r["loss_spans"]]
+        assert loss == [t["raw"] for t in r["read"] if t["role"] == "assistant"]
+
+
+@pytest.mark.parametrize("level", [1, 2])
+def test_escapes_are_reversible(spark, level):
+    values = ["\\", "\\-", "a\\\\-b", "</turn>\n", "### x:\n", "é😀\n", ""]
+    frame = spark.createDataFrame([(v,) for v in values], "v string")
+    there = chat_format.escape(F.col("v"), level)
+    out = frame.select("v", there.alias("e"), chat_format.unescape(there).alias("back")).collect()
+    assert all(r["v"] == r["back"] and "</turn>" not in r["e"] for r in out)
+
+
+def test_language_on_held_out_documents(spark):
+    out = queries.op5(spark, SF).filter("held_out")
+    truth = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "lang")
+    right = out.join(truth, "doc_id").agg(F.avg((F.col("lang") == F.col("lang_pred")).cast("int"))).first()[0]
+    assert right > 0.98
+
+
+def test_odd_languages(spark):
+    rows = [(1, "the cat and the dog", "en"), (2, "der hund und die katze", "de"), (3, None, "de"),
+            (4, " 12 .", None), (None, "der hund", None), (5, "", "en")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string")
+    out = language_id.identify_language(docs, F.col("doc_id") <= 2).collect()
+    assert [(r["doc_id"], r["lang_pred"]) for r in out] == [
+        (1, "en"), (2, "de"), (3, "und"), (4, "und"), (None, "de"), (5, "und")]
+    assert all(0 <= r["score"] <= 1 for r in out)
+    assert language_id.identify_language(docs, F.lit(False)).filter("lang_pred <> 'und'").count() == 0
+    assert language_id.identify_language(docs.limit(0), F.lit(True)).count() == 0
+
+
+def test_toxicity_on_held_out_documents(spark):
+    out = queries.op10(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").filter("held_out")
+    rows = out.select("predicted", "toxic", "score").collect()
+    assert sum(r["predicted"] == r["toxic"] for r in rows) >= 0.93 * len(rows)
+    assert all(0 <= r["score"] <= 1 for r in rows)
+
+
+def test_words_are_restored(spark):
+    model = toxicity.character_model(spark.read.parquet(f"{SF}/documents.parquet"), "text")
+    decoder = toxicity.Decoder(model)
+    for written, word in (("1d10t", "idiot"), ("s t u p i d", "stupid"), ("w0rthle55", "worthless"),
+                          ("scuuuum", "scum"), ("p@thet1c", "pathetic"), ("plain words", "plain words")):
+        assert decoder.restore(written) == word
+
+
+def test_odd_toxicity(spark):
+    docs = spark.createDataFrame([(1, None, 0), (None, "a", 0), (2, "", 1), (2, "", 1)], "doc_id bigint, text string, score int")
+    labels = spark.createDataFrame([(1, 1), (1, 0), (None, 1), (2, None)], "doc_id bigint, toxic int")
+    for known in (labels, labels.limit(0)):
+        out = toxicity.score_toxicity(docs, known, F.lit(True)).collect()
+        assert len(out) == 4 and all(0 <= r["score"] <= 1 for r in out)
+
+
+def test_suffixes_are_sorted():
+    rng = np.random.default_rng(0)
+    data = rng.choice(np.frombuffer(b"ab", np.uint8), 600)
+    prefix = textbuf.prefix_hashes(textbuf.BYTE_VALUES[data])
+    suffix = np.arange(570)
+    order = suffix_dedup.sort_suffixes(data, prefix, suffix, np.zeros(570, np.int64), 30)
+    texts = [data[s : s + 30].tobytes() for s in suffix[order]]
+    assert texts == sorted(texts)
+
+
+def test_components_of_random_graphs(spark):
+    rng = random.Random(6)
+    edges = [(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(i, i + 1) for i in range(400, 460)]
+    label = {n: n for e in edges for n in e}
+    changed = True
+    while changed:
+        changed = False
+        for a, b in edges:
+            low = min(label[a], label[b])
+            changed |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
+    alone = {n for n in label if all(a == b for a, b in edges if n in (a, b))}
+    assert {r["node"]: r["component"] for r in got} == {n: c for n, c in label.items() if n not in alone}
