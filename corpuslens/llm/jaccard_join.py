@@ -22,7 +22,11 @@ HEAVY_LEVEL, LEAST_HEAVY = 2, 16
 # Sets smaller than this index frequent tokens alone as well; larger ones in pairs.
 SMALL_SET, MOST_CLASSES = 8, 32
 
-PARITY_BYTES = 32
+PARITY_BYTES = 128
+
+# Documents to be verified up to this many are picked by a broadcast of their keys, 8 bytes
+# each; beyond it their texts are shuffled.
+MAX_BROADCAST_KEYS = 1_000_000
 
 PARTNERS = 64  # rows of one signature compared at once
 
@@ -179,7 +183,8 @@ def signatures(keys: np.ndarray, rare: int, like: Similarity) -> np.ndarray:
 
 
 def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
-    """Signatures of every set, its size, and how many rare tokens its prefix has."""
+    """Signatures of every set, its size, how many rare tokens its prefix has, and its parity:
+    a bit for every class of tokens, whether the set has an odd number of them."""
     model = rows.sparkSession.sparkContext.broadcast(levels)  # one byte per bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -192,6 +197,10 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
                 owner = np.repeat(np.arange(len(ids)), np.diff(first))
                 keys = keys[np.lexsort((keys, owner))]
                 heavy = np.concatenate([[0], np.cumsum((keys >> U64(60)) >= U64(HEAVY_LEVEL))])
+                bits = 8 * PARITY_BYTES
+                cell = owner * bits + (tokens % U64(bits)).astype(np.int64)
+                odd = np.bincount(cell, minlength=len(ids) * bits).reshape(len(ids), bits) & 1
+                parity = np.packbits(odd.astype(bool), axis=1)
                 some = np.flatnonzero(np.diff(first))
                 lists, plain = [], []
                 for i in some.tolist():
@@ -209,11 +218,14 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
                         pa.array(np.diff(first)[some]),
                         pa.array(np.array(plain, dtype=np.int64)),
                         pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(lists))),
+                        pa.array([parity[i].tobytes() for i in some], pa.binary()),
                     ],
-                    names=["doc", "n", "plain", "signatures"],
+                    names=["doc", "n", "plain", "signatures", "parity"],
                 )
 
-    return rows.mapInArrow(run, "doc bigint, n bigint, plain bigint, signatures array<bigint>")
+    return rows.mapInArrow(
+        run, "doc bigint, n bigint, plain bigint, signatures array<bigint>, parity binary"
+    )
 
 
 MEMBERS = "signature bigint, plain bigint, doc bigint, n bigint, centre bigint, centre_n bigint"
@@ -257,16 +269,11 @@ def sets_of(rows: DataFrame, size: int) -> DataFrame:
             for ids, tokens, first in blocks(batch, size):
                 raw = tokens.tobytes()
                 sets = [raw[8 * a : 8 * b] for a, b in zip(first[:-1].tolist(), first[1:].tolist())]
-                owner = np.repeat(np.arange(len(ids)), np.diff(first))
-                bits = 8 * PARITY_BYTES
-                cell = owner * bits + (tokens % U64(bits)).astype(np.int64)
-                odd = np.bincount(cell, minlength=len(ids) * bits).reshape(len(ids), bits) & 1
-                packed = np.packbits(odd.astype(bool), axis=1)
-                parity = [row.tobytes() for row in packed]
-                columns = [pa.array(ids.astype(np.int64)), pa.array(sets, pa.binary()), pa.array(parity, pa.binary())]
-                yield pa.RecordBatch.from_arrays(columns, names=["doc", "set", "parity"])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(ids.astype(np.int64)), pa.array(sets, pa.binary())], names=["doc", "set"]
+                )
 
-    return rows.mapInArrow(run, "doc bigint, set binary, parity binary")
+    return rows.mapInArrow(run, "doc bigint, set binary")
 
 
 def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -283,14 +290,38 @@ def overlaps(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         )
 
 
-def measured(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """Size of the intersection of every pair ``(a, b)``."""
+def measured(pairs: DataFrame, known: DataFrame, size: int) -> DataFrame:
+    """Size of the intersection of every pair ``(a, b)``; ``pairs`` is a stored table. Sets are
+    made again from the texts of those documents alone that stand in a pair."""
+    docs = pairs.select(F.col("a").alias("doc")).union(pairs.select("b")).distinct()
+    docs = materialize(docs)
+    few = docs.count() <= MAX_BROADCAST_KEYS
+    wanted = known.join(F.broadcast(docs) if few else docs, "doc", "left_semi")
+    sets = materialize(sets_of(wanted, size)).dropDuplicates(["doc"])
     x = sets.select(F.col("doc").alias("a"), F.col("set").alias("x"))
     y = sets.select(F.col("doc").alias("b"), F.col("set").alias("y"))
     both = pairs.select("a", "b").join(x, "a").join(y, "b").select("a", "b", "x", "y")
     return both.mapInArrow(overlaps, "a bigint, b bigint, common bigint")
 
 
+def may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs (a, b, na, nb, parity, parity) that their parities do not rule out."""
+    differ = (100 - percent) / (100 + percent)
+    for batch in batches:
+        if not len(batch):
+            continue
+        x, y = (parities(batch.column(i)) for i in (4, 5))
+        n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
+        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
+        yield batch.select([0, 1, 2, 3]).filter(pa.array(apart <= differ * n + 1e-9))
+
+
+def parities(column: pa.Array) -> np.ndarray:
+    data, _ = textbuf.column_bytes(column)
+    at = column.offset * PARITY_BYTES
+    return data[at : at + len(column) * PARITY_BYTES].view(U64).reshape(len(column), -1)
+
+
 def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
     """Pairs of rows (signature, component, doc, n, distance, parity), sorted, of one signature
     and different components, as far as their sizes, their distances from the centre and their
@@ -303,9 +334,10 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
     reach = 1 - percent / 100 + 1e-9
     differ = (100 - percent) / (100 + percent)
 
-    def made(a, b):
-        low, high = np.minimum(a, b), np.maximum(a, b)
-        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], names=["a", "b"])
+    def made(a, b, na, nb):
+        swap = a > b
+        columns = [np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)]
+        return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "na", "nb"])
 
     def pairs(comp, doc, n, far, parity):
         for i in range(0, len(doc), PARTNERS):
@@ -319,16 +351,14 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
             fits = apart <= differ * (n[i + x] + n[i + y]) + 1e-9
             x, y = x[fits], y[fits]
             if len(x):
-                yield made(doc[i + x], doc[i + y])
+                yield made(doc[i + x], doc[i + y], n[i + x], n[i + y])
 
     held = None
     for batch in batches:
         if not len(batch):
             continue
         rows = [c.to_numpy() for c in batch.columns[:-1]]
-        data, _ = textbuf.column_bytes(batch.column(5))
-        at = batch.column(5).offset * PARITY_BYTES
-        rows.append(data[at : at + len(batch) * PARITY_BYTES].view(U64).reshape(len(batch), -1))
+        rows.append(parities(batch.column(5)))
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows)]
         border = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
@@ -373,25 +403,29 @@ def jaccard_components(
     levels = levels_of(summary.filter("slice >= 0"))
 
     firsts = classes.select(F.col("first").alias("doc"))
-    signs = signed(known, levels, like).join(firsts, "doc", "left_semi").dropDuplicates(["doc"])
+    signs = signed(known, levels, like).join(firsts, "doc", "left_semi")
+    signs = materialize(signs).dropDuplicates(["doc"])
     members = signs.select(F.explode("signatures").alias("signature"), "plain", "doc", "n")
     members = members.repartition("signature").sortWithinPartitions("signature", "plain", "doc")
-    members = materialize(
-        members.mapInArrow(with_company, MEMBERS)
-    )
+    members = materialize(members.mapInArrow(with_company, MEMBERS))
 
+    # everyone with the centre of each signature
     smaller, larger = F.least("n", "centre_n"), F.greatest("n", "centre_n")
     pairs = members.filter((F.col("doc") != F.col("centre")) & (100 * smaller >= percent * larger))
-    pairs = materialize(pairs.select(F.col("doc").alias("a"), F.col("centre").alias("b")).distinct())
-    candidates = members.select("doc").distinct()
-    wanted = sets_of(known.join(candidates, "doc", "left_semi").dropDuplicates(["doc"]), words)
-    wanted = materialize(wanted)
-    size = members.select("doc", "n", "centre", "centre_n").distinct()
-    union = F.col("n") + F.col("centre_n") - F.col("common")
-    near = measured(pairs, wanted).select(F.col("a").alias("doc"), F.col("b").alias("centre"), "common")
-    near = near.join(size, ["doc", "centre"])
+    pairs = pairs.select(
+        F.col("doc").alias("a"), F.col("centre").alias("b"), F.col("n").alias("na"), F.col("centre_n").alias("nb")
+    ).distinct()
+    own = signs.select(F.col("doc").alias("a"), F.col("parity").alias("pa"))
+    others = signs.select(F.col("doc").alias("b"), F.col("parity").alias("pb"))
+    pairs = pairs.join(own, "a").join(others, "b").select("a", "b", "na", "nb", "pa", "pb")
+    pairs = materialize(
+        pairs.mapInArrow(lambda batches: may_link(batches, percent), "a bigint, b bigint, na bigint, nb bigint")
+    )
+    near = measured(pairs, known, words).join(pairs, ["a", "b"])
+    union = F.col("na") + F.col("nb") - F.col("common")
     near = materialize(
-        near.select("doc", "centre", (1 - F.col("common") / union).alias("distance"),
+        near.select(F.col("a").alias("doc"), F.col("b").alias("centre"),
+                    (1 - F.col("common") / union).alias("distance"),
                     (100 * F.col("common") >= percent * union).alias("linked"))
     )
     links = near.filter("linked").select(F.col("doc").alias("a"), F.col("centre").alias("b"))
@@ -399,26 +433,26 @@ def jaccard_components(
 
     # signatures that still span components
     open_ = members.join(labels, F.col("doc") == F.col("node"), "left").drop("node")
-    open_ = open_.withColumn("component", F.coalesce("component", "doc"))
-    open_ = open_.join(near.select("doc", "centre", "distance"), ["doc", "centre"], "left")
-    own = F.when(F.col("doc") == F.col("centre"), 0.0).otherwise(F.col("distance"))
-    own = F.coalesce(own, F.lit(float("nan")))  # sizes ruled out a link with the centre
-    open_ = materialize(open_.withColumn("distance", own))
+    open_ = materialize(open_.withColumn("component", F.coalesce("component", "doc")))
     split = open_.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
     split = split.filter("low <> high").select("signature")
-    open_ = open_.join(split, "signature", "left_semi").join(wanted.select("doc", "parity"), "doc")
-    open_ = open_.select("signature", "component", "doc", "n", "distance", "parity", "centre")
-    open_ = open_.filter("doc <> centre").drop("centre")
+    open_ = open_.filter("doc <> centre").join(split, "signature", "left_semi")
+    open_ = open_.join(near.select("doc", "centre", "distance"), ["doc", "centre"], "left")
+    open_ = open_.join(signs.select("doc", "parity"), "doc").select(
+        "signature", "component", "doc", "n",
+        # not measured: nothing is known of the distance
+        F.coalesce("distance", F.lit(float("nan"))).alias("distance"), "parity",
+    )
     rest = open_.repartition("signature").sortWithinPartitions("signature", "component", "doc")
-    rest = rest.mapInArrow(lambda batches: across(batches, percent), "a bigint, b bigint").distinct()
-    rest = measured(materialize(rest), wanted)
-    counts = wanted.select("doc", (F.octet_length("set") / 8).cast("bigint").alias("size"))
-    rest = rest.join(counts.select(F.col("doc").alias("a"), F.col("size").alias("na")), "a")
-    rest = rest.join(counts.select(F.col("doc").alias("b"), F.col("size").alias("nb")), "b")
-    rest = rest.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
-    rest = materialize(rest.select("a", "b"))
-    if not rest.isEmpty():
-        labels = connected_components(links.unionByName(rest))
+    rest = rest.mapInArrow(
+        lambda batches: across(batches, percent), "a bigint, b bigint, na bigint, nb bigint"
+    )
+    rest = materialize(rest.distinct())
+    found = measured(rest, known, words).join(rest, ["a", "b"])
+    found = found.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
+    found = materialize(found.select("a", "b"))
+    if not found.isEmpty():
+        labels = connected_components(links.unionByName(found))
 
     joined = classes.join(labels, F.col("first") == F.col("node"), "left")
     joined = joined.select("h1", "h2", "n", F.coalesce("component", "first").alias("component"))
