@@ -1,6 +1,6 @@
 """Bytes to text, as column expressions.
 
-Order of attempts: UTF-8; UTF-16 where a byte order mark says so; then a declared
+Order of attempts: UTF-8; UTF-32 or UTF-16 where a byte order mark says so; then a declared
 single-byte charset. Nothing is guessed from letter statistics.
 """
 
@@ -15,12 +15,27 @@ _UNIT_BE = r"(?s)\G(?:[\x00-\xd7\xe0-\xff].|[\xd8-\xdb].[\xdc-\xdf].)"
 _UNIT_LE = r"(?s)\G(?:.[\x00-\xd7\xe0-\xff]|.[\xd8-\xdb].[\xdc-\xdf])"
 
 
+# The same for a UTF-32 unit.
+_FOUR_BE = r"(?s)\G(?:\x00\x00[\x00-\xd7\xe0-\xff].|\x00[\x01-\x10]..)"
+_FOUR_LE = r"(?s)\G(?:.[\x00-\xd7\xe0-\xff]\x00\x00|..[\x01-\x10]\x00)"
+
+
 def is_utf8(content: Column) -> Column:
     return F.is_valid_utf8(content.cast("string"))
 
 
+def is_utf32(content: Column) -> Column:
+    """A byte order mark followed by well-formed UTF-32. Its little-endian mark begins like
+    that of UTF-16, so it is asked for first."""
+    mark = F.hex(F.substring(content, 1, 4))
+    as_chars = F.decode(content, "ISO-8859-1")
+    be = (mark == "0000FEFF") & (F.regexp_replace(as_chars, _FOUR_BE, "") == "")
+    le = (mark == "FFFE0000") & (F.regexp_replace(as_chars, _FOUR_LE, "") == "")
+    return be | le
+
+
 def is_utf16(content: Column) -> Column:
-    """A byte order mark followed by well-formed UTF-16.
+    """A byte order mark followed by well-formed UTF-16, and not the mark of UTF-32.
 
     Checked in full because ``decode`` fails the job on a malformed sequence.
     """
@@ -28,7 +43,7 @@ def is_utf16(content: Column) -> Column:
     as_chars = F.decode(content, "ISO-8859-1")
     be = (mark == "FEFF") & (F.regexp_replace(as_chars, _UNIT_BE, "") == "")
     le = (mark == "FFFE") & (F.regexp_replace(as_chars, _UNIT_LE, "") == "")
-    return be | le
+    return (be | le) & (F.hex(F.substring(content, 1, 4)) != "FFFE0000")
 
 
 def has_nul(content: Column) -> Column:
@@ -40,14 +55,15 @@ def decode_text(content: Column, fallback: str | None = "ISO-8859-1") -> Column:
     if fallback is not None and fallback not in SAFE_FALLBACKS:
         raise ValueError(f"fallback must be None or one of {SAFE_FALLBACKS}")
     text = F.when(is_utf8(content), F.decode(content, "UTF-8"))
+    text = text.when(is_utf32(content), F.decode(content, "UTF-32"))
     text = text.when(is_utf16(content), F.decode(content, "UTF-16"))
     return text.otherwise(F.decode(content, fallback)) if fallback else text
 
 
 def is_text(content: Column) -> Column:
-    """Not empty, and either free of NUL bytes or marked UTF-16."""
+    """Not empty, and either free of NUL bytes or marked UTF-16 or UTF-32."""
     plain = ~has_nul(content)
-    return F.coalesce((F.octet_length(content) > 0) & (plain | is_utf16(content)), F.lit(False))
+    return F.coalesce((F.octet_length(content) > 0) & (plain | is_utf16(content) | is_utf32(content)), F.lit(False))
 
 
 def mime_type(content: Column) -> Column:

@@ -6,9 +6,6 @@ from pyspark.sql import functions as F
 from corpuslens.functions.text import remove_whitespace
 from corpuslens.session import materialize
 
-# Up to this many dropped rows, their order values are broadcast: tens of megabytes.
-MAX_BROADCAST_ROWS = 2_000_000
-
 
 def text_key(text: Column) -> Column:
     """32-byte digest of the text without white space."""
@@ -31,18 +28,14 @@ def first_of_each_text(df: DataFrame, order_by: str, text: str = "text") -> Data
 def drop_duplicate_texts(df: DataFrame, order_by: str, text: str = "text") -> DataFrame:
     """Keep the first row of every text, first by the unique number column ``order_by``.
 
-    The order values to keep are written to the checkpoint folder with the number of copies,
-    which tells how many rows have to go. If they are few, their order values are broadcast
-    and no text is shuffled. Otherwise the rows are joined with the kept values on the unique
-    column, so that no task receives a hot group; a table bucketed by that column is not
-    shuffled for it.
+    ``order_by`` must identify a row; a null in it is an error, whatever the size of the
+    table, because which row is the first would be undefined. Texts are grouped by digest and
+    only the order values to keep are joined back, on that unique column, so no task receives
+    a hot group. The kept values are a stored table whose size the planner knows: it sends
+    them to the texts where they are few. Otherwise the texts are shuffled once; a table
+    bucketed by the order column is not.
     """
-    kept = materialize(first_of_each_text(df, order_by, text))
-    dropped_rows = kept.agg(F.sum(F.col("copies") - 1)).first()[0] or 0
-    kept = kept.select(order_by)
-    if dropped_rows == 0:
-        return df
-    if dropped_rows <= MAX_BROADCAST_ROWS:
-        dropped = df.select(order_by).join(kept, order_by, "left_anti")
-        return df.join(F.broadcast(dropped), order_by, "left_anti")
+    if not df.filter(F.col(order_by).isNull()).isEmpty():
+        raise ValueError(f"{order_by} must not be null")
+    kept = materialize(first_of_each_text(df, order_by, text).select(order_by))
     return df.join(kept, order_by, "left_semi")

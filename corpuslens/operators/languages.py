@@ -16,8 +16,6 @@ from corpuslens.session import materialize
 # partitions and files. Larger sets are joined.
 MAX_LITERAL_LANGS = 1000
 
-# Names up to this many are broadcast where they are joined with rows that carry text.
-MAX_BROADCAST_LANGS = 1_000_000
 
 # Fixed value: excluded unless the caller says otherwise.
 DEFAULT_BAD_LANGS = (".csv",)
@@ -76,8 +74,6 @@ def select_languages(
     """
     if top_k:
         chosen = top_languages(meta, top_k, rank_by).select("lang")
-        if top_k <= MAX_LITERAL_LANGS:
-            chosen = F.broadcast(chosen)  # at most top_k rows
         meta = meta.join(chosen, "lang", "left_semi")
     elif mb_size_thresh:
         meta = meta.filter(F.col("lang_size_mb") > float(mb_size_thresh))
@@ -103,13 +99,11 @@ def restrict_to_languages(corpus: DataFrame, selected: DataFrame, lang: str = "l
     Corpus rows carry text and one language may hold a third of them, so they should not
     be shuffled by language. The distinct names are fetched first, one more than the limit
     at most; within it they become a predicate on the partition column. A longer list is
-    counted, and broadcast up to a second limit.
+    stored, so that the planner knows its size. The rows are the same either way.
     """
     names = selected.select(F.col("lang").alias(lang)).distinct()
     fetched = [row[0] for row in names.limit(MAX_LITERAL_LANGS + 1).collect()]
     if len(fetched) <= MAX_LITERAL_LANGS:
         return corpus.filter(F.col(lang).isin(fetched))
     names = materialize(names)
-    if names.count() <= MAX_BROADCAST_LANGS:
-        names = F.broadcast(names)
     return corpus.join(names, lang, "left_semi")

@@ -4,6 +4,9 @@ None of them uses an unpartitioned window over data that grows with the input: p
 come from counts per partition or per bucket, of which there is a fixed number.
 """
 
+import re
+from urllib.parse import unquote
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -12,12 +15,6 @@ from corpuslens.session import materialize
 # Number of buckets of the sampling histogram: four hexadecimal digits.
 _BUCKET_DIGITS = 4
 
-# Rows up to this many, counted before, are ranked by a window without partitions.
-_MAX_ROWS_RANKED_IN_ONE_TASK = 1_000_000
-
-# File counts above this are not broadcast.
-_MAX_BROADCAST_FILES = 100_000
-
 
 def _running_total(counts: DataFrame, order_by: str) -> DataFrame:
     """``counts(order_by, n)`` with rows before each entry and rows in all.
@@ -80,13 +77,17 @@ def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     """Number the rows of a parquet table from 0 in file order; adds ``_total`` as well.
 
     Needs neither sort nor shuffle of the rows: the position inside a file comes with the
-    scan, and the rows before each file follow from counts per file.
+    scan, and the rows before each file follow from counts per file, one row per file. A
+    filtered table keeps the numbers its rows have in the whole files; ``_total`` counts those.
     """
     path = F.col("_metadata.file_path")
-    counts = df.groupBy(path.alias("_file")).agg(F.count(F.lit(1)).alias("n"))
+    files = df.inputFiles()
+    if not files:
+        return df.withColumns({name: F.lit(0).cast("bigint"), "_total": F.lit(0).cast("bigint")})
+    escaped = [re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(f)) for f in files]
+    whole = df.sparkSession.read.parquet(*escaped)
+    counts = whole.groupBy(path.alias("_file")).agg(F.count(F.lit(1)).alias("n"))
     starts = _running_total(counts, "_file").drop("n")  # one row per file
-    if len(df.inputFiles()) <= _MAX_BROADCAST_FILES:
-        starts = F.broadcast(starts)
     placed = df.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_offset"))
     return (
         placed.join(starts, "_file")
@@ -98,7 +99,10 @@ def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
 def segment_bounds(total: Column, frac: float, number: int, cover_remainder: bool) -> Column:
     size = F.floor(total * F.lit(float(frac)))
     start = size * (number - 1)
-    last = cover_remainder and number == int(1 / frac)
+    segments = round(1 / frac)
+    if cover_remainder and number > segments:
+        return F.lit(False)  # the last segment holds all that was left over
+    last = cover_remainder and number == segments
     return (F.col("row_index") >= start) & (F.col("row_index") < (total if last else size * number))
 
 
@@ -128,8 +132,10 @@ def sample_exact(df: DataFrame, frac: float, key: str, seed: int = 0) -> DataFra
     A histogram over the first digits of the digest, 65,536 entries at most, tells which
     buckets are taken whole. Only the one bucket at the border is ranked, so the table is
     neither sorted nor shuffled. ``key`` should identify a row; rows that share a key fall
-    into one bucket, which may then be too large for one task and is ranked by many.
+    into one bucket, whose rows are ranked by many tasks.
     """
+    if not 0 <= frac <= 1:
+        raise ValueError("frac must be from 0 to 1")
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
     keyed = df.withColumn("_digest", digest)
     keyed = keyed.withColumn("_bucket", F.substring("_digest", 1, _BUCKET_DIGITS))
@@ -139,19 +145,15 @@ def sample_exact(df: DataFrame, frac: float, key: str, seed: int = 0) -> DataFra
         _running_total(counts, "_bucket")
         .withColumn("_missing", wanted - F.col("_before"))
         .filter((F.col("_missing") > 0) & (F.col("_missing") <= F.col("n")))
-        .select("_bucket", "_missing", "n")
+        .select("_bucket", "_missing")
         .first()
     )
     if border is None:
         return df.limit(0)
-    bucket, missing, rows = border
+    bucket, missing = border
     whole = keyed.filter(F.col("_bucket") < bucket)
     part = keyed.filter(F.col("_bucket") == bucket)
-    if rows <= _MAX_ROWS_RANKED_IN_ONE_TASK:
-        rank = F.row_number().over(Window.orderBy("_digest"))
-        part = part.withColumn("_rank", rank - 1)
-    else:
-        part = with_row_index(part, ["_digest"], "_rank").drop("_total")
+    part = with_row_index(part, ["_digest"], "_rank").drop("_total")
     part = part.filter(F.col("_rank") < missing).drop("_rank")
     return whole.unionByName(part).drop("_digest", "_bucket")
 

@@ -3,6 +3,7 @@
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from corpuslens.operators.positions import with_row_index
 from corpuslens.operators.rules import RULE_REASONS, SYNTAX_REASON
 from corpuslens.session import materialize
 
@@ -47,16 +48,16 @@ def running_mean(
 ) -> DataFrame:
     """Mean of all values up to and including each row, by the integer ``order_by``.
 
-    The range of ``order_by`` is cut into a fixed number of blocks. Sums run inside a block
-    in parallel, and one small table carries the totals of the blocks before; it never has
-    more than that fixed number of rows. The rates, one per chunk, are read three times and
-    therefore written to the checkpoint folder first.
+    Rows are numbered in order and cut into a fixed number of blocks of equal size, whatever
+    their values. Sums run inside a block in parallel, and one small table carries the totals
+    of the blocks before; it never has more than that fixed number of rows. Rows without an
+    order value stand nowhere: they come back with a null mean and count in no other.
     """
-    rates = materialize(rates)
-    low, high = rates.agg(F.min(order_by), F.max(order_by)).first()
-    width = -(-((high or 0) - (low or 0) + 1) // _BLOCKS)
-    blocked = rates.withColumn("_block", F.expr(f"(`{order_by}` - {low or 0}) div {width}"))
-    inside = Window.partitionBy("_block").orderBy(order_by)
+    placed = rates.filter(F.col(order_by).isNotNull())
+    placed = materialize(with_row_index(placed, [order_by], "_row"))
+    block = F.expr(f"_row * {_BLOCKS} div greatest(_total, 1)")
+    blocked = placed.withColumn("_block", block)
+    inside = Window.partitionBy("_block").orderBy("_row")
     upto = inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     earlier = Window.orderBy("_block").rowsBetween(Window.unboundedPreceding, -1)
     totals = blocked.groupBy("_block").agg(F.sum(value).alias("s"), F.count(value).alias("c"))
@@ -69,8 +70,7 @@ def running_mean(
         {"_sum": F.sum(value).over(upto), "_count": F.count(value).over(upto)}
     )
     mean = (F.col("_sum") + F.col("_sum_before")) / (F.col("_count") + F.col("_count_before"))
-    return (
-        summed.join(F.broadcast(before), "_block")
-        .withColumn("running_rate", mean)
-        .select(*rates.columns, "running_rate")
-    )
+    ranked = summed.join(F.broadcast(before), "_block").withColumn("running_rate", mean)
+    nowhere = rates.filter(F.col(order_by).isNull())
+    nowhere = nowhere.withColumn("running_rate", F.lit(None).cast("double"))
+    return ranked.select(*rates.columns, "running_rate").unionByName(nowhere)

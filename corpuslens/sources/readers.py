@@ -94,8 +94,7 @@ def _scan(
 ) -> DataFrame:
     reader = spark.read.schema(schema or (schemas.SLIM if is_slim else schemas.FULL))
     reader = reader.option("recursiveFileLookup", True).option("pathGlobFilter", "*.parquet")
-    if isinstance(path, str):
-        return reader.parquet(path)
+    path = [path] if isinstance(path, str) else path
     # each directory is read with all below it, so one inside another is not named again
     paths = [p for p in path if not any(p.startswith(f"{q.rstrip('/')}/") for q in path)]
     return reader.parquet(*[re.sub(r"([*?\[\]{}\\])", r"\\\1", p) for p in paths])
@@ -141,8 +140,8 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines archive of extracted files."""
-    return spark.read.schema(schemas.ARCHIVE).json(path)
+    """JSON-lines archive of extracted files; a malformed line fails the job."""
+    return spark.read.schema(schemas.ARCHIVE).option("mode", "FAILFAST").json(path)
 
 
 def read_json_document(

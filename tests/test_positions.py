@@ -80,9 +80,42 @@ def test_exact_sample_is_reproducible(spark):
     assert sample(1, 1) == sample(1, 9) != sample(2, 1)
 
 
-@pytest.mark.parametrize("in_one_task", [1_000_000, 10])
-def test_exact_sample_with_a_hot_key(spark, monkeypatch, in_one_task):
-    monkeypatch.setattr(positions, "_MAX_ROWS_RANKED_IN_ONE_TASK", in_one_task)
+def test_sample_fractions_are_checked(spark):
+    for frac in (-0.1, 1.5):
+        with pytest.raises(ValueError):
+            positions.sample_exact(spark.range(10), frac, "id")
+
+
+def test_segments_do_not_overlap(spark):
+    indexed = positions.with_row_index(spark.range(200).repartition(3), ["id"])
+    for n in (3, 7, 93):
+        for frac in (1 / n, round(1 / n, 3)):
+            numbers = range(1, round(1 / frac) + 3)
+            parts = [positions.take_segment(indexed, frac, k, cover_remainder=True) for k in numbers]
+            rows = [r[0] for part in parts for r in part.select("id").collect()] if n < 93 else None
+            assert rows is None or sorted(rows) == list(range(200))
+    bounds = positions.segment_bounds(F.col("_total"), 1 / 93, 93, True)
+    last = indexed.filter(bounds).count()
+    assert last == 200 - 92 * int(200 / 93)
+    assert indexed.filter(positions.segment_bounds(F.col("_total"), 1 / 93, 94, True)).count() == 0
+
+
+def test_file_rows_keep_their_numbers_when_filtered(spark, tmp_path):
+    spark.range(1000).repartition(4).write.parquet(str(tmp_path / "t[1]"))
+    whole = spark.read.parquet(str(tmp_path / "t\\[1\\]"))
+    all_rows = {r["id"]: r["row_index"] for r in positions.with_file_row_index(whole).collect()}
+    part = positions.with_file_row_index(whole.filter("id % 2 = 0")).collect()
+    assert sorted(all_rows.values()) == list(range(1000))
+    assert {r["id"]: r["row_index"] for r in part} == {k: v for k, v in all_rows.items() if k % 2 == 0}
+
+
+def test_running_mean_keeps_rows_without_order(spark):
+    rows = spark.createDataFrame([(1, 2.0), (None, 50.0), (10**15, 4.0)], "chunk_id bigint, success_rate double")
+    got = {r["chunk_id"]: r["running_rate"] for r in reports.running_mean(rows).collect()}
+    assert got == {1: 2.0, None: None, 10**15: 3.0}
+
+
+def test_exact_sample_with_a_hot_key(spark):
     df = spark.createDataFrame([("hot", n) for n in range(600)] + [(f"k{n}", n) for n in range(600)], "k string, n int")
     got = positions.sample_exact(df, 0.25, "k")
     assert got.count() == 300 and got.columns == ["k", "n"]

@@ -3,7 +3,7 @@ import re
 
 import pandas as pd
 import pytest
-from corpuslens.functions import markers, paths, text
+from corpuslens.functions import decoding, markers, paths, text
 from corpuslens.operators import dedup
 from pyspark.sql import functions as F
 
@@ -211,9 +211,24 @@ def test_flatten(spark):
     assert [tuple(r) for r in exploded] == [(1, 0, "a"), (1, 1, "b"), (1, 2, "c")]
 
 
-@pytest.mark.parametrize("limit", [2_000_000, 3])
-def test_duplicates_ignore_white_space(spark, monkeypatch, limit):
-    monkeypatch.setattr(dedup, "MAX_BROADCAST_ROWS", limit)
+def test_duplicates_need_an_order(spark):
+    rows = spark.createDataFrame([(None, "a b"), (1, "x")], "id int, text string")
+    with pytest.raises(ValueError):
+        dedup.drop_duplicate_texts(rows, "id")
+
+
+def test_utf32_is_told_from_utf16(spark):
+    texts = ["h\u00e9llo \U0001f600", "\u4e2d"]
+    rows = [(m + t.encode(c),) for t in texts for m, c in (
+        (b"\xff\xfe\0\0", "utf-32-le"), (b"\0\0\xfe\xff", "utf-32-be"),
+        (b"\xff\xfe", "utf-16-le"), (b"\xfe\xff", "utf-16-be"))]
+    out = spark.createDataFrame(rows, "c binary").select(
+        decoding.decode_text(F.col("c")).alias("t"), decoding.is_text(F.col("c")).alias("ok")
+    )
+    assert [tuple(r) for r in out.collect()] == [(t, True) for t in texts for _ in range(4)]
+
+
+def test_duplicates_ignore_white_space(spark):
     bodies = ["a b", "ab", "a\xa0b", "a\u3000b\x1c", "\tab\n", "a b c", "abc", "", " \n", "x"]
     bodies += ["hot text"] * 50
     rows = frame(spark, bodies)
@@ -226,7 +241,6 @@ def test_duplicates_ignore_white_space(spark, monkeypatch, limit):
     for parts in (1, 7):
         once = dedup.drop_duplicate_texts(rows.repartition(parts), "id")
         assert sorted(r["id"] for r in once.collect()) == want
-    join = once._jdf.queryExecution().optimizedPlan().toString()
-    assert ("LeftAnti" in join) == (limit > 50)
+    assert "LeftSemi" in once._jdf.queryExecution().optimizedPlan().toString()
     again = dedup.drop_duplicate_texts(once, "id")
     assert sorted(r["id"] for r in again.collect()) == want
