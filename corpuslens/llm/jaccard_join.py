@@ -182,9 +182,22 @@ def signatures(keys: np.ndarray, rare: int, like: Similarity) -> np.ndarray:
     return np.unique(np.concatenate([textbuf.mix(singles) & ~U64(1), *out]))
 
 
+def parity_of(tokens: np.ndarray) -> np.ndarray:
+    """Packed parity of a set, of a power of two of bits."""
+    bits = max(8 * PARITY_BYTES, 1 << (len(tokens) - 1).bit_length())
+    odd = np.bincount((tokens % U64(bits)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(bool))
+
+
+def folded(parity: np.ndarray, size: int) -> np.ndarray:
+    """The parity over fewer classes, ``size`` bytes."""
+    return np.bitwise_xor.reduce(parity.reshape(-1, size), axis=0)
+
+
 def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
     """Signatures of every set, its size, how many rare tokens its prefix has, and its parity:
-    a bit for every class of tokens, whether the set has an odd number of them."""
+    a bit for every class of tokens, whether the set has an odd number of them. The wide one
+    has as many classes as the set has tokens or more."""
     model = rows.sparkSession.sparkContext.broadcast(levels)  # one byte per bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,15 +210,12 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
                 owner = np.repeat(np.arange(len(ids)), np.diff(first))
                 keys = keys[np.lexsort((keys, owner))]
                 heavy = np.concatenate([[0], np.cumsum((keys >> U64(60)) >= U64(HEAVY_LEVEL))])
-                bits = 8 * PARITY_BYTES
-                cell = owner * bits + (tokens % U64(bits)).astype(np.int64)
-                odd = np.bincount(cell, minlength=len(ids) * bits).reshape(len(ids), bits) & 1
-                parity = np.packbits(odd.astype(bool), axis=1)
                 some = np.flatnonzero(np.diff(first))
-                lists, plain = [], []
+                lists, plain, parity = [], [], []
                 for i in some.tolist():
                     a, b = int(first[i]), int(first[i + 1])
                     rare = b - a - int(heavy[b] - heavy[a])
+                    parity.append(parity_of(tokens[a:b]))
                     lists.append(signatures(keys[a:b], rare, like).view(np.int64))
                     need = like.missing(b - a) + 1
                     plain.append(min(rare, need))
@@ -218,13 +228,14 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
                         pa.array(np.diff(first)[some]),
                         pa.array(np.array(plain, dtype=np.int64)),
                         pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(lists))),
-                        pa.array([parity[i].tobytes() for i in some], pa.binary()),
+                        pa.array([folded(x, PARITY_BYTES).tobytes() for x in parity], pa.binary()),
+                        pa.array([x.tobytes() for x in parity], pa.binary()),
                     ],
-                    names=["doc", "n", "plain", "signatures", "parity"],
+                    names=["doc", "n", "plain", "signatures", "parity", "wide_parity"],
                 )
 
     return rows.mapInArrow(
-        run, "doc bigint, n bigint, plain bigint, signatures array<bigint>, parity binary"
+        run, "doc bigint, n bigint, plain bigint, signatures array<bigint>, parity binary, wide_parity binary"
     )
 
 
@@ -305,17 +316,30 @@ def measured(pairs: DataFrame, known: DataFrame, size: int) -> DataFrame:
 
 
 def may_link(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs (a, b, na, nb, parity, parity) that their parities do not rule out."""
+    """Pairs (a, b, na, nb, wide parity, wide parity) that their parities do not rule out."""
     differ = (100 - percent) / (100 + percent)
     for batch in batches:
         if not len(batch):
             continue
-        x, y = (parities(batch.column(i)) for i in (4, 5))
+        apart = np.empty(len(batch), dtype=np.int64)
+        for i, (x, y) in enumerate(zip(batch.column(4), batch.column(5))):
+            x, y = (np.frombuffer(v.as_buffer(), dtype=np.uint8) for v in (x, y))
+            size = min(len(x), len(y))
+            apart[i] = np.bitwise_count(folded(x, size) ^ folded(y, size)).sum(dtype=np.int64)
         n = batch.column(2).to_numpy() + batch.column(3).to_numpy()
-        apart = np.bitwise_count(x ^ y).sum(axis=1, dtype=np.int64)
         yield batch.select([0, 1, 2, 3]).filter(pa.array(apart <= differ * n + 1e-9))
 
 
+def plausible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
+    """``pairs(a, b, na, nb)`` without those that cannot link by their wide parities."""
+    x = signs.select(F.col("doc").alias("a"), F.col("wide_parity").alias("x"))
+    y = signs.select(F.col("doc").alias("b"), F.col("wide_parity").alias("y"))
+    both = pairs.join(x, "a").join(y, "b").select("a", "b", "na", "nb", "x", "y")
+    return both.mapInArrow(
+        lambda batches: may_link(batches, percent), "a bigint, b bigint, na bigint, nb bigint"
+    )
+
+
 def parities(column: pa.Array) -> np.ndarray:
     data, _ = textbuf.column_bytes(column)
     at = column.offset * PARITY_BYTES
@@ -415,12 +439,7 @@ def jaccard_components(
     pairs = pairs.select(
         F.col("doc").alias("a"), F.col("centre").alias("b"), F.col("n").alias("na"), F.col("centre_n").alias("nb")
     ).distinct()
-    own = signs.select(F.col("doc").alias("a"), F.col("parity").alias("pa"))
-    others = signs.select(F.col("doc").alias("b"), F.col("parity").alias("pb"))
-    pairs = pairs.join(own, "a").join(others, "b").select("a", "b", "na", "nb", "pa", "pb")
-    pairs = materialize(
-        pairs.mapInArrow(lambda batches: may_link(batches, percent), "a bigint, b bigint, na bigint, nb bigint")
-    )
+    pairs = materialize(plausible(pairs, signs, percent))
     near = measured(pairs, known, words).join(pairs, ["a", "b"])
     union = F.col("na") + F.col("nb") - F.col("common")
     near = materialize(
@@ -447,7 +466,7 @@ def jaccard_components(
     rest = rest.mapInArrow(
         lambda batches: across(batches, percent), "a bigint, b bigint, na bigint, nb bigint"
     )
-    rest = materialize(rest.distinct())
+    rest = materialize(plausible(rest.distinct(), signs, percent))
     found = measured(rest, known, words).join(rest, ["a", "b"])
     found = found.filter(100 * F.col("common") >= percent * (F.col("na") + F.col("nb") - F.col("common")))
     found = materialize(found.select("a", "b"))
