@@ -29,6 +29,7 @@ PARITY_BYTES = 128
 MAX_BROADCAST_KEYS = 1_000_000
 
 PARTNERS = 64  # rows of one signature compared at once
+WIDE_BYTES = 16 * 1024 * 1024  # of wide parities compared at once
 
 
 @dataclass(frozen=True)
@@ -196,8 +197,8 @@ def folded(parity: np.ndarray, size: int) -> np.ndarray:
 
 def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
     """Signatures of every set, its size, how many rare tokens its prefix has, and its parity:
-    a bit for every class of tokens, whether the set has an odd number of them. The wide one
-    has as many classes as the set has tokens or more."""
+    a bit for every class of tokens, whether the set has an odd number of them. It has at least
+    half as many classes as the set has tokens, the wide one at least as many as tokens."""
     model = rows.sparkSession.sparkContext.broadcast(levels)  # one byte per bucket
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -228,7 +229,7 @@ def signed(rows: DataFrame, levels: np.ndarray, like: Similarity) -> DataFrame:
                         pa.array(np.diff(first)[some]),
                         pa.array(np.array(plain, dtype=np.int64)),
                         pa.ListArray.from_arrays(pa.array(at), pa.array(np.concatenate(lists))),
-                        pa.array([folded(x, PARITY_BYTES).tobytes() for x in parity], pa.binary()),
+                        pa.array([folded(x, max(PARITY_BYTES, len(x) // 2)).tobytes() for x in parity], pa.binary()),
                         pa.array([x.tobytes() for x in parity], pa.binary()),
                     ],
                     names=["doc", "n", "plain", "signatures", "parity", "wide_parity"],
@@ -340,10 +341,32 @@ def plausible(pairs: DataFrame, signs: DataFrame, percent: int) -> DataFrame:
     )
 
 
-def parities(column: pa.Array) -> np.ndarray:
-    data, _ = textbuf.column_bytes(column)
-    at = column.offset * PARITY_BYTES
-    return data[at : at + len(column) * PARITY_BYTES].view(U64).reshape(len(column), -1)
+def parities(column: pa.Array) -> list[np.ndarray]:
+    """Every parity folded to ``PARITY_BYTES``, as a row of words; its own width; and itself
+    where it is wider than that."""
+    data, at = textbuf.column_bytes(column)
+    width = np.diff(at)
+    narrow = np.empty((len(column), PARITY_BYTES // 8), dtype=U64)
+    plain = width == PARITY_BYTES
+    narrow[plain] = data[at[:-1][plain, None] + np.arange(PARITY_BYTES)].view(U64)
+    whole = np.full(len(column), None, dtype=object)
+    for i in np.flatnonzero(~plain).tolist():
+        whole[i] = data[at[i] : at[i + 1]].copy()
+        narrow[i] = folded(whole[i], PARITY_BYTES).view(U64)
+    return [narrow, width, whole]
+
+
+def apart_by_width(x: np.ndarray, y: np.ndarray, width: np.ndarray, whole: np.ndarray):
+    """Rows ``x`` and ``y`` of the pairs whose parities are both wide: which pairs, and in how
+    many bits they differ at the lesser width. A block of pairs at a time."""
+    least = np.minimum(width[x], width[y])
+    for size in np.unique(least[least > PARITY_BYTES]).tolist():
+        some = np.flatnonzero(least == size)
+        for part in np.array_split(some, len(some) * size // WIDE_BYTES + 1):
+            rows, place = np.unique(np.concatenate([x[part], y[part]]), return_inverse=True)
+            bits = np.stack([folded(whole[row], size) for row in rows]).view(U64)
+            differ = bits[place[: len(part)]] ^ bits[place[len(part) :]]
+            yield part, np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
 
 
 def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
@@ -353,7 +376,7 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
 
     ``parity`` has a bit for every class of tokens: whether the set has an odd number of them.
     Every token that only one of two sets has flips one bit, so they differ in as many tokens
-    as bits at least.
+    as bits at least. Long sets have more bits, or half of them would differ at any distance.
     """
     reach = 1 - percent / 100 + 1e-9
     differ = (100 - percent) / (100 + percent)
@@ -363,26 +386,30 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         columns = [np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "na", "nb"])
 
-    def pairs(comp, doc, n, far, parity):
+    def pairs(comp, doc, n, far, parity, width, whole):
         for i in range(0, len(doc), PARTNERS):
             j = slice(i, i + PARTNERS)
             fits = (comp[j, None] != comp[None, i:]) & (100 * np.minimum(n[j, None], n[None, i:])
                 >= percent * np.maximum(n[j, None], n[None, i:]))
             known = np.abs(far[j, None] - far[None, i:])
             fits &= ~(known > reach)  # an unknown distance rules nothing out
-            x, y = np.nonzero(np.triu(fits, 1))
-            apart = np.bitwise_count(parity[i + x] ^ parity[i + y]).sum(axis=1, dtype=np.int64)
-            fits = apart <= differ * (n[i + x] + n[i + y]) + 1e-9
+            x, y = (i + k for k in np.nonzero(np.triu(fits, 1)))
+            apart = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
+            fits = apart <= differ * (n[x] + n[y]) + 1e-9
+            x, y = x[fits], y[fits]
+            fits = np.ones(len(x), dtype=bool)
+            for some, apart in apart_by_width(x, y, width, whole):
+                fits[some] = apart <= differ * (n[x[some]] + n[y[some]]) + 1e-9
             x, y = x[fits], y[fits]
             if len(x):
-                yield made(doc[i + x], doc[i + y], n[i + x], n[i + y])
+                yield made(doc[x], doc[y], n[x], n[y])
 
     held = None
     for batch in batches:
         if not len(batch):
             continue
         rows = [c.to_numpy() for c in batch.columns[:-1]]
-        rows.append(parities(batch.column(5)))
+        rows += parities(batch.column(5))
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows)]
         border = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
@@ -411,8 +438,8 @@ def jaccard_components(
     with the fewest rare tokens, to which near copies are closest; what that joins need not be
     compared any more, since only components are asked for. Then all pairs that still share a
     signature across components are compared, unless their sizes, their distances from the
-    common centre by the triangle inequality, or parities of their sets rule a link out. No pair of a finished group is
-    ever listed, and no pair that could join two groups is left out.
+    common centre by the triangle inequality, or parities of their sets rule a link out. No
+    pair of a finished group is ever listed, and no pair that could join two groups is left out.
 
     A null or blank text has an empty set and links with nothing; rows with a null key come
     back with a null component; repeated rows with one key are one document and come back as

@@ -3,6 +3,8 @@
 import random
 
 import brute
+import numpy as np
+import pyarrow as pa
 import pytest
 
 from corpuslens.llm import jaccard_join, passages, substring_dedup, suffix_dedup
@@ -101,6 +103,41 @@ def test_components_agree_with_brute_force(spark, monkeypatch, least):
     assert as_dict(jaccard_join.jaccard_components(docs), "n_shingles", "component_id") == brute.op7(rows)
 
 
+def test_long_sets_agree_with_brute_force(spark):
+    """Sets wider than the narrow parities, of few words, so that signatures are shared by all."""
+    rng = random.Random(8)
+    words = ["".join(rng.choices("abcde", k=3)) for _ in range(25)]
+    rows = []
+    for i in range(12):
+        text = rng.choices(words, k=rng.choice([2500, 2600, 5000]))
+        for k, changes in enumerate((0, 60, 95, 110, 300)):
+            copy = list(text)
+            for at in rng.sample(range(len(copy)), changes):
+                copy[at] = "x" + str(rng.random())
+            rows.append((10 * i + k, " ".join(copy)))
+    docs = spark.createDataFrame(rows, SCHEMA)
+    assert as_dict(jaccard_join.jaccard_components(docs), "n_shingles", "component_id") == brute.op7(rows)
+
+
+def test_wide_parities_bound_the_difference():
+    """No linked pair is ruled out, at equal and at different widths."""
+    rng = np.random.default_rng(3)
+    tokens = rng.integers(0, 2**63, 9000, dtype=np.uint64)
+    sets = [tokens[:2100], tokens[100:2300], tokens[:4096], tokens[:4800], tokens[4000:8200]]
+    parity = [jaccard_join.parity_of(s) for s in sets]
+    parity = [jaccard_join.folded(p, max(jaccard_join.PARITY_BYTES, len(p) // 2)) for p in parity]
+    narrow, width, whole = jaccard_join.parities(pa.array([p.tobytes() for p in parity], pa.binary()))
+    assert len(narrow) == len(sets) and sorted(set(width.tolist())) == [256, 512]
+    x, y = np.triu_indices(len(sets), 1)
+    seen = 0
+    for some, apart in jaccard_join.apart_by_width(x, y, width, whole):
+        seen += len(some)
+        for at, bits in zip(some.tolist(), apart.tolist()):
+            differ = len(np.setxor1d(sets[x[at]], sets[y[at]]))
+            assert bits <= differ and bits % 2 == differ % 2
+    assert seen == len(x)
+
+
 def test_odd_components(spark):
     assert jaccard_join.jaccard_components(spark.createDataFrame([], SCHEMA)).count() == 0
     rows = [(None, "a b c d e", 1), (4, "a b c d e", 2), (4, "a b c d e", 2), (3, "A B c d e", 0), (5, None, 0)]
