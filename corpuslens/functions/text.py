@@ -73,7 +73,10 @@ def with_text_stats(
     ``size`` in UTF-8 bytes, ``max_line_length``, ``avg_line_length`` and
     ``alphanum_fraction``, or ``only`` some of them: what is not asked for is not computed.
     The text is split into lines once; what is kept of them is a narrow integer array.
+    Columns that have these names already are replaced.
     """
+    only = list(only)
+    df = df.drop(*(name for name in only if name != text))
     body, lengths = F.col(text), F.col("_line_lengths")
     pieces = F.size(lengths)
     lines = pieces - F.when(F.element_at(lengths, -1) == 0, 1).otherwise(0)

@@ -147,11 +147,16 @@ def cascade_text(
     """``cascade`` over raw text without precomputed statistics.
 
     The slim statistics are added. Counting letters costs as much as splitting lines, so it
-    is done only for rows that pass the rules before it; the others have a null there.
+    is done only for rows that pass the rules before it; the others have a null there. Slim
+    statistics that the rows have already are replaced; other columns stay as they are, also
+    the statistics of full rows.
     """
-    sizes = with_text_stats(df, content, ("size", "max_line_length", "avg_line_length"))
+    stats = ("size", "max_line_length", "avg_line_length")
+    df = df.drop("file_size", "max_ll", "ave_ll", "alphanum_frac")
+    given = {name: f"_given_{name}" for name in stats if name in df.columns}
+    sizes = with_text_stats(df.withColumnsRenamed(given), content, stats)
     measured = sizes.select(
-        *df.columns,
+        *[F.col(given.get(name, name)).alias(name) for name in df.columns],
         F.col("size").cast("int").alias("file_size"),
         F.col("max_line_length").cast("int").alias("max_ll"),
         F.col("avg_line_length").cast("float").alias("ave_ll"),
@@ -186,6 +191,32 @@ def kept_only(df: DataFrame, limits: Thresholds) -> DataFrame:
     return df
 
 
+def kept_full(
+    full: DataFrame, limits: Thresholds, on_overflow: str = "error", also: Iterable[Column] = ()
+) -> DataFrame:
+    """``kept_only`` over full rows, as slim rows.
+
+    The casts of ``slim`` keep conditions from the scan, so bounds on the stored columns are
+    added. Each is implied by its rule: rounding to a float keeps the order, so what is above
+    a limit as a float is above it as it was.
+    """
+
+    def as_float(value: float) -> Column:
+        return F.lit(value).cast("float").cast("double")
+
+    size, longest = F.col("size"), F.col("max_line_length")
+    share, average = F.col("alphanum_fraction"), F.col("avg_line_length")
+    bounds = [
+        (longest <= limits.max_ll) & (longest >= limits.min_max_ll),
+        (size >= limits.min_len) & (size < (limits.max_size_kbs + 1) * 1024),
+        (share > as_float(limits.min_alphanum)) & (share < as_float(limits.max_alphanum)),
+        average > as_float(limits.min_ave_ll),
+    ]
+    for bound in bounds:
+        full = full.filter(bound)
+    return kept_only(slim(full, on_overflow, also), limits)
+
+
 def split(labelled: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Kept rows and rejects of a cascade; every row is in exactly one of them."""
     kept = labelled.filter(F.col("verdict") == "kept").drop("reason", "verdict")

@@ -26,9 +26,13 @@ def selected_files(
 ) -> DataFrame:
     """File table of a corpus tree with language totals, restricted to the choice.
 
-    Files are listed once; the listing is kept as a table and read several times.
+    Files are listed once; the listing is kept as a table and read several times. A tree
+    without parquet files is an error.
     """
-    meta = languages.with_language_totals(materialize(readers.list_corpus(spark, root)))
+    listing = materialize(readers.list_corpus(spark, root))
+    if listing.isEmpty():
+        raise FileNotFoundError(f"no parquet file below {root}")
+    meta = languages.with_language_totals(listing)
     meta = meta.select("pq_path", "lang", "lang_size_mb", "lang_file_cnt")
     return languages.select_languages(
         meta,

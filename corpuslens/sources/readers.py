@@ -51,6 +51,13 @@ def scan_corpus(
     return found if is_slim else slim(found, on_overflow)
 
 
+def scan_full(
+    spark: SparkSession, path: str | list[str], schema: T.StructType | None = None
+) -> DataFrame:
+    """Full files as they are, for plans whose conditions are to reach the scan."""
+    return _scan(spark, path, False, schema)
+
+
 def scan_corpus_tree(
     spark: SparkSession,
     path: str | list[str],
@@ -97,7 +104,12 @@ def _scan(
     path = [path] if isinstance(path, str) else path
     # each directory is read with all below it, so one inside another is not named again
     paths = [p for p in path if not any(p.startswith(f"{q.rstrip('/')}/") for q in path)]
-    return reader.parquet(*[re.sub(r"([*?\[\]{}\\])", r"\\\1", p) for p in paths])
+    return reader.parquet(*[_literal(p) for p in paths])
+
+
+def _literal(path: str) -> str:
+    """A path whose special characters are no patterns."""
+    return re.sub(r"([*?\[\]{}\\])", r"\\\1", path)
 
 
 def list_corpus(spark: SparkSession, root: str) -> DataFrame:
@@ -120,7 +132,7 @@ def _listing(spark: SparkSession, root: str, pattern: str | None) -> DataFrame:
     reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(root).select("path", "length")
+    return reader.load(_literal(root)).select("path", "length")
 
 
 def read_repo_list(spark: SparkSession, path: str) -> DataFrame:

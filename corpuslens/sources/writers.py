@@ -1,7 +1,10 @@
 """Where results go. Every writer is one job; the commit protocol makes it all or nothing."""
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+
+from corpuslens.schemas import SLIM
 
 # Printable characters that Spark escapes in directory names, besides the percent.
 _ESCAPED = "\"#'*/:=?\\{[]^"
@@ -47,6 +50,17 @@ def kept_directory(path: str, lang: Column) -> Column:
     return F.concat(F.lit(f"{path.rstrip('/')}/verdict=kept/lang="), value)
 
 
+def read_curated(
+    spark: SparkSession, path: str, schema: T.StructType = SLIM, keep_origin: bool = True
+) -> DataFrame:
+    """What ``write_curated`` wrote, with declared types: a language called ``02`` stays text,
+    and output without any row is an empty table."""
+    names = ["src_path string", "src_row bigint"] if keep_origin else []
+    names += ["reason string", "verdict string", "lang string"]
+    declared = T.StructType(schema.fields + T.StructType.fromDDL(", ".join(names)).fields)
+    return spark.read.schema(declared).parquet(path)
+
+
 def read_kept(curated: DataFrame) -> DataFrame:
     return curated.filter(F.col("verdict") == "kept")
 

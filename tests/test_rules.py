@@ -247,3 +247,39 @@ def test_slim_overflow(spark):
     with pytest.raises(Exception, match="overflow|OVERFLOW"):
         rules.slim(full).collect()
     assert rules.slim(full).schema == schemas.SLIM
+
+
+def test_raw_text_of_full_rows_keeps_their_columns(spark):
+    rows = spark.createDataFrame([("a b\n" * 9, 7, 1, "x")], "content string, size long, max_ll int, repo_lang string")
+    out = rules.cascade_text(rows, rules.tier("permissive"), "off").first()
+    assert (out["size"], out["file_size"], out["max_ll"]) == (7, 36, 3)
+
+
+def test_kept_full_pushes_bounds_and_agrees_with_the_cascade(spark, tmp_path):
+    limits = rules.tier("moderate")
+    near = lambda v: [v, float(np.float32(v)), np.nextafter(v, 0), np.nextafter(np.float64(np.float32(v)), 1)]
+    shares = [float(v) for v in [*near(limits.min_alphanum), *near(limits.max_alphanum), 0.5, float("nan")]] + [None]
+    rows = [
+        ("o/r", "txt", "x", size, longest, average, share, "c")
+        for size in (49, 50, 751 * 1024 - 1, 751 * 1024, None)
+        for longest in (24, 25, 600, 601)
+        for average in (16.0, 16.0000001, 16.5, float("nan"))
+        for share in shares
+    ]
+    names = "max_stars_repo_name string, ext string, content string, size long, max_line_length long, "
+    names += "avg_line_length double, alphanum_fraction double, lang string"
+    path = str(tmp_path / "full")
+    spark.createDataFrame(rows, names).coalesce(1).write.parquet(path)
+    full = spark.read.parquet(path)
+    kept = rules.kept_full(full, limits)
+    labelled = rules.cascade(rules.slim(full), limits, "off").filter("reason is null")
+    columns = ["file_size", "max_ll", "ave_ll", "alphanum_frac"]
+    want = sorted(map(tuple, labelled.select(columns).collect()))
+    assert want and sorted(map(tuple, kept.select(columns).collect())) == want
+    spark.conf.set("spark.sql.maxMetadataStringLength", 10_000)
+    plan = rules.kept_full(full, limits)._jdf.queryExecution().executedPlan().toString()
+    spark.conf.unset("spark.sql.maxMetadataStringLength")
+    pushed = plan[plan.index("PushedFilters") :].split("]")[0]
+    for bound in ("GreaterThanOrEqual(size,50)", "LessThan(size,", "LessThanOrEqual(max_line_length,600)",
+                  "GreaterThan(alphanum_fraction,", "LessThan(alphanum_fraction,", "GreaterThan(avg_line_length,16.0)"):
+        assert bound in pushed

@@ -403,3 +403,22 @@ def test_rules_run_on_a_stream_unchanged(spark, corpus, tmp_path):
     run = out.writeStream.format("memory").queryName("labelled").trigger(availableNow=True).start()
     run.awaitTermination(120)
     assert spark.table("labelled").filter("verdict = 'kept'").count() == 48
+
+
+def test_curated_output_reads_back_with_declared_types(spark, tmp_path):
+    schema = T.StructType(schemas.SLIM.fields + T.StructType.fromDDL("src_path string, src_row bigint, lang string").fields)
+    row = ("o/r", "py", "x", 100, 40, 20.0, 0.5, "c", "a", 0)
+    rows = spark.createDataFrame([(*row, "02"), (*row, "1")], schema)
+    for name, part in (("some", rows), ("none", rows.limit(0))):
+        path = str(tmp_path / name)
+        writers.write_curated(rules.cascade(part, rules.tier("moderate"), "off"), path)
+        back = writers.read_curated(spark, path)
+        assert sorted(r["lang"] for r in back.collect()) == (["02", "1"] if name == "some" else [])
+
+
+def test_tree_without_parquet_files_is_an_error(spark, tmp_path):
+    root = tmp_path / "x[1]"
+    root.mkdir()
+    (root / "note.txt").write_text("x")
+    with pytest.raises(FileNotFoundError):
+        selected_files(spark, str(root))

@@ -72,11 +72,9 @@ RULE_STATS = {
 }
 
 
-def _single_rule(number, reason):
-    limits = TIERS["moderate"]
-
+def _single_rule(number, reason, limits, suffix=""):
     @query(
-        f"f{number}_{reason}",
+        f"f{number}_{reason}{suffix}",
         f"""SELECT doc_id, coalesce({sql_rules(limits)[reason]}, false) AS holds
             FROM {SQL_SLIM}""",
     )
@@ -92,7 +90,8 @@ def _single_rule(number, reason):
 
 
 for _number, _reason in enumerate(rules.RULE_REASONS, start=1):
-    _single_rule(_number, _reason)
+    _single_rule(_number, _reason, TIERS["moderate"])
+    _single_rule(_number, _reason, CUSTOM, "_custom")
 
 
 # F8 and F9: cascade and kept-only plan in every tier --------------------------------------
@@ -186,6 +185,24 @@ def f7_others(spark, sf):
     return out.select("doc_id", "verdict", "reason")
 
 
+@query(
+    "f7_gate_on_all_languages",
+    f"""SELECT doc_id, CASE WHEN reason IS NULL THEN 'kept' ELSE 'rejected' END AS verdict, reason
+        FROM (SELECT doc_id, CASE WHEN reason IS NULL AND doc_id % 2 = 1 THEN 'python2'
+                                  ELSE reason END AS reason
+              FROM {sql_labelled(TIERS['permissive'], source=SQL_SLIM_PROGRAMS)})""",
+)
+def f7_all(spark, sf):
+    """The gate on rows of another language, which ``python_only`` would let pass."""
+    commented = F.concat(F.lit("# "), F.replace("text", F.lit("\n"), F.lit("\n# ")))
+    old = F.when(F.col("doc_id") % 2 == 1, F.lit("print 'x'\n")).otherwise(F.lit(""))
+    rows = documents(spark, sf).select(
+        "doc_id", F.concat(old, commented).alias("content"), F.lit("Ruby").alias("repo_lang")
+    )
+    out = rules.cascade_text(rows, TIERS["permissive"], python_gate="all")
+    return out.select("doc_id", "verdict", "reason")
+
+
 @query(
     "u1_union_of_rejects",
     f"""SELECT 'documents' AS run, doc_id AS id, reason

@@ -76,19 +76,33 @@ def curated_corpus(spark, sf):
     """The whole curation from tree to table, kept rows of all languages but one."""
     root, out = corpus_tree(spark, sf), scratch_path(spark, "curation")
     curate(spark, root, out, "permissive", LanguageChoice(bad_langs=("folder=fr",)))
-    kept = writers.read_kept(spark.read.parquet(f"{out}/rows"))
+    kept = writers.read_kept(writers.read_curated(spark, f"{out}/rows"))
     return kept.select(F.expr(_DOC_ID).alias("doc_id"), "file_size", "lang")
 
 
+@query(
+    "f9_kept_full_moderate",
+    f"SELECT doc_id, file_size FROM {sql_labelled(TIERS['moderate'])} WHERE verdict = 'kept'",
+)
+def kept_full(spark, sf):
+    """Kept rows of a stored full corpus, whose bounds reach the scan."""
+    stored = readers.scan_full(spark, corpus_tree(spark, sf))
+    kept = rules.kept_full(stored, TIERS["moderate"])
+    return kept.select(F.expr(_DOC_ID).alias("doc_id"), "file_size")
+
+
 @query(
     "k3_file_table",
-    f"SELECT pq_path, lang, lang_size_mb, lang_file_cnt FROM {SQL_META}",
+    f"""SELECT pq_path, lang, lang_size_mb, lang_file_cnt,
+          'out/rows/verdict=kept/lang=' || lang AS filtered_pq_path FROM {SQL_META}""",
 )
 def file_table(spark, sf):
     files, path = meta(spark, sf), scratch_path(spark, "files")
+    target = writers.kept_directory("out/rows", F.col("lang"))
+    files = files.withColumn("filtered_pq_path", target)
     writers.write_file_table(files, path)
     back = spark.read.schema(files.schema).option("header", True).csv(path)
-    return back.select("pq_path", "lang", "lang_size_mb", "lang_file_cnt")
+    return back.select("pq_path", "lang", "lang_size_mb", "lang_file_cnt", "filtered_pq_path")
 
 
 @query(

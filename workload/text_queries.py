@@ -5,6 +5,7 @@ from pyspark.sql import functions as F
 from corpuslens.functions import decoding, markers, paths, text
 from corpuslens.operators import dedup
 from corpuslens.plans.extract import archive_rows
+from corpuslens.sources.readers import scan_corpus
 from workload.registry import query
 from workload.tables import (
     SQL_FILE_NAMES,
@@ -37,7 +38,7 @@ def s1(spark, sf):
 @query("s2_scan_as_is", "SELECT doc_id, text, lang, source, n_chars FROM documents")
 def s2(spark, sf):
     schema = "doc_id bigint, text string, lang string, source string, n_chars bigint"
-    return spark.read.schema(schema).parquet(f"{sf}/documents.parquet")
+    return scan_corpus(spark, f"{sf}/documents.parquet", is_slim=True, schema=schema)
 
 
 @query(
