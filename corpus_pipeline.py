@@ -27,10 +27,18 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group linked by the Jaccard join."""
-    groups = jaccard_join.jaccard_components(docs)
-    others = groups.filter("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(*docs.columns)
+    """The first document of every group linked by the Jaccard join.
+
+    Of several rows with one doc_id the least by its columns stays; rows without one all stay.
+    """
+    groups = jaccard_join.jaccard_components(docs).filter("doc_id is not null")
+    ids = groups.groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("n"), F.min("component_id").alias("first")
+    )
+    odd = materialize(ids.filter("n > 1 or first <> doc_id"))
+    several = docs.join(odd.filter("first = doc_id").select("doc_id"), "doc_id", "left_semi")
+    least = several.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
+    return docs.join(odd.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(least)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

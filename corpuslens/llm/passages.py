@@ -101,10 +101,20 @@ def units_of(values: np.ndarray, first: np.ndarray, windows: Windows):
     return starts, count, at, grams[at], stretch
 
 
-def find_units(docs: DataFrame, key: str, text: str, windows: Windows) -> DataFrame:
+def repeats_before(*columns: np.ndarray) -> np.ndarray:
+    """Whether a row equals the one before it in all ``columns``."""
+    out = np.zeros(len(columns[0]), dtype=bool)
+    out[1:] = np.logical_and.reduce([c[1:] == c[:-1] for c in columns])
+    return out
+
+
+def find_units(
+    docs: DataFrame, key: str, text: str, windows: Windows, all_copies: bool
+) -> DataFrame:
     """Units of all texts, copies within a block settled: flag 1 means a copy is known.
 
-    A settled unit needs no company, so its anchor is replaced by a hash of its place.
+    A settled unit needs no company, so its anchor is replaced by a hash of its place. Unless
+    ``all_copies``, a place of a document counts once, however often its row is repeated.
     """
 
     def units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -119,6 +129,13 @@ def find_units(docs: DataFrame, key: str, text: str, windows: Windows) -> DataFr
                 owner = np.searchsorted(first, start, "right") - 1
                 doc, place = ids[a + owner], start - first[owner]
                 order = np.lexsort((place, doc, stretch, anchor))
+                again = repeats_before(*(x[order] for x in (anchor, stretch, doc, place)))
+                if not all_copies and again.any():
+                    once = np.sort(order[~again])
+                    start, count, at, anchor, stretch, doc, place = (
+                        x[once] for x in (start, count, at, anchor, stretch, doc, place)
+                    )
+                    order = np.lexsort((place, doc, stretch, anchor))
                 same = np.zeros(len(order), dtype=bool)  # as the one before in this order
                 same[1:] = (anchor[order][1:] == anchor[order][:-1]) & (
                     stretch[order][1:] == stretch[order][:-1]
@@ -148,7 +165,8 @@ def settle(all_copies: bool):
     """Goes through units sorted by anchor, stretch, document and place.
 
     Emits the units that are copies (all of them, or all but the first), and as
-    representatives the first of each stretch where an anchor has more than one.
+    representatives the first of each stretch where an anchor has more than one. Of all but
+    the first, a place met again in a repeated row is no copy.
     """
 
     def rows(kind, anchor, doc, unit):
@@ -182,6 +200,10 @@ def settle(all_copies: bool):
                 doc = np.concatenate([[held[2]], doc])
                 unit = np.concatenate([[held[3]], unit])
                 company_first = held[4]
+            if not all_copies:
+                again = repeats_before(anchor, stretch, doc, unit >> 1)
+                if again.any():
+                    anchor, stretch, doc, unit = (x[~again] for x in (anchor, stretch, doc, unit))
             new = np.ones(len(anchor), dtype=bool)
             new[1:] = (anchor[1:] != anchor[:-1]) | (stretch[1:] != stretch[:-1])
             copies = ~new
@@ -249,6 +271,19 @@ def fetch(windows: Windows):
     return run
 
 
+def once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Sorted representatives without those that a repeated row of their document gave again."""
+    last = None
+    for batch in batches:
+        if not len(batch):
+            continue
+        columns = [batch.column(i).to_numpy() for i in range(3)]
+        again = repeats_before(*columns)
+        again[0] = last == tuple(c[0] for c in columns)
+        last = tuple(c[-1] for c in columns)
+        yield batch.filter(pa.array(~again)) if again.any() else batch
+
+
 def window_hashes(windows: Windows, texts: pa.Array, unit: np.ndarray):
     """Values of all stretches, prefix hashes, the first value of each, and its windows."""
     data, offsets = textbuf.column_bytes(texts)
@@ -361,9 +396,10 @@ def repeated_spans(
 ) -> DataFrame:
     """``doc`` and ``spans`` (start and number of windows) of all repeated windows.
 
-    ``all_copies``: every occurrence counts, else all but the first by document and place.
+    ``all_copies``: every occurrence counts, those in repeated rows too; else all but the
+    first by document and place, where repeated rows of a document are one occurrence.
     """
-    units = find_units(docs, key, text, windows)
+    units = find_units(docs, key, text, windows, all_copies)
     settled = units.repartition("anchor").sortWithinPartitions("anchor", "stretch", "doc", "unit")
     settled = materialize(
         settled.mapInArrow(settle(all_copies), "kind int, anchor bigint, doc bigint, unit bigint")
@@ -373,9 +409,11 @@ def repeated_spans(
     stretches = rows.join(wanted, "doc").select("doc", "text", "units")
     stretches = stretches.mapInArrow(fetch(windows), "anchor bigint, doc bigint, unit bigint, bytes binary")
     compared = stretches.repartition("anchor").sortWithinPartitions("anchor", "doc", "unit")
+    solve = compare(windows, kernel)
     compared = materialize(
         compared.mapInArrow(
-            compare(windows, kernel), "kind int, anchor bigint, window bigint, doc bigint, unit bigint"
+            solve if all_copies else lambda batches: solve(once(batches)),
+            "kind int, anchor bigint, window bigint, doc bigint, unit bigint",
         )
     )
     crowded = compared.filter("kind = 2").drop("kind")

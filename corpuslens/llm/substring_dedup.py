@@ -109,8 +109,8 @@ def remove_repeated_words(
 
     ``key`` is an integer that identifies a document. A null text has no words. Rows with a
     null key are compared with nothing and keep all their words. Repeated rows with one key
-    are one document: the passages that one loses, all lose. An empty table gives no rows.
-    Other columns are ignored.
+    are one document, no copies of each other: the passages that one loses, all lose. An
+    empty table gives no rows. Other columns are ignored.
     """
     spans = repeated_words(docs, key, text, length)
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"))

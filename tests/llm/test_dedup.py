@@ -168,3 +168,13 @@ def test_odd_input(spark, remove):
     assert [r["doc_id"] for r in out] == [None, 1, 1, 2]
     assert out[0]["n_removed"] == 0
     assert out[1]["n_removed"] == out[2]["n_removed"]
+
+
+def test_repeated_rows_are_one_document(spark, texts, limit):
+    """Rows repeated within a block and across blocks lose only what stands earlier elsewhere."""
+    docs = spark.createDataFrame(texts + texts, SCHEMA)
+    for frame in (docs.repartition(1), docs.repartition(7)):
+        out = digests(substring_dedup.remove_repeated_words(frame))
+        assert out.count() == 2 * len(texts)
+        assert as_dict(out.distinct(), "n_words", "n_removed", "kept") == brute.op8(texts)
+        assert out.distinct().count() == len(texts)

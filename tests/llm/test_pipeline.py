@@ -65,3 +65,18 @@ def test_all_tokens_are_packed(tables):
 
 def test_run(spark, tables):
     assert corpus_pipeline.run(spark, SF).count() == tables[5].count()
+
+
+def test_a_repeated_row_survives_once(spark):
+    """One of the rows with one doc_id stays, with its text; rows without one all stay."""
+    say = lambda mark: " ".join(f"{mark}{i}" for i in range(30))
+    rows = [(1, say("a")), (2, say("b")), (2, say("b")), (3, say("a")), (3, say("a")), (None, say("c")), (None, say("c"))]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    kept = corpus_pipeline.drop_near_duplicates(spark, docs, SF)
+    assert kept.dtypes == docs.dtypes
+    want = [(1, say("a")), (2, say("b")), (None, say("c")), (None, say("c"))]
+    by = lambda row: str(row)
+    assert sorted(map(tuple, kept.select("doc_id", "text").collect()), key=by) == sorted(want, key=by)
+    cut = corpus_pipeline.cut_repeated_passages(spark, docs.filter("doc_id = 2 or doc_id is null"), SF)
+    assert {r["text"] for r in cut.collect()} == {say("b"), say("c")}
