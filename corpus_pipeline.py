@@ -27,11 +27,11 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The first document of every group linked by the Jaccard join.
+    """The first document of every group linked by a similarity of 0.8 of five-word shingles.
 
     Of several rows with one doc_id the least by its columns stays; rows without one all stay.
     """
-    groups = jaccard_join.jaccard_components(docs).filter("doc_id is not null")
+    groups = jaccard_join.jaccard_components(docs, percent=80, words=5).filter("doc_id is not null")
     ids = groups.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("component_id").alias("first")
     )

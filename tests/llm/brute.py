@@ -28,11 +28,11 @@ def op1(docs, length=200):
     return out
 
 
-def op7(docs, percent=85):
+def op7(docs, percent=85, words=4):
     sets = {}
     for k, t in docs:
         w = WORD.findall((t or "").translate(FOLD))
-        sets[k] = {tuple(w[i : i + 4]) for i in range(len(w) - 3)} if len(w) >= 4 else ({tuple(w)} if w else set())
+        sets[k] = {tuple(w[i : i + words]) for i in range(len(w) - words + 1)} if len(w) >= words else ({tuple(w)} if w else set())
     where = defaultdict(set)
     for k, s in sets.items():
         for x in s:

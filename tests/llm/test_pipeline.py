@@ -1,5 +1,7 @@
 """Every stage of the pipeline against brute force on its own input."""
 
+import random
+
 import brute
 import pytest
 from pyspark.sql import functions as F
@@ -80,3 +82,27 @@ def test_a_repeated_row_survives_once(spark):
     assert sorted(map(tuple, kept.select("doc_id", "text").collect()), key=by) == sorted(want, key=by)
     cut = corpus_pipeline.cut_repeated_passages(spark, docs.filter("doc_id = 2 or doc_id is null"), SF)
     assert {r["text"] for r in cut.collect()} == {say("b"), say("c")}
+
+
+def test_near_duplicates_share_five_words_and_four_fifths(spark):
+    """Copies with more text and with spread edits, on both sides of 0.8."""
+    rng = random.Random(3)
+    say = lambda n: ["".join(rng.choices("abcdefgh", k=6)) for _ in range(n)]
+    rows = []
+    for i in range(8):
+        base = say(200)
+        edited = list(base)
+        for at in range(10, 10 + 20 * (i // 2 + 2), 20):
+            edited[at] = say(1)[0]
+        rows += [(10 * i, base), (10 * i + 1, base + say(24 + 5 * i)), (10 * i + 2, edited)]
+    rows = [(k, " ".join(words)) for k, words in rows]
+    docs = spark.createDataFrame([(k, t, "en", "s", len(t)) for k, t in rows],
+                                 "doc_id bigint, text string, lang string, source string, n_chars bigint")
+    want = {g for _, g in brute.op7(rows, percent=80, words=5).values()}
+    assert len(want) not in (8, 24) and want != {g for _, g in brute.op7(rows).values()}
+    assert set(texts(corpus_pipeline.drop_near_duplicates(spark, docs, SF))) == want
+
+
+def test_stage_agrees_with_brute_force_on_the_documents(tables):
+    groups = brute.op7(texts(tables[1]).items(), percent=80, words=5)
+    assert set(texts(tables[2])) == {g for _, g in groups.values()}
