@@ -1,8 +1,8 @@
 """Toxicity of texts: obfuscated words are restored by a noisy-channel decoder, then scored."""
 
-import re
 from collections.abc import Iterator
 from dataclasses import dataclass
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -22,21 +22,18 @@ LETTERS = 27  # a to z, and 0 for everything else
 _CODE = np.zeros(256, dtype=np.int64)
 _CODE[97:123] = np.arange(1, 27)
 
-# Costs of the channel, in nats: a sign for a letter, a letter once more, a separator.
-SIGN_COST, REPEAT_COST, SEPARATOR_COST = 1.0, 0.7, 0.5
+# Costs of the channel, in nats: a sign for a letter, a sign left as it is in a word of signs
+# alone, a letter once more (in a pair, which spelling has as well, or a longer run), a separator.
+SIGN_COST, RAW_COST, PAIR_COST, REPEAT_COST, SEPARATOR_COST = 1.0, 5.0, 5.0, 0.7, 0.5
 
 _IS_LETTER = np.zeros(256, dtype=bool)
 _IS_LETTER[97:123] = True
 _IS_SIGN = np.zeros(256, dtype=bool)
-_IS_SIGN[[ord(c) for c in LEET if ord(c) < 128] + [0xE2]] = True  # the euro sign begins so
+_IS_SIGN[[ord(c) for c in LEET if ord(c) < 128]] = True
 _IS_SEPARATOR = np.zeros(256, dtype=bool)
 _IS_SEPARATOR[[ord(c) for c in SEPARATORS]] = True
 
-_SIGNS = re.escape("".join(LEET))
-SUSPECT = re.compile(
-    rf"(?<![^\W_])[a-z](?:[ .\-_*][a-z](?![^\W_])){{2,}}"  # single letters apart
-    rf"|[a-z{_SIGNS}]*(?:[a-z][{_SIGNS}]|[{_SIGNS}][a-z]|([a-z])\1\1)[a-z{_SIGNS}]*"
-)
+LEAST = 3  # characters of a run of single ones, or of a word of signs alone
 
 
 # Character language model ---------------------------------------------------------------
@@ -76,26 +73,33 @@ class Decoder:
         self.model = model.tolist()
         self.known: dict[str, str] = {}
 
-    def readings(self, char: str, before: str, apart: bool) -> list[tuple[str, float]]:
-        """What ``char`` may stand for, with costs; empty text: nothing."""
+    def readings(self, char: str, before: str, run: int, parted: bool) -> list[tuple[str, float]]:
+        """What ``char``, one of ``run`` equal ones, may stand for, with costs; empty: nothing.
+        ``parted``: a separator stands before it already."""
         if char in SEPARATORS:
-            return [("", 0.0 if apart else SEPARATOR_COST), (" ", SEPARATOR_COST)]
-        out = [(char, 0.0)] if "a" <= char <= "z" else []
-        out += [(letter, SIGN_COST) for letter in LEET.get(char, "")]
-        if char == before and char.isalpha():
-            out.append(("", REPEAT_COST))
-        return out
+            return [("", 0.0)] if parted else [("", 0.0), (" ", SEPARATOR_COST)]
+        if "a" <= char <= "z":
+            again = [("", REPEAT_COST if run > 2 else PAIR_COST)] if char == before else []
+            return [(char, 0.0), *again]
+        return [(letter, SIGN_COST) for letter in LEET[char]]
+
+    def raw_score(self, word: str) -> float:
+        """Score of a word of signs alone left as it is."""
+        start, inner = self.model[0][0][0], len(word) - sum(c in SEPARATORS for c in word)
+        return (len(word) + 1) * start - RAW_COST * inner
 
     def decode(self, word: str) -> str:
         if word in self.known:
             return self.known[word]
-        apart = any(c in SEPARATORS for c in word)
         # best way into every pair of last letters: score and back pointer
         layer = {(0, 0): 0.0}
         trail = []
-        before = ""
+        bare = [c for c in word if c not in SEPARATORS]
+        runs = [n for n in (len(list(same)) for _, same in groupby(bare)) for _ in range(n)]
+        before, parted, at = "", False, 0
         for char in word:
-            options = self.readings(char, before, apart)
+            apart = char in SEPARATORS
+            options = self.readings(char, before, 0 if apart else runs[at], parted)
             following, back = {}, {}
             for state, score in layer.items():
                 row = self.model[state[0]][state[1]]
@@ -107,14 +111,20 @@ class Decoder:
                         to, value = (state[1], code), score - cost + row[code]
                     if value > following.get(to, -1e300):
                         following[to], back[to] = value, (state, letter)
-            layer, before = following, char
+            layer, parted = following, apart
+            if not apart:
+                before, at = char, at + 1
             trail.append(back)
-        end = max(layer, key=lambda s: layer[s] + self.model[s[0]][s[1]][0])
-        letters = []
-        for back in reversed(trail):
-            end, letter = back[end]
-            letters.append(letter)
-        out = "".join(reversed(letters))
+        score = lambda s: layer[s] + self.model[s[0]][s[1]][0]
+        end = max(layer, key=score)
+        if not any("a" <= c <= "z" for c in word) and self.raw_score(word) > score(end):
+            out = word
+        else:
+            letters = []
+            for back in reversed(trail):
+                end, letter = back[end]
+                letters.append(letter)
+            out = "".join(reversed(letters))
         if len(self.known) > 200_000:
             self.known.clear()
         self.known[word] = out
@@ -122,23 +132,82 @@ class Decoder:
 
     def restore(self, text: str) -> str:
         """``text`` in lower case with every suspect word decoded."""
-        return SUSPECT.sub(lambda m: self.decode(m[0]), text.lower())
+        part = np.frombuffer(text.lower().encode(), dtype=np.uint8)
+        return self.restore_all(part, np.array([0, len(part)]))[0].tobytes().decode()
+
+    def restore_all(self, part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Lower-case texts that begin at ``at``, with every suspect word decoded; new offsets."""
+        start, end = suspects(part, at)
+        if not len(start):
+            return part, at
+        raw, pieces, last = part.tobytes(), [], 0
+        grown = np.empty(len(start), dtype=np.int64)
+        for i, (low, high) in enumerate(zip(start.tolist(), end.tolist())):
+            word = self.decode(raw[low:high].decode()).encode()
+            pieces += (raw[last:low], word)
+            grown[i] = len(word) - (high - low)
+            last = high
+        pieces.append(raw[last:])
+        grown = np.concatenate([[0], np.cumsum(grown)])
+        at = at + grown[np.searchsorted(end, at, "right")]
+        return np.frombuffer(b"".join(pieces), dtype=np.uint8), at
+
+
+def runs_of(inside: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of all runs of ``inside``, which cross no text."""
+    first = np.zeros(len(inside) + 1, dtype=bool)
+    first[at] = True
+    starts, ends = inside.copy(), inside.copy()
+    if len(inside):
+        starts[1:] &= ~inside[:-1] | first[1:-1]
+        ends[:-1] &= ~inside[1:] | first[1:-1]
+    return np.flatnonzero(starts), np.flatnonzero(ends) + 1
 
 
-def suspects(part: np.ndarray) -> np.ndarray:
-    """Whether a suspect word may begin near each byte of lower-case text."""
-    letter = _IS_LETTER[part]
-    out = np.zeros(len(part), dtype=bool)
-    if len(part) < 3:
-        return out
-    sign, separator = _IS_SIGN[part], _IS_SEPARATOR[part]
-    out[1:] |= (letter[:-1] & sign[1:]) | (sign[:-1] & letter[1:])
-    out[2:] |= letter[2:] & (part[2:] == part[1:-1]) & (part[1:-1] == part[:-2])
-    single = letter.copy()  # letters that stand alone
-    single[1:] &= ~letter[:-1]
-    single[:-1] &= ~letter[1:]
-    out[2:] |= single[:-2] & separator[1:-1] & single[2:]
-    return out
+def near(part: np.ndarray, at: np.ndarray, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Whether only separators stand between each run and the next one of the same text."""
+    if len(start) < 2:
+        return np.empty(0, dtype=bool)
+    seen = np.concatenate([[0], np.cumsum(_IS_SEPARATOR[part])])
+    owner = np.searchsorted(at, start, "right")
+    gap = start[1:] - end[:-1]
+    return (gap > 0) & (seen[start[1:]] - seen[end[:-1]] == gap) & (owner[1:] == owner[:-1])
+
+
+def suspects(part: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of what may be obfuscated in lower-case texts that begin at ``at``.
+
+    These are words with letters and signs, with a letter twice in a row, or of signs alone,
+    and runs of single letters or signs with separators between them.
+    """
+    letter, sign = _IS_LETTER[part], _IS_SIGN[part]
+    tail = np.zeros(len(part), dtype=bool)  # second and third byte of a euro sign
+    for i in np.flatnonzero(part[:-2] == 0xE2) if len(part) > 2 else ():
+        if part[i + 1] == 0x82 and part[i + 2] == 0xAC:
+            sign[i : i + 3] = tail[i + 1 : i + 3] = True
+    start, end = runs_of(letter | sign, at)
+    if not len(start):
+        return start, end
+    total = lambda flags: np.concatenate([[0], np.cumsum(flags)])
+    of = lambda sums: sums[end] - sums[start]
+    size = of(total(~tail))
+    letters = of(total(letter))
+    twice = np.zeros(len(part), dtype=bool)  # the same letter as the byte before
+    twice[1:] = letter[1:] & (part[1:] == part[:-1])
+    twice[start] = False
+    odd = ((letters > 0) & (letters < size)) | ((letters == 0) & (size >= LEAST)) | (of(total(twice)) > 0)
+    # single characters apart; a letter beyond ASCII beside one makes it part of a word
+    beyond = np.concatenate([part >= 128, [False]])
+    owner = np.searchsorted(at, start, "right")
+    before = beyond[start - 1] & (start > at[owner - 1])
+    after = beyond[end] & (end < at[owner])
+    single = (size == 1) & ~before & ~after
+    chained = near(part, at, start, end) & single[:-1] & single[1:]
+    link = np.concatenate([[False], chained])  # with the one before
+    head = np.flatnonzero(~link)
+    last = np.append(head[1:], len(start)) - 1
+    chosen = (last - head + 1 >= LEAST) | ((last == head) & odd[head])
+    return start[head[chosen]], end[last[chosen]]
 
 
 # Features -------------------------------------------------------------------------------
@@ -146,21 +215,20 @@ def suspects(part: np.ndarray) -> np.ndarray:
 _WORD_BYTE = _IS_LETTER.copy()
 _WORD_BYTE[128:] = True
 PREFIXES = (4, 5)
+MOST_PARTS, MOST_JOINED = 3, 24  # words joined to one, and letters before the last of them
 
 
-def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def features(
+    data: np.ndarray, offsets: np.ndarray, joined: bool = False
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Hashes of all words and of their first letters, with the text they stand in; and the
-    number of words of each text. Words are runs of letters, a byte beyond ASCII included."""
+    number of words of each text. Words are runs of letters, a byte beyond ASCII included.
+
+    ``joined`` adds the words that two or three neighbours make without their separators.
+    """
     low = int(offsets[0])
     part, at = data[low : int(offsets[-1])], offsets - low
-    inside = _WORD_BYTE[part]
-    first = np.zeros(len(part) + 1, dtype=bool)
-    first[at] = True
-    starts, ends = inside.copy(), inside.copy()
-    if len(part):
-        starts[1:] &= ~inside[:-1] | first[1:-1]
-        ends[:-1] &= ~inside[1:] | first[1:-1]
-    start, end = np.flatnonzero(starts), np.flatnonzero(ends) + 1
+    start, end = runs_of(_WORD_BYTE[part], at)
     owner = np.searchsorted(at, start, "right") - 1
     prefix = textbuf.prefix_hashes(textbuf.BYTE_VALUES[part])
     hashes, owners = [textbuf.mix(textbuf.range_hash(prefix, start, end))], [owner]
@@ -169,6 +237,20 @@ def features(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndar
         own = textbuf.range_hash(prefix, start[long], start[long] + n)
         hashes.append(textbuf.mix(own + np.uint64(n)))
         owners.append(owner[long])
+    if joined and len(start) > 1:
+        up, _ = textbuf.powers(MOST_JOINED + 1)
+        link = near(part, at, start, end)
+        whole, size = textbuf.range_hash(prefix, start, end), end - start
+        first = np.arange(len(start))
+        joint, length = whole, size
+        for n in range(1, MOST_PARTS):
+            some = np.flatnonzero(first + n < len(start))
+            some = some[link[first[some] + n - 1] & (length[some] < MOST_JOINED)]
+            following = first[some] + n
+            joint = joint[some] + whole[following] * up[length[some]]
+            first, length = first[some], length[some] + size[following]
+            hashes.append(textbuf.mix(joint))
+            owners.append(owner[first])
     words = np.bincount(owner, minlength=len(offsets) - 1)
     return np.concatenate(hashes), np.concatenate(owners), words
 
@@ -179,16 +261,7 @@ def restored(column: pa.Array, decoder: Decoder) -> Iterator[tuple[int, np.ndarr
     for low, high in textbuf.groups(offsets):
         at = offsets[low : high + 1] - offsets[low]
         raw = data[offsets[low] : offsets[high]]
-        part = textbuf.LOWER[raw]
-        hits = np.concatenate([[0], np.cumsum(suspects(part))])
-        odd = hits[at[1:]] > hits[at[:-1]]
-        if odd.any():
-            texts = []
-            for i in range(high - low):
-                own = part[at[i] : at[i + 1]].tobytes()
-                texts.append(decoder.restore(own.decode()).encode() if odd[i] else own)
-            part = np.frombuffer(b"".join(texts), dtype=np.uint8)
-            at = np.concatenate([[0], np.cumsum([len(t) for t in texts])])
+        part, at = decoder.restore_all(textbuf.LOWER[raw], at)
         yield low, part, at
 
 
@@ -220,7 +293,8 @@ class Model:
         owner, at = pairs // len(self.keys), pairs % len(self.keys)
         toxic, clean = self.toxic[at].astype(float), self.clean[at].astype(float)
         if label is not None:
-            toxic, clean = toxic - label[owner], clean - (1 - label[owner])
+            # a joined word was not counted
+            toxic, clean = np.maximum(toxic - label[owner], 0), np.maximum(clean - 1 + label[owner], 0)
         odds = np.log((toxic + 0.5) / (self.n_toxic + 1)) - np.log((clean + 0.5) / (self.n_clean + 1))
         error = np.sqrt(1 / (toxic + 0.5) + 1 / (clean + 0.5))
         np.add.at(out, owner, np.maximum(odds - 2 * error - 1, 0))
@@ -308,7 +382,7 @@ def train(
         for batch in batches:
             label = batch.column(1).to_numpy()
             for low, part, at in restored(batch.column(2), decoder):
-                hashes, owners, words = features(part, at)
+                hashes, owners, words = features(part, at, joined=True)
                 own = label[low : low + len(words)]
                 found = model.value.evidence(hashes, owners, len(words), own)
                 yield pa.RecordBatch.from_arrays(
@@ -340,9 +414,11 @@ def score_toxicity(
 ) -> DataFrame:
     """Probability that ``label`` is 1, for every whole text; ``predicted`` is 1 from 0.5 on.
 
-    A character language model is counted over all texts. Words with signs for letters,
-    letters apart or threefold letters are decoded by a Viterbi search for the likeliest
-    letters under that model, the signs, repetitions and separators having a cost each. The
+    A character language model is counted over all texts. Words with signs for letters or of
+    signs alone, single letters or signs apart and words with a letter twice in a row are
+    decoded by a Viterbi search for the likeliest reading under that model, the signs,
+    repetitions and separators having a cost each, and signs left as they are as well. Where two
+    or three neighbouring words joined make a word the classifier knows, it counts too. The
     restored words and their beginnings are scored by log odds of document counts, and a
     logistic curve turns their sum into a probability; it is fitted with each text left out
     of its own counts. The classifier learns from the labelled rows that ``learn`` admits, at
@@ -364,7 +440,7 @@ def score_toxicity(
         for batch in batches:
             parts = [np.empty(0)]
             for _, part, at in restored(batch.column(batch.num_columns - 1), decoder):
-                hashes, owners, words = features(part, at)
+                hashes, owners, words = features(part, at, joined=True)
                 parts.append(fitted.score(fitted.evidence(hashes, owners, len(words)), words))
             value = np.concatenate(parts)
             columns = [*batch.columns[:-1], pa.array(value), pa.array((value >= 0.5).astype(np.int32))]

@@ -157,3 +157,36 @@ def test_components_of_random_graphs(spark):
     got = connected_components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()
     alone = {n for n in label if all(a == b for a, b in edges if n in (a, b))}
     assert {r["node"]: r["component"] for r in got} == {n: c for n, c in label.items() if n not in alone}
+
+
+def test_mixed_noise_is_restored(spark):
+    """Spacing with signs, several separators, doubled letters, signs alone, and mixtures."""
+    model = toxicity.character_model(spark.read.parquet(f"{SF}/documents.parquet"), "text")
+    decoder = toxicity.Decoder(model)
+    for written, word in (
+        ("h 4 t e", "hate"), ("i.d.1.o.t", "idiot"), ("1 d 1 0 t", "idiot"), ("i  d  i  o  t", "idiot"),
+        ("i..d..i..o..t", "idiot"), ("s t u p 1 d", "stupid"), ("stuupid", "stupid"), ("5 t u u p 1 d", "stupid"),
+        ("@$$", "ass"), ("455", "ass"), ("+r@$h", "trash"), ("€vil", "evil"), ("h a t €", "hate"),
+        ("2024 and 100", "2024 and 100"), ("worthless", "worthless"), ("é – ok", "é – ok"), ("", ""),
+    ):
+        assert decoder.restore(written) == word
+    texts = ["", "say i..d..1..o..t now", "é", "1 d", "1 0 t", "€vil stuupid", ""]  # runs cross no text
+    raw = [t.encode() for t in texts]
+    at = np.cumsum([0, *map(len, raw)])
+    part, new = decoder.restore_all(np.frombuffer(b"".join(raw), dtype=np.uint8), at)
+    got = [part[a:b].tobytes().decode() for a, b in zip(new, new[1:])]
+    assert got == [decoder.restore(t) for t in texts]
+    assert got[1] == "say idiot now" and got[5] == "evil stupid"
+
+
+def test_split_and_spaced_words_are_scored(spark):
+    rng = random.Random(2)
+    plain = ["".join(rng.choices("abehlmnorstu", k=rng.randint(3, 7))) for _ in range(300)]
+    say = lambda *more: " ".join([*rng.choices(plain, k=30), *more])
+    rows = [(i, say("idiot", "garden") if i % 2 else say("garden"), i % 2) for i in range(400)]
+    forms = ["idiot", "idi ot", "id-iot", "i_dio_t", "1 d 1 0 t", "i..d..i..o..t", "idioot"]
+    rows += [(1000 + i, say(form), None) for i, form in enumerate(forms)] + [(2000, say("gar den"), None)]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int")
+    out = toxicity.score_toxicity(docs, docs.select("doc_id", "toxic"), F.lit(True)).filter("doc_id >= 1000")
+    got = {r["doc_id"]: r["predicted"] for r in out.collect()}
+    assert got == {1000 + i: 1 for i in range(len(forms))} | {2000: 0}
