@@ -11,6 +11,7 @@ from corpuslens.llm import (
     host_quality,
     jaccard_join,
     language_id,
+    line_dedup,
     substring_dedup,
     suffix_dedup,
     tokens,
@@ -243,3 +244,26 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
         learn=F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0),
         keep=[F.col("doc_id"), held_out.alias("held_out")],
     )
+
+
+# 13 --------------------------------------------------------------------------------------
+
+OP13_SQL = r"""
+WITH rows AS (SELECT row_number() OVER () AS r, doc_id, coalesce(text, '') AS t FROM documents),
+lines AS (
+  SELECT r, doc_id, unnest(string_split(t, chr(10))) AS line,
+    generate_subscripts(string_split(t, chr(10)), 1) AS i FROM rows),
+keyed AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS k FROM lines),
+common AS (
+  SELECT k FROM (SELECT DISTINCT k, doc_id FROM keyed WHERE k <> '') GROUP BY k HAVING count(*) >= 10)
+SELECT doc_id, count(*) AS n_lines, count(common.k) AS n_dropped,
+  sha256(coalesce(string_agg(line, chr(10) ORDER BY i) FILTER (common.k IS NULL), '')) AS kept_sha256
+FROM keyed LEFT JOIN common ON keyed.k = common.k GROUP BY r, doc_id"""
+
+
+@query("op13_line_dedup", OP13_SQL)
+def op13(spark: SparkSession, sf: str) -> DataFrame:
+    cut = line_dedup.remove_common_lines(table(spark, sf, "documents"))
+    return cut.select("doc_id", "n_lines", "n_dropped", F.sha2("kept", 256).alias("kept_sha256"))
