@@ -12,6 +12,7 @@ from corpuslens.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    prefix_trie,
     substring_dedup,
     suffix_dedup,
     tokens,
@@ -246,6 +247,52 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# 12 --------------------------------------------------------------------------------------
+
+# crc32 of a decimal number: a byte at a time, eight shifts each
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(
+    string_split({0}::VARCHAR, ''), lambda c: ascii(c)::BIGINT)),
+    lambda a, b: list_reduce(list_prepend(xor(a, b), [0, 0, 0, 0, 0, 0, 0, 0]::BIGINT[]),
+      lambda x, y: xor(x >> 1, 3988292384 * (x & 1)))))"""
+
+OP12_SQL = r"""
+WITH said AS (
+  SELECT conv_id, turn, coalesce(text, '') AS text, substring(sha256(
+    strlen(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, '')), 1, 32) AS digest
+  FROM conversations WHERE conv_id IS NOT NULL),
+own AS (
+  SELECT conv_id, list(digest ORDER BY turn NULLS FIRST, digest) AS d,
+    list(strlen(text)::BIGINT ORDER BY turn NULLS FIRST, digest) AS w FROM said GROUP BY conv_id),
+heads AS (SELECT *, (CRC % 9)::BIGINT AS h FROM own),
+rebuilt AS (
+  SELECT c.conv_id, list_concat(coalesce(b.d[1:c.h], []), c.d[c.h + 1:]) AS d,
+    list_concat(coalesce(b.w[1:c.h], []), c.w[c.h + 1:]) AS w
+  FROM heads c LEFT JOIN own b ON b.conv_id = c.conv_id - c.conv_id % 5),
+places AS (
+  SELECT conv_id, k, array_to_string(d[1:k], '') AS node, array_to_string(d[1:k - 1], '') AS above,
+    CASE WHEN k > 0 THEN w[k] ELSE 0 END AS bytes, k = len(d) AS ends
+  FROM (SELECT *, unnest(range(0, len(d) + 1)) AS k FROM rebuilt)),
+nodes AS (
+  SELECT node, k AS depth, any_value(above) AS above, min(conv_id) AS conv_id, count(*) AS n_convs,
+    (count(*) - 1) * any_value(bytes) AS saved, any_value(conv_id) AS someone,
+    sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (ends), '')) AS ends_sha256
+  FROM places GROUP BY node, k),
+children AS (SELECT above AS node, count(*) AS n FROM nodes WHERE depth > 0 GROUP BY above),
+below AS (
+  SELECT p.node, sum(n.saved) AS saved, count(*) FILTER (c.n IS NULL) AS leaves
+  FROM nodes n JOIN places p ON p.conv_id = n.someone AND p.k <= n.depth
+  LEFT JOIN children c ON c.node = n.node GROUP BY p.node)
+SELECT n.conv_id, n.depth, p.conv_id AS parent_conv_id, n.n_convs, coalesce(c.n, 0) AS n_children,
+  b.leaves AS n_leaves, b.saved::BIGINT AS saved_tokens, n.ends_sha256
+FROM nodes n JOIN below b ON b.node = n.node LEFT JOIN children c ON c.node = n.node
+  LEFT JOIN nodes p ON n.depth > 0 AND p.node = n.above""".replace("CRC", CRC32.format("conv_id"))
+
+
+@query("op12_prefix_trie", OP12_SQL)
+def op12(spark: SparkSession, sf: str) -> DataFrame:
+    return prefix_trie.shared_prefixes(table(spark, sf, "conversations"))
+
+
 # 13 --------------------------------------------------------------------------------------
 
 OP13_SQL = r"""
