@@ -1,5 +1,7 @@
 """One query per operator over its whole table, with its SQL twin where there is one."""
 
+from zlib import crc32
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -12,6 +14,7 @@ from corpuslens.llm import (
     jaccard_join,
     language_id,
     line_dedup,
+    periodic_runs,
     prefix_trie,
     substring_dedup,
     suffix_dedup,
@@ -247,6 +250,40 @@ def op10(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+# 11 --------------------------------------------------------------------------------------
+
+
+def planted(doc_id: int | None, n: int) -> tuple[int, int] | None:
+    """From which word on a tenth of the documents repeat, and with which period."""
+    h = crc32(str(doc_id).encode())
+    if doc_id is None or h % 10:
+        return None
+    g = h // 10
+    a = g % n
+    return a, 1 + (n - a) // (3 + g % 8)
+
+
+@query("op11_periodic_runs")
+def op11(spark: SparkSession, sf: str) -> DataFrame:
+    found = periodic_runs.periodic_runs(table(spark, sf, "documents"), planted=planted, digest=True)
+    # longest first, then by start and period
+    best = F.array_min(F.transform("runs", lambda r: F.struct(-r["length"], r["start"], r["period"])))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    listed = F.concat(F.array_join(lines, "\n"), F.when(F.size("runs") > 0, "\n").otherwise(""))
+    found = found.withColumn("_best", F.when(F.size("runs") > 0, best))
+    length = -F.col("_best.col1")
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("_best.start").alias("start"),
+        length.alias("length"),
+        F.col("_best.period").alias("period"),
+        F.floor(1000 * length / F.col("_best.period")).alias("exponent_milli"),
+        F.sha2(listed, 256).alias("runs_sha256"),
+        F.col("collapsed").alias("collapsed_sha256"),
+    )
+
+
 # 12 --------------------------------------------------------------------------------------
 
 # crc32 of a decimal number: a byte at a time, eight shifts each
