@@ -29,6 +29,8 @@ PARITY_BYTES = 128
 MAX_BROADCAST_KEYS = 1_000_000
 
 PARTNERS = 64  # rows of one signature compared at once
+BLOCK_ROWS = 1024  # rows of one signature in one block; a task compares two blocks
+LEAST = 16  # least signatures of a document that travel with each of its rows
 WIDE_BYTES = 16 * 1024 * 1024  # of wide parities compared at once
 
 
@@ -369,14 +371,41 @@ def apart_by_width(x: np.ndarray, y: np.ndarray, width: np.ndarray, whole: np.nd
             yield part, np.bitwise_count(differ).sum(axis=1, dtype=np.int64)
 
 
-def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
-    """Pairs of rows (signature, component, doc, n, distance, parity), sorted, of one signature
-    and different components, as far as their sizes, their distances from the centre and their
-    parities allow a link.
+def least_lists(column: pa.ListArray) -> np.ndarray:
+    """Lists of up to ``LEAST`` signatures as rows of a matrix, their last one repeated."""
+    at = column.offsets.to_numpy().astype(np.int64)
+    values = column.values.to_numpy()
+    place = at[:-1, None] + np.minimum(np.arange(LEAST), np.diff(at)[:, None] - 1)
+    return values[place]
+
 
-    ``parity`` has a bit for every class of tokens: whether the set has an odd number of them.
-    Every token that only one of two sets has flips one bit, so they differ in as many tokens
-    as bits at least. Long sets have more bits, or half of them would differ at any distance.
+def least_common(x: np.ndarray, y: np.ndarray, signature: int) -> np.ndarray:
+    """Which pairs of rows of least signatures are to be listed at ``signature``.
+
+    A signature that both lists hold is the least of all that the documents share, if it is the
+    least in both lists; the pair is listed there alone. Where the lists have none in common, the
+    pair is listed wherever it is found: it shares few of its signatures, so that is not often.
+    """
+    out = np.empty(len(x), dtype=bool)
+    for a in range(0, len(x), 4096):
+        p, q = x[a : a + 4096], y[a : a + 4096]
+        both = (p[:, :, None] == q[:, None, :]).any(axis=2)
+        first = np.where(both, p, np.iinfo(np.int64).max).min(axis=1)
+        out[a : a + 4096] = ~both.any(axis=1) | (first == signature)
+    return out
+
+
+def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.RecordBatch]:
+    """Pairs of rows (signature, pair, block, component, doc, n, distance, parity, least),
+    sorted, of one signature and different components, as far as their sizes, their distances
+    from the centre and their parities allow a link.
+
+    Rows of a common signature are dealt to blocks; ``pair`` tells which two blocks meet here, and
+    rows of two blocks are compared across these alone. ``parity`` has a bit for every class of
+    tokens: whether the set has an odd number of them. Every token that only one of two sets has
+    flips one bit, so they differ in as many tokens as bits at least. Long sets have more bits,
+    or half of them would differ at any distance. A pair that shares many signatures is given at
+    the least of them.
     """
     reach = 1 - percent / 100 + 1e-9
     differ = (100 - percent) / (100 + percent)
@@ -386,17 +415,22 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
         columns = [np.where(swap, b, a), np.where(swap, a, b), np.where(swap, nb, na), np.where(swap, na, nb)]
         return pa.RecordBatch.from_arrays([pa.array(c) for c in columns], names=["a", "b", "na", "nb"])
 
-    def pairs(comp, doc, n, far, parity, width, whole):
+    def pairs(signature, _, block, comp, doc, n, far, least, parity, width, whole):
+        alone = len(doc) == 0 or (block == block[0]).all()
         for i in range(0, len(doc), PARTNERS):
             j = slice(i, i + PARTNERS)
             fits = (comp[j, None] != comp[None, i:]) & (100 * np.minimum(n[j, None], n[None, i:])
                 >= percent * np.maximum(n[j, None], n[None, i:]))
+            if not alone:
+                fits &= block[j, None] != block[None, i:]
             known = np.abs(far[j, None] - far[None, i:])
             fits &= ~(known > reach)  # an unknown distance rules nothing out
             x, y = (i + k for k in np.nonzero(np.triu(fits, 1)))
             apart = np.bitwise_count(parity[x] ^ parity[y]).sum(axis=1, dtype=np.int64)
             fits = apart <= differ * (n[x] + n[y]) + 1e-9
             x, y = x[fits], y[fits]
+            fits = least_common(least[x], least[y], signature[0])
+            x, y = x[fits], y[fits]
             fits = np.ones(len(x), dtype=bool)
             for some, apart in apart_by_width(x, y, width, whole):
                 fits[some] = apart <= differ * (n[x[some]] + n[y[some]]) + 1e-9
@@ -408,16 +442,30 @@ def across(batches: Iterator[pa.RecordBatch], percent: int) -> Iterator[pa.Recor
     for batch in batches:
         if not len(batch):
             continue
-        rows = [c.to_numpy() for c in batch.columns[:-1]]
-        rows += parities(batch.column(5))
+        rows = [c.to_numpy() for c in batch.columns[:7]]
+        rows += [least_lists(batch.column(8)), *parities(batch.column(7))]
         if held is not None:
             rows = [np.concatenate(x) for x in zip(held, rows)]
-        border = np.flatnonzero(np.append(True, rows[0][1:] != rows[0][:-1]))
+        border = np.flatnonzero(np.append(True, (rows[0][1:] != rows[0][:-1]) | (rows[1][1:] != rows[1][:-1])))
         for a, b in zip(border[:-1], border[1:]):
-            yield from pairs(*(x[a:b] for x in rows[1:]))
+            yield from pairs(*(x[a:b] for x in rows))
         held = [x[border[-1] :] for x in rows]
     if held is not None:
-        yield from pairs(*held[1:])
+        yield from pairs(*held)
+
+
+def block_pairs(rows: DataFrame) -> DataFrame:
+    """Rows with the number ``rows`` of their signature to one row per pair of blocks.
+
+    Nearly all signatures have one block. A row of one with b blocks meets each of them, so it
+    comes b times, and no task holds more than two blocks of a signature.
+    """
+    blocks = F.ceil(F.col("rows") / BLOCK_ROWS)
+    block = F.pmod(F.xxhash64("doc"), blocks)
+    other = F.explode(F.sequence(F.lit(0).cast("bigint"), blocks - 1)).alias("_other")
+    rows = rows.withColumns({"block": block, "_blocks": blocks}).select("*", other)
+    pair = F.least("block", "_other") * F.col("_blocks") + F.greatest("block", "_other")
+    return rows.withColumn("pair", pair).drop("_blocks", "_other", "rows")
 
 
 # The operator ----------------------------------------------------------------------------
@@ -440,6 +488,8 @@ def jaccard_components(
     signature across components are compared, unless their sizes, their distances from the
     common centre by the triangle inequality, or parities of their sets rule a link out. No
     pair of a finished group is ever listed, and no pair that could join two groups is left out.
+    A signature of many documents is cut into blocks, whose pairs are dealt over all tasks, and
+    a pair that shares many signatures is listed at the least of them (see ``least_common``).
 
     A null or blank text has an empty set and links with nothing; rows with a null key come
     back with a null component; repeated rows with one key are one document and come back as
@@ -480,16 +530,23 @@ def jaccard_components(
     # signatures that still span components
     open_ = members.join(labels, F.col("doc") == F.col("node"), "left").drop("node")
     open_ = materialize(open_.withColumn("component", F.coalesce("component", "doc")))
-    split = open_.groupBy("signature").agg(F.min("component").alias("low"), F.max("component").alias("high"))
-    split = split.filter("low <> high").select("signature")
-    open_ = open_.filter("doc <> centre").join(split, "signature", "left_semi")
+    split = open_.groupBy("signature").agg(
+        F.min("component").alias("low"),
+        F.max("component").alias("high"),
+        F.count_if(F.col("doc") != F.col("centre")).alias("rows"),
+    )
+    split = split.filter("low <> high").select("signature", "rows")
+    open_ = materialize(open_.filter("doc <> centre").join(split, "signature"))
+    least = open_.groupBy("doc").agg(F.slice(F.sort_array(F.collect_set("signature")), 1, LEAST).alias("least"))
+    shapes = signs.select("doc", "parity").join(least, "doc")
     open_ = open_.join(near.select("doc", "centre", "distance"), ["doc", "centre"], "left")
-    open_ = open_.join(signs.select("doc", "parity"), "doc").select(
-        "signature", "component", "doc", "n",
+    open_ = block_pairs(open_.join(shapes, "doc")).select(
+        "signature", "pair", "block", "component", "doc", "n",
         # not measured: nothing is known of the distance
-        F.coalesce("distance", F.lit(float("nan"))).alias("distance"), "parity",
+        F.coalesce("distance", F.lit(float("nan"))).alias("distance"), "parity", "least",
     )
-    rest = open_.repartition("signature").sortWithinPartitions("signature", "component", "doc")
+    rest = open_.repartition("signature", "pair")
+    rest = rest.sortWithinPartitions("signature", "pair", "component", "doc")
     rest = rest.mapInArrow(
         lambda batches: across(batches, percent), "a bigint, b bigint, na bigint, nb bigint"
     )

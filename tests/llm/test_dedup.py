@@ -178,3 +178,40 @@ def test_repeated_rows_are_one_document(spark, texts, limit):
         assert out.count() == 2 * len(texts)
         assert as_dict(out.distinct(), "n_words", "n_removed", "kept") == brute.op8(texts)
         assert out.distinct().count() == len(texts)
+
+
+def test_pairs_are_listed_once_and_across_blocks():
+    """Rows of one signature in several blocks give the pairs that one block gives; a pair with
+    many common signatures comes at the least of them."""
+    rng = np.random.default_rng(8)
+    tokens = [np.unique(rng.integers(0, 2**62, 100, dtype=np.uint64)) for _ in range(6)]
+    sets = [np.unique(np.concatenate([tokens[i % 6][: 100 - i % 3], rng.integers(0, 2**62, i % 4, dtype=np.uint64)])) for i in range(40)]
+
+    def rows(signature, blocks):
+        out = []
+        for i, s in enumerate(sets):
+            parity = jaccard_join.folded(jaccard_join.parity_of(s), jaccard_join.PARITY_BYTES).tobytes()
+            least = [5, 9] if i % 6 else [9]
+            for other in range(blocks):
+                block = i % blocks
+                pair = min(block, other) * blocks + max(block, other)
+                out.append((signature, pair, block, i // 2, i, len(s), float("nan"), parity, least))
+        out.sort(key=lambda r: r[:2])
+        types = [pa.int64()] * 6 + [pa.float64(), pa.binary(), pa.list_(pa.int64())]
+        names = ["signature", "pair", "block", "component", "doc", "n", "distance", "parity", "least"]
+        arrays = [pa.array(c, t) for c, t in zip(zip(*out), types)]
+        batch = pa.RecordBatch.from_arrays(arrays, names=names)
+        return [batch.slice(a, 7) for a in range(0, len(out), 7)]
+
+    def listed(signature, blocks):
+        found = [tuple(r.values())[:2] for b in jaccard_join.across(iter(rows(signature, blocks)), 80) for r in b.to_pylist()]
+        assert len(found) == len(set(found))
+        return set(found)
+
+    one = {signature: listed(signature, 1) for signature in (5, 9, 77)}
+    for blocks in (2, 3, 7):
+        assert {signature: listed(signature, blocks) for signature in one} == one
+    assert one[5] and one[9] and not one[77]
+    assert not one[5] & one[9]
+    alike = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 6 == b % 6 and a // 2 != b // 2}
+    assert one[5] | one[9] == alike
