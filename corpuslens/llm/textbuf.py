@@ -3,7 +3,10 @@
 Polynomial hashes are taken modulo 2**64. ``prefix`` holds the sums of ``value[i] * B**i``;
 the hash of a range is a difference of two of them times a power of the inverse of ``B``,
 so every substring has a hash in constant time. Bytes are replaced by random 64-bit values
-first, and results are mixed, so that low bits may be used as well.
+first, and results are mixed, so that low bits may be used as well. Such hashes are for windows
+of a few hundred values: modulo a power of two, certain long strings of two letters have one
+hash for every base. Words, which may be long, are hashed by a random value for each byte and
+place instead.
 """
 
 import ctypes
@@ -137,19 +140,36 @@ def word_spans(data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.nd
     return start, end, np.searchsorted(start, offsets)
 
 
+_PLACES = 64
+_PLACE_STEP = np.uint64(0x9E3779B97F4A7C15)
+_PLACED = mix(
+    BYTE_VALUES[None, :] + np.arange(1, _PLACES + 1, dtype=np.uint64)[:, None] * _PLACE_STEP
+).reshape(-1)
+
+
 def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool) -> np.ndarray:
-    """64-bit hash of every word; ``lower`` folds A-Z first."""
-    if len(start) == 0:
-        return np.empty(0, dtype=np.uint64)
+    """64-bit hash of every word; ``lower`` folds A-Z first.
+
+    The sum of one random value for every byte at its place in the word: of a table for the first
+    places, of the mixed place and byte behind them.
+    """
     out = np.empty(len(start), dtype=np.uint64)
     i = 0
     while i < len(start):  # long texts piece by piece
         j = int(np.searchsorted(end, start[i] + GROUP_BYTES, "right"))
         j = max(j, i + 1)
-        low, high = int(start[i]), int(end[j - 1])
-        piece = data[low:high]
-        prefix = prefix_hashes(BYTE_VALUES[LOWER[piece] if lower else piece])
-        out[i:j] = mix(range_hash(prefix, start[i:j] - low, end[i:j] - low))
+        length = end[i:j] - start[i:j]
+        first = np.cumsum(length) - length
+        total = int(length.sum())
+        place = np.arange(total) - np.repeat(first, length)
+        piece = data[place + np.repeat(start[i:j], length)]
+        if lower:
+            piece = LOWER[piece]
+        values = _PLACED[np.minimum(place, _PLACES - 1) * 256 + piece]
+        far = np.flatnonzero(place >= _PLACES)
+        if len(far):
+            values[far] = mix(BYTE_VALUES[piece[far]] + (place[far].astype(np.uint64) + np.uint64(1)) * _PLACE_STEP)
+        out[i:j] = mix(np.add.reduceat(values, first))
         i = j
     return out
 

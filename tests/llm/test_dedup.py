@@ -7,7 +7,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from corpuslens.llm import jaccard_join, passages, substring_dedup, suffix_dedup
+from corpuslens.llm import jaccard_join, passages, substring_dedup, suffix_dedup, textbuf
 
 SF = "/root/testdata/sf0.001"
 SCHEMA = "doc_id bigint, text string"
@@ -215,3 +215,33 @@ def test_pairs_are_listed_once_and_across_blocks():
     assert not one[5] & one[9]
     alike = {(a, b) for a in range(40) for b in range(a + 1, 40) if a % 6 == b % 6 and a // 2 != b // 2}
     assert one[5] | one[9] == alike
+
+
+def morse(n, zero="a", one="b"):
+    return "".join(one if i.bit_count() % 2 else zero for i in range(n))
+
+
+def test_long_words_that_fool_polynomials(spark):
+    """The sequence of Thue and Morse and its complement, as words of 1,024 letters."""
+    x, y = morse(1024), morse(1024, "b", "a")
+    rows = [[f"w{i}" for i in range(10)] + [x] + [f"v{i}" for i in range(10)]]
+    rows.append([y if w == x else w for w in rows[0]])
+    docs = [(i, " ".join(words)) for i, words in enumerate(rows)]
+    frame = spark.createDataFrame(docs, "doc_id bigint, text string")
+    assert {r[0]: r["component_id"] for r in jaccard_join.jaccard_components(frame).collect()} == {0: 0, 1: 1}
+    assert brute.op7(docs) == {0: (18, 0), 1: (18, 1)}
+    cut = substring_dedup.remove_repeated_words(frame).collect()
+    assert [r["n_removed"] for r in cut] == [0, 0]
+    words = np.frombuffer((x + y).encode(), dtype=np.uint8)
+    hashes = textbuf.word_hashes(words, np.array([0, 1024]), np.array([1024, 2048]), lower=False)
+    assert hashes[0] != hashes[1]
+
+
+def test_word_hashes_do_not_depend_on_the_place():
+    text = b"Aa bb aA bb " + b"q" * 200 + b" " + b"Q" * 200 + b" a"
+    data = np.frombuffer(text, dtype=np.uint8)
+    start, end, _ = textbuf.word_spans(data, np.array([0, len(text)]))
+    plain = textbuf.word_hashes(data, start, end, lower=False)
+    lower = textbuf.word_hashes(data, start, end, lower=True)
+    assert plain[1] == plain[3] and len(set(plain.tolist())) == 6
+    assert lower[0] == lower[2] and lower[4] == lower[5] and len(set(lower.tolist())) == 4

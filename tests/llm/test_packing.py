@@ -10,9 +10,12 @@ import pytest
 from corpuslens.llm import best_fit, cutting_stock, tokens
 
 SCHEMA = "doc_id bigint, text string"
+# two words of 1,024 letters that have one polynomial hash modulo 2**64
+MORSE = ["".join(ab[i.bit_count() % 2] for i in range(1024)) for ab in ("ab", "ba")]
 ODD = [
     "<|endoftext|>foo. Bar<|ENDOFTEXT|>", "don't. I'll...stop!? á. É. ≠", "", "  ", "日本語。テスト, ok",
     "it's.'s 'S", "İstanbul. K", "x<|startoftext|>. y", "x" * 70000 + ". y", "H\u0331 h\u0331", None,
+    " ".join(MORSE), MORSE[1],
 ]
 
 
