@@ -1,9 +1,11 @@
 """Text extraction from landed repository checkouts."""
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpuslens.functions.decoding import decode_text, is_text, mime_type
+from corpuslens.functions.decoding import decode_first_fit, decode_text, is_text, mime_type
 from corpuslens.functions.paths import has_valid_name
 from corpuslens.functions.text import keep_text
 from corpuslens.operators.reports import chunk_success, repo_success, running_mean
@@ -14,14 +16,25 @@ _BYTES_PER_CHAR = 4
 
 
 def archive_rows(
-    files: DataFrame, fallback: str | None = "ISO-8859-1", max_mb: float = 1, min_chars: int = 16
+    files: DataFrame,
+    fallback: str | None = "ISO-8859-1",
+    max_mb: float = 1,
+    min_chars: int = 16,
+    charsets: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Files with bytes to rows of text and metadata; what is not text is dropped."""
+    """Files with bytes to rows of text and metadata; what is not text is dropped.
+
+    ``charsets``, an ordered list, takes the place of ``fallback``; the first that fits is named
+    in the column ``charset``, and content that fits none is dropped.
+    """
     body = F.col("content")
-    decoded = files.filter(is_text(body)).select(
-        decode_text(body, fallback).alias("text"),
-        F.struct("repo_name", "file_name", mime_type(body).alias("mime_type")).alias("meta"),
-    )
+    meta = F.struct("repo_name", "file_name", mime_type(body).alias("mime_type")).alias("meta")
+    texts = files.filter(is_text(body))
+    if charsets is None:
+        decoded = texts.select(decode_text(body, fallback).alias("text"), meta)
+    else:
+        decoded = texts.select(decode_first_fit(body, charsets).alias("_decoded"), meta)
+        decoded = decoded.select("_decoded.text", "meta", "_decoded.charset")
     return decoded.filter(keep_text(F.col("text"), max_mb, min_chars))
 
 
@@ -33,6 +46,7 @@ def extract(
     fallback: str | None = "ISO-8859-1",
     max_mb: float = 1,
     min_chars: int = 16,
+    charsets: Sequence[str] | None = None,
 ) -> DataFrame:
     """Text of every acceptable file of the listed repositories under ``root``.
 
@@ -45,7 +59,7 @@ def extract(
         has_valid_name(name, additional_extensions, match_on)
         & F.col("length").between(min_chars, most)
     )
-    return archive_rows(read_contents(listed), fallback, max_mb, min_chars)
+    return archive_rows(read_contents(listed), fallback, max_mb, min_chars, charsets)
 
 
 def outcomes(repos: DataFrame, extracted: DataFrame, chunk_size: int) -> DataFrame:

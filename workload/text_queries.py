@@ -194,6 +194,34 @@ def p10(spark, sf):
     return encoded(spark, sf).select("doc_id", F.md5(decoded).alias("text_md5"))
 
 
+# bytes of three charsets as characters of ISO-8859-1, and what they mean
+_ASCII = r"regexp_replace(text, '[^\x00-\x5b\x5d-\x7d]', '?', 'g')"
+
+
+@query(
+    "p10_decode_charsets",
+    f"""SELECT doc_id, md5(CASE doc_id % 4 WHEN 0 THEN text
+            WHEN 1 THEN chr(160) || chr(8220) || a || chr(8221)
+            WHEN 2 THEN replace(a, 'a', chr(12354)) ELSE chr(160) || chr(1106) || a END) AS text_md5,
+          CASE WHEN doc_id % 4 = 0 OR doc_id % 4 = 2 AND NOT contains(a, 'a') THEN 'UTF-8'
+            WHEN doc_id % 4 = 1 THEN 'windows-1252' WHEN doc_id % 4 = 2 THEN 'Shift_JIS'
+            ELSE 'windows-1251' END AS charset
+        FROM (SELECT doc_id, text, {_ASCII} AS a FROM documents)""",
+)
+def p10_charsets(spark, sf):
+    """A quarter of the texts each in UTF-8, windows-1252, Shift_JIS and windows-1251."""
+    docs = documents(spark, sf).withColumn("a", F.regexp_replace("text", r"[^\x00-\x5b\x5d-\x7d]", "?"))
+    latin = (
+        F.when(F.col("doc_id") % 4 == 1, F.concat(F.lit("\xa0\x93"), "a", F.lit("\x94")))
+        .when(F.col("doc_id") % 4 == 2, F.replace("a", F.lit("a"), F.lit("\x82\xa0")))
+        .otherwise(F.concat(F.lit("\xa0\x90"), "a"))
+    )
+    content = F.when(F.col("doc_id") % 4 == 0, F.encode("text", "UTF-8")).otherwise(F.encode(latin, "ISO-8859-1"))
+    decoded = decoding.decode_first_fit(content, ["Shift_JIS", "windows-1252", "windows-1251"])
+    rows = docs.select("doc_id", decoded.alias("decoded"))
+    return rows.select("doc_id", F.md5("decoded.text").alias("text_md5"), "decoded.charset")
+
+
 @query(
     "p11_archive_rows",
     """SELECT md5(text) AS text_md5, source AS repo_name, 'doc_' || doc_id AS file_name,
@@ -427,6 +455,20 @@ def d1(spark, sf):
     )
 
 
+@query(
+    "d1_distinct_texts_in_scan",
+    f"""SELECT doc_id, lang, md5(text) AS text_md5 FROM (
+          SELECT *, row_number() OVER (
+              PARTITION BY regexp_replace(text, '{SQL_WHITESPACE}', '', 'g')
+              ORDER BY doc_id) AS rn
+          FROM documents) WHERE rn = 1""",
+)
+def d1_in_scan(spark, sf):
+    scan = table(spark, sf, "documents").select("doc_id", "lang", "text")
+    kept = dedup.drop_duplicate_rows_in_files(scan, order_by="doc_id")
+    return kept.select("doc_id", "lang", F.md5("text").alias("text_md5"))
+
+
 @query(
     "d1_first_of_each_text",
     f"""SELECT min(doc_id) AS doc_id, count(*) AS copies FROM documents
