@@ -12,11 +12,6 @@ from pyspark.sql import functions as F
 from corpuslens.functions.text import byte_size
 from corpuslens.session import materialize
 
-# A language set up to this many names is turned into a literal predicate, which prunes
-# partitions and files. Larger sets are joined.
-MAX_LITERAL_LANGS = 1000
-
-
 # Fixed value: excluded unless the caller says otherwise.
 DEFAULT_BAD_LANGS = (".csv",)
 
@@ -96,14 +91,12 @@ def without(df: DataFrame, blocked: DataFrame, column: str) -> DataFrame:
 def restrict_to_languages(corpus: DataFrame, selected: DataFrame, lang: str = "lang") -> DataFrame:
     """Corpus rows whose language occurs in ``selected``.
 
-    Corpus rows carry text and one language may hold a third of them, so they should not
-    be shuffled by language. The distinct names are fetched first, one more than the limit
-    at most; within it they become a predicate on the partition column. A longer list is
-    stored, so that the planner knows its size. The rows are the same either way.
+    Corpus rows carry text and one language may hold a third of them, so they are not shuffled
+    by language: the names, which are stored first, are sent to the scan. There are no more of
+    them than directories, whose paths the driver holds for any scan of the corpus. Where
+    ``lang`` is a partition column, the same names choose the directories to be read, whatever
+    their number; the comparison, which every name passes, makes the planner consider that.
     """
-    names = selected.select(F.col("lang").alias(lang)).distinct()
-    fetched = [row[0] for row in names.limit(MAX_LITERAL_LANGS + 1).collect()]
-    if len(fetched) <= MAX_LITERAL_LANGS:
-        return corpus.filter(F.col(lang).isin(fetched))
-    names = materialize(names)
-    return corpus.join(names, lang, "left_semi")
+    names = materialize(selected.select(F.col("lang").alias(lang)).distinct())
+    names = names.filter(F.length(lang) >= 0)
+    return corpus.join(F.broadcast(names), lang, "left_semi")

@@ -73,12 +73,31 @@ def with_row_index(
     )
 
 
+def _starts(counts: DataFrame, group: str, member: str) -> DataFrame:
+    """``counts(group, member, n)`` with the rows before each entry, and rows in all.
+
+    Groups are ordered by ``group`` and entries within one by ``member``. Sums run per group in
+    parallel; one row per group is left for the window without partitions.
+    """
+    inside = Window.partitionBy(group).orderBy(member)
+    entries = counts.select(
+        group,
+        member,
+        F.coalesce(F.sum("n").over(inside.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_inside"),
+    )
+    groups = _running_total(counts.groupBy(group).agg(F.sum("n").alias("n")), group).drop("n")
+    return entries.join(groups, group).select(
+        group, member, (F.col("_before") + F.col("_inside")).alias("_before"), "_total"
+    )
+
+
 def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     """Number the rows of a parquet table from 0 in file order; adds ``_total`` as well.
 
-    Needs neither sort nor shuffle of the rows: the position inside a file comes with the
-    scan, and the rows before each file follow from counts per file, one row per file. A
-    filtered table keeps the numbers its rows have in the whole files; ``_total`` counts those.
+    Files are ordered by folder and then by name. Needs neither sort nor shuffle of the rows: the
+    position inside a file comes with the scan, and the rows before each file follow from counts
+    per file, summed per folder and then over folders. A filtered table keeps the numbers its
+    rows have in the whole files; ``_total`` counts those.
     """
     path = F.col("_metadata.file_path")
     files = df.inputFiles()
@@ -87,7 +106,8 @@ def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     escaped = [re.sub(r"([*?\[\]{}\\])", r"\\\1", unquote(f)) for f in files]
     whole = df.sparkSession.read.parquet(*escaped)
     counts = whole.groupBy(path.alias("_file")).agg(F.count(F.lit(1)).alias("n"))
-    starts = _running_total(counts, "_file").drop("n")  # one row per file
+    counts = counts.withColumn("_folder", F.regexp_extract("_file", "^(.*)/[^/]*$", 1))
+    starts = _starts(counts, "_folder", "_file").drop("_folder")
     placed = df.select("*", path.alias("_file"), F.col("_metadata.row_index").alias("_offset"))
     return (
         placed.join(starts, "_file")
@@ -96,6 +116,34 @@ def with_file_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     )
 
 
+def with_line_index(df: DataFrame, name: str = "row_index") -> DataFrame:
+    """Number the rows of a CSV, JSON-lines or text table from 0 in the order of its lines; adds
+    ``_total`` as well.
+
+    Files follow each other by path. Formats of lines have no row positions, but a scan knows the
+    file and the first byte of the split that a row lies in, and reads the lines of a split one
+    after another. The table, to which filters and projections may have been applied but nothing
+    that moves rows, is stored with those two and a running number of the task; counts per split
+    then give the rows before each split. Nothing is sorted.
+    """
+    placed = df.select(
+        "*",
+        F.col("_metadata.file_path").alias("_file"),
+        F.col("_metadata.file_block_start").alias("_split"),
+        F.monotonically_increasing_id().alias("_line"),
+    )
+    placed = materialize(placed)
+    counts = placed.groupBy("_file", "_split").agg(
+        F.count(F.lit(1)).alias("n"), F.min("_line").alias("_first")
+    )
+    starts = _starts(counts, "_file", "_split").join(counts.drop("n"), ["_file", "_split"])
+    return (
+        placed.join(starts, ["_file", "_split"])
+        .withColumn(name, F.col("_before") + F.col("_line") - F.col("_first"))
+        .drop("_file", "_split", "_line", "_first", "_before")
+    )
+
+
 def segment_bounds(total: Column, frac: float, number: int, cover_remainder: bool) -> Column:
     size = F.floor(total * F.lit(float(frac)))
     start = size * (number - 1)
@@ -166,10 +214,23 @@ def sample_approximate(df: DataFrame, frac: float, seed: int = 0) -> DataFrame:
 def select_repos(
     repos: DataFrame, frac: float = 1.0, segment: int | None = 1, key: str = "repo_name", seed: int = 0
 ) -> DataFrame:
-    """Part of a repository list: a segment by position, or a sample without one."""
+    """Part of a repository table: a segment by the order of ``key``, or a sample without one.
+
+    A table has no order of its own; for a list in a file see ``select_listed_repos``.
+    """
     if frac >= 1.0:
         return repos
     if segment is None:
         return sample_exact(repos, frac, key, seed)
     indexed = with_row_index(repos, [key])
     return take_segment(indexed, frac, segment).drop("row_index")
+
+
+def select_listed_repos(
+    repos: DataFrame, frac: float = 1.0, segment: int | None = 1, key: str = "repo_name", seed: int = 0
+) -> DataFrame:
+    """Part of a repository list as read from its file: a segment in the order of its lines, or a
+    sample without one."""
+    if frac >= 1.0 or segment is None:
+        return select_repos(repos, frac, segment, key, seed)
+    return take_segment(with_line_index(repos), frac, segment).drop("row_index")

@@ -1,6 +1,8 @@
 """Reports on a run: rows left after each rule, and success rates of chunks."""
 
-from pyspark.sql import Column, DataFrame, Window
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from corpuslens.operators.positions import with_row_index
@@ -11,16 +13,19 @@ from corpuslens.session import materialize
 _BLOCKS = 4096
 
 
-def funnel(labelled: DataFrame, syntax_gate: bool = False) -> DataFrame:
-    """Rows left after loading and after each rule, from one pass over the reasons."""
-    steps = RULE_REASONS + ([SYNTAX_REASON] if syntax_gate else [])
-    counts = labelled.agg(
-        F.count(F.lit(1)).alias("original"),
-        *[F.count_if(F.col("reason") == step).alias(step) for step in steps],
-    )
+def _steps(syntax_gate: bool) -> list[str]:
+    return RULE_REASONS + ([SYNTAX_REASON] if syntax_gate else [])
+
+
+def _counts(syntax_gate: bool) -> list[Column]:
+    steps = [F.count_if(F.col("reason") == step).alias(step) for step in _steps(syntax_gate)]
+    return [F.count(F.lit(1)).alias("original"), *steps]
+
+
+def _rows_left(counts: DataFrame, syntax_gate: bool) -> DataFrame:
     left = F.col("original")
     rows = [F.struct(F.lit(0).alias("step"), F.lit("original").alias("rule"), left.alias("rows_left"))]
-    for number, step in enumerate(steps, start=1):
+    for number, step in enumerate(_steps(syntax_gate), start=1):
         left = left - F.coalesce(F.col(step), F.lit(0))
         rows.append(
             F.struct(F.lit(number).alias("step"), F.lit(step).alias("rule"), left.alias("rows_left"))
@@ -28,6 +33,26 @@ def funnel(labelled: DataFrame, syntax_gate: bool = False) -> DataFrame:
     return counts.select(F.inline(F.array(*rows)))
 
 
+def funnel(labelled: DataFrame, syntax_gate: bool = False) -> DataFrame:
+    """Rows left after loading and after each rule, from one pass over the reasons."""
+    return _rows_left(labelled.agg(*_counts(syntax_gate)), syntax_gate)
+
+
+def observed(labelled: DataFrame, syntax_gate: bool = False) -> tuple[DataFrame, Callable[[], DataFrame]]:
+    """The same rows, counted on their way to wherever they go, and a function that gives their
+    funnel after the first job over them. That job does the counting; no other is started."""
+    watch = Observation()
+    rows = labelled.observe(watch, *_counts(syntax_gate))
+
+    def result() -> DataFrame:
+        counts, names = watch.get, ["original", *_steps(syntax_gate)]
+        schema = ", ".join(f"{name} bigint not null" for name in names)
+        row = labelled.sparkSession.createDataFrame([tuple(counts[name] for name in names)], schema)
+        return _rows_left(row, syntax_gate)
+
+    return rows, result
+
+
 def chunk_success(items: DataFrame, success: Column, chunk: str = "chunk_id") -> DataFrame:
     """Share of successful items of each chunk, in percent."""
     good = F.count_if(success).cast("double")

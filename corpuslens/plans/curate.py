@@ -5,7 +5,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.operators import languages, rules
+from corpuslens.operators import languages, reports, rules
 from corpuslens.session import materialize
 from corpuslens.sources import readers, writers
 
@@ -54,8 +54,7 @@ def label_corpus(
 ) -> DataFrame:
     """Every row of the chosen languages with ``reason`` and ``verdict``.
 
-    Languages are chosen from the file listing, and only their directories are read. A
-    choice with too many directories to name is joined by language instead.
+    Languages are chosen from the file listing, and only their directories are read.
     """
     files = selected_files(spark, root, choice)
     return _label(spark, root, files, rules.tier(tier), is_slim, python_gate)
@@ -69,11 +68,8 @@ def _label(
     is_slim: bool,
     python_gate: str,
 ) -> DataFrame:
-    folders = _directories(files, languages.MAX_LITERAL_LANGS)
-    if folders is None:
-        corpus = readers.scan_corpus_tree(spark, root, is_slim)
-        corpus = languages.restrict_to_languages(corpus, files)
-    elif folders:
+    folders = _directories(files)
+    if folders:
         corpus = readers.scan_corpus_tree(spark, folders, is_slim)
         names = sorted({folder.rsplit("/", 1)[-1] for folder in folders})
         corpus = corpus.filter(F.col("lang").isin(names))
@@ -82,11 +78,11 @@ def _label(
     return rules.cascade(corpus, limits, python_gate)
 
 
-def _directories(files: DataFrame, most: int) -> list[str] | None:
-    """Directories of the listed files, or None if there are more than ``most``."""
+def _directories(files: DataFrame) -> list[str]:
+    """Directories of the listed files. A scan keeps the paths of all its files on the driver, of
+    which these are the folders."""
     folder = F.regexp_extract("pq_path", "^(.*)/[^/]*$", 1).alias("folder")
-    found = [row[0] for row in files.select(folder).distinct().limit(most + 1).collect()]
-    return sorted(found) if len(found) <= most else None
+    return sorted(row[0] for row in files.select(folder).distinct().collect())
 
 
 def curate(
@@ -106,12 +102,35 @@ def curate(
     Writes ``<output>/rows`` and ``<output>/filtered_meta`` and returns the file table,
     in which ``filtered_pq_path`` names the directory with the kept rows of a file.
     """
+    return curate_with_funnel(
+        spark, root, output, tier, choice, is_slim, python_gate, mode, rebalance, keep_origin
+    )[0]
+
+
+def curate_with_funnel(
+    spark: SparkSession,
+    root: str,
+    output: str,
+    tier: str | rules.Thresholds = "permissive",
+    choice: LanguageChoice = LanguageChoice(),
+    is_slim: bool = False,
+    python_gate: str = "python_only",
+    mode: str = "errorifexists",
+    rebalance: bool = False,
+    keep_origin: bool = True,
+) -> tuple[DataFrame, DataFrame]:
+    """``curate``, and the rows left after loading and after each rule (``reports.funnel``).
+
+    Rows are counted while they are written, so the corpus is still scanned once.
+    """
     out = output.rstrip("/")
     limits = rules.tier(tier)
     files = materialize(selected_files(spark, root, choice))
     labelled = _label(spark, root, files, limits, is_slim, python_gate)
+    labelled, funnel = reports.observed(labelled, syntax_gate=python_gate != "off")
     writers.write_curated(labelled, f"{out}/rows", mode, rebalance, keep_origin)
     target = writers.kept_directory(f"{out}/rows", F.col("lang"))
     files = files.withColumn("filtered_pq_path", target)
     writers.write_file_table(files, f"{out}/filtered_meta", mode)
-    return spark.read.schema(files.schema).option("header", True).csv(f"{out}/filtered_meta")
+    table = spark.read.schema(files.schema).option("header", True).csv(f"{out}/filtered_meta")
+    return table, funnel()

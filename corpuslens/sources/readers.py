@@ -12,7 +12,7 @@ from pyspark.sql import types as T
 from corpuslens import schemas
 from corpuslens.functions.paths import decoded_file_path, parent_name
 from corpuslens.operators.rules import slim
-from corpuslens.session import materialize
+from corpuslens.session import materialize, scratch_path, use_checkpoint_dir
 
 # Bytes of file content gathered before a batch is handed to Spark.
 _BATCH_BYTES = 32 * 1024 * 1024
@@ -115,7 +115,7 @@ def _literal(path: str) -> str:
 def list_corpus(spark: SparkSession, root: str) -> DataFrame:
     """One row per parquet file below ``root``: path, language and length in bytes.
 
-    File contents are not read.
+    File contents are not read; links are left out.
     """
     path = F.col("path")
     return _listing(spark, root, "*.parquet").select(
@@ -124,15 +124,47 @@ def list_corpus(spark: SparkSession, root: str) -> DataFrame:
 
 
 def list_files(spark: SparkSession, root: str) -> DataFrame:
-    """Path and length of every file below ``root`` except hidden ones."""
+    """Path and length of every file below ``root`` except hidden ones and links."""
     return _listing(spark, root, None)
 
 
+# Files to a task of a listing, and what the planner counts a file for beside its length. Only
+# lengths are read, so a task is sized by its files; 2**34 times 2**29 files still fit a number.
+_LISTED_FILES = 4096
+_LISTED_WEIGHT = 1 << 34
+
+
 def _listing(spark: SparkSession, root: str, pattern: str | None) -> DataFrame:
-    reader = spark.read.format("binaryFile").option("recursiveFileLookup", True)
+    """Path and length of the files below ``root``, as a stored table; links are left out.
+
+    The scan reads no content, but would be planned by length, one task to a large file. How a
+    scan is cut is a setting of the session that plans it, so the listing is written by a session
+    of its own, on the same executors, and read by the caller's.
+    """
+    planner = spark.newSession()
+    use_checkpoint_dir(planner)
+    planner.conf.set("spark.sql.files.openCostInBytes", _LISTED_WEIGHT)
+    planner.conf.set("spark.sql.files.maxPartitionBytes", _LISTED_WEIGHT * _LISTED_FILES)
+    planner.conf.set("spark.sql.files.minPartitionNum", 1)
+    reader = planner.read.format("binaryFile").option("recursiveFileLookup", True)
     if pattern:
         reader = reader.option("pathGlobFilter", pattern)
-    return reader.load(_literal(root)).select("path", "length")
+    found = reader.load(_literal(root)).select("path", "length")
+
+    # Nested, so that it is shipped to the workers by value. Stores other than disks have no links.
+    def no_links(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import os
+
+        import pyarrow as pa
+
+        for batch in batches:
+            paths = batch.column(0).to_pylist()
+            keep = [not (p.startswith("file:") and os.path.islink(p[len("file:") :])) for p in paths]
+            yield batch.filter(pa.array(keep, pa.bool_()))
+
+    listed = scratch_path(spark, "listing")
+    found.mapInArrow(no_links, found.schema).write.parquet(listed)
+    return spark.read.schema(found.schema).parquet(listed)
 
 
 def read_repo_list(spark: SparkSession, path: str) -> DataFrame:
@@ -152,8 +184,10 @@ def _read_csv(spark: SparkSession, path: str) -> DataFrame:
 
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
-    """JSON-lines archive of extracted files; a malformed line fails the job."""
-    return spark.read.schema(schemas.ARCHIVE).option("mode", "FAILFAST").json(path)
+    """JSON-lines archive of extracted files, written at once or at intervals; a malformed line
+    fails the job."""
+    found = spark.read.schema(schemas.ARCHIVE).option("mode", "FAILFAST").json(path)
+    return found.select(*schemas.ARCHIVE.names)
 
 
 def read_json_document(
@@ -164,6 +198,38 @@ def read_json_document(
     return (reader.schema(schema) if schema else reader).json(path)
 
 
+def read_json_documents(spark: SparkSession, path: str) -> DataFrame:
+    """One JSON document of any shape per file: ``path`` and ``document``, a variant.
+
+    Nothing is inferred and no schema is declared; malformed input fails the job.
+    """
+    reader = spark.read.option("multiLine", True).option("mode", "FAILFAST")
+    found = reader.option("singleVariantColumn", "document").json(path)
+    return found.select(decoded_file_path(F.col("_metadata.file_path")).alias("path"), "document")
+
+
+def document_shape(documents: DataFrame) -> str:
+    """Type that fits all documents, as DDL; found in one aggregation, so its size is that of
+    the type and not of the documents. What is null in all of them is text."""
+    shape = documents.agg(F.schema_of_variant_agg("document")).first()[0] or "VOID"
+    shape = re.sub(r"(^|: |<)OBJECT(?=<)", r"\1STRUCT", shape)
+    return re.sub(r"(^|: |<)VOID(?=$|[,>])", r"\1STRING", shape)
+
+
+def typed_documents(documents: DataFrame, shape: str | None = None, path: str = "$") -> DataFrame:
+    """``document`` as columns of the type ``shape``, by default the one that fits all.
+
+    ``path`` names a part of every document. What a document does not have is null; a value that
+    cannot be cast fails the job. A shape that is no structure gives one column ``value``.
+    """
+    part = documents.withColumn("document", F.variant_get("document", path, "variant"))
+    value = F.variant_get("document", "$", shape or document_shape(part)).alias("value")
+    typed = part.select("path", value)
+    if isinstance(typed.schema["value"].dataType, T.StructType):
+        return typed.select("path", "value.*")
+    return typed
+
+
 # Landed repository trees ----------------------------------------------------------------
 
 

@@ -1,4 +1,5 @@
 import pytest
+from pyspark.sql import functions as F
 from corpuslens.operators import languages
 
 # Sizes in MB of each file. By size: big, tie_a = tie_b, many, .csv, csv.
@@ -79,14 +80,35 @@ def test_missing_language_is_not_excluded(spark):
     assert {r[0] for r in languages.select_languages(rows).collect()} == {None, "x"}
 
 
-@pytest.mark.parametrize("limit", [1000, 1])
-def test_restrict_corpus(spark, meta, monkeypatch, limit):
-    monkeypatch.setattr(languages, "MAX_LITERAL_LANGS", limit)
-    corpus = spark.createDataFrame([("big", 1), ("csv", 2), ("other", 3), ("many", 4)], "lang string, n int")
+def test_restrict_corpus(spark, meta):
+    corpus = spark.createDataFrame([("big", 1), ("csv", 2), ("other", 3), ("many", 4), (None, 5)], "lang string, n int")
     chosen = languages.select_languages(meta, mb_size_thresh=19.0)
     got = languages.restrict_to_languages(corpus, chosen)
     assert {r["n"] for r in got.collect()} == {1, 4}
-    assert ("Join" in got._jdf.queryExecution().optimizedPlan().toString()) == (limit == 1)
+    assert "BroadcastHashJoin" in got._jdf.queryExecution().executedPlan().toString()
+    assert languages.restrict_to_languages(corpus, chosen.filter("lang = 'none'")).count() == 0
+
+
+@pytest.mark.parametrize("wanted", [3, 1001])
+def test_partitions_are_pruned_by_the_chosen_languages(spark, tmp_path, wanted):
+    """At any number of languages, only the files of those chosen are opened."""
+    corpus = spark.range(1010).select(F.concat(F.lit("l"), "id").alias("lang"), "id")
+    corpus.repartition(4, "lang").write.partitionBy("lang").parquet(str(tmp_path / "c"))
+    chosen = spark.range(wanted).select(F.concat(F.lit("l"), "id").alias("lang"))
+    got = languages.restrict_to_languages(spark.read.parquet(str(tmp_path / "c")), chosen)
+    plan = got._jdf.queryExecution().executedPlan()
+    assert "dynamicpruning" in plan.toString()
+    assert sorted(r["id"] for r in got.collect()) == list(range(wanted))
+
+    def scans(node):
+        found = [node] if "FileSourceScanExec" in node.getClass().getName() else []
+        inner = node.executedPlan() if node.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else None
+        inner = node.plan() if "QueryStageExec" in node.getClass().getSimpleName() else inner
+        below = [inner] if inner is not None else [node.children().apply(i) for i in range(node.children().size())]
+        return found + [x for child in below for x in scans(child)]
+
+    read = [s.metrics().get("numPartitions").get().value() for s in scans(plan) if s.metrics().contains("numPartitions")]
+    assert read == [wanted]
 
 
 def test_without(spark):

@@ -154,3 +154,60 @@ def test_chunk_success(spark):
     assert {tuple(r) for r in rate.collect()} == {(0, 2 / 3 * 100), (1, 100.0)}
     strict = reports.chunk_success(rows, reports.repo_success(rows, count_empty_as_success=False))
     assert {tuple(r) for r in strict.collect()} == {(0, 1 / 3 * 100), (1, 0.0)}
+
+
+@pytest.fixture
+def small_splits(spark):
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "700")
+    yield
+    spark.conf.set(key, before)
+
+
+def test_lines_are_numbered_in_file_order(spark, tmp_path, small_splits):
+    """Lists of many splits, which are no multiples of lines, and of one line."""
+    names = []
+    for part, n in [("a", 500), ("b-1", 1), ("b", 0), ("c", 300)]:
+        own = [f"{(i * 7919) % 1000:03}/{part}é{'x' * (i % 9)}" for i in range(n)]
+        (tmp_path / f"{part}.csv").write_text("".join(f"{x}\n" for x in ["repo_name", *own]))
+        names += [(part, x) for x in own]
+    names = [x for _, x in sorted(names, key=lambda r: f"{r[0]}.csv")]
+    from corpuslens.sources.readers import read_repo_list
+
+    repos = read_repo_list(spark, str(tmp_path))
+    assert repos.rdd.getNumPartitions() > 10
+    rows = positions.with_line_index(repos).collect()
+    assert sorted((r["row_index"], r["repo_name"]) for r in rows) == list(enumerate(names))
+    assert {r["_total"] for r in rows} == {801}
+    part = positions.select_listed_repos(repos, 0.4, 2)
+    assert sorted(r[0] for r in part.collect()) == sorted(names[320:640])
+    filtered = positions.with_line_index(repos.filter("repo_name like '%a%'")).collect()
+    assert sorted(r["row_index"] for r in filtered) == list(range(500))
+
+
+def test_segment_of_a_list_that_is_not_sorted(spark, tmp_path):
+    (tmp_path / "list.csv").write_text("repo_name\nz/1\na/2\nm/3\nb/4\n")
+    from corpuslens.sources.readers import read_repo_list
+
+    repos = read_repo_list(spark, str(tmp_path / "list.csv"))
+    segments = [{r[0] for r in positions.select_listed_repos(repos, 0.5, s).collect()} for s in (1, 2, 3)]
+    assert segments == [{"z/1", "a/2"}, {"m/3", "b/4"}, set()]
+    assert positions.select_listed_repos(repos, 1.0, 2).count() == 4
+    assert positions.select_listed_repos(repos, 0.5, None).count() == 2
+    assert positions.with_line_index(repos.filter("repo_name = ''")).collect() == []
+
+
+def test_files_are_summed_up_by_folder(spark, tmp_path):
+    """No window takes all files into one task."""
+    for folder in ("a", "a-b", "c"):
+        spark.range(40).repartition(3).write.parquet(str(tmp_path / folder))
+    df = spark.read.parquet(str(tmp_path / "*"))
+    indexed = positions.with_file_row_index(df)
+    assert sorted(r["row_index"] for r in indexed.collect()) == list(range(120))
+    assert {r["_total"] for r in indexed.collect()} == {120}
+    counts = spark.createDataFrame([("x", f"x/{i}", 2) for i in range(5)] + [("y", "y/1", 3)], "g string, m string, n bigint")
+    plan = positions._starts(counts, "g", "m")._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("SinglePartition") == 1 and "hashpartitioning(g" in plan
+    got = {r["m"]: (r["_before"], r["_total"]) for r in positions._starts(counts, "g", "m").collect()}
+    assert got == {**{f"x/{i}": (2 * i, 13) for i in range(5)}, "y/1": (10, 13)}

@@ -8,7 +8,7 @@ from corpuslens import schemas
 from corpuslens.functions import decoding
 from corpuslens.functions.text import byte_size
 from corpuslens.operators import rules
-from corpuslens.plans.curate import LanguageChoice, curate, label_corpus, selected_files
+from corpuslens.plans.curate import LanguageChoice, curate, curate_with_funnel, label_corpus, selected_files
 from corpuslens.plans.extract import extract, outcomes, success_report
 from corpuslens.operators import positions
 from corpuslens.sources import readers, writers
@@ -202,12 +202,18 @@ def test_language_choice(spark, corpus):
     assert nothing.count() == 0 and nothing.columns == everything.columns
 
 
-def test_language_choice_too_long_for_literals(spark, corpus, monkeypatch):
-    from corpuslens.operators import languages
-
-    monkeypatch.setattr(languages, "MAX_LITERAL_LANGS", 2)
-    out = label_corpus(spark, corpus, "moderate", LanguageChoice(bad_langs=("csv",)))
-    assert out.groupBy("verdict").count().count() == 2 and out.count() == 84
+def test_only_chosen_directories_are_read(spark, tmp_path):
+    """However many there are; the others are not even listed."""
+    root = tmp_path / "many"
+    rows = spark.createDataFrame([(f"l{i}",) for i in range(1005)], "lang string")
+    rows = rows.withColumn("folder", F.col("lang")).repartition(8, "folder")
+    columns = [F.lit(None).cast(f.dataType).alias(f.name) if f.name != "lang" else F.col("lang") for f in schemas.FULL.fields]
+    rows.select(*columns, "folder").write.partitionBy("folder").parquet(str(root))
+    bad = ("folder=l1", "folder=l2", "folder=l3", "folder=l4")
+    out = label_corpus(spark, str(root), choice=LanguageChoice(bad_langs=bad), python_gate="off")
+    assert out.count() == 1001
+    assert len(out.inputFiles()) == 1001
+    assert "Exchange" not in out._jdf.queryExecution().executedPlan().toString()
 
 
 def test_nested_and_oddly_named_directories(spark, corpus, tmp_path, tmp_path_factory):
@@ -422,3 +428,128 @@ def test_tree_without_parquet_files_is_an_error(spark, tmp_path):
     (root / "note.txt").write_text("x")
     with pytest.raises(FileNotFoundError):
         selected_files(spark, str(root))
+
+
+def test_listing_is_planned_by_files_and_skips_links(spark, tmp_path):
+    """16 files larger than a split are listed by one task; the caller's settings stay."""
+    key = "spark.sql.files.maxPartitionBytes"
+    before = spark.conf.get(key)
+    spark.conf.set(key, "1000")
+    try:
+        (tmp_path / "tree" / "sub dir").mkdir(parents=True)
+        for i in range(16):
+            (tmp_path / "tree" / "sub dir" / f"f{i}%41.bin").write_bytes(b"x" * (5000 + i))
+        (tmp_path / "tree" / "link.bin").symlink_to(tmp_path / "tree" / "sub dir" / "f1%41.bin")
+        found = readers.list_files(spark, str(tmp_path / "tree"))
+        assert sorted(r["length"] for r in found.collect()) == list(range(5000, 5016))
+        assert spark.conf.get(key) == "1000"
+        stored = [f for f in found.inputFiles() if f.endswith(".parquet")]
+        assert len(stored) <= 4  # one file for each task that listed
+    finally:
+        spark.conf.set(key, before)
+
+
+def test_json_documents_of_any_shape(spark, tmp_path):
+    (tmp_path / "a.json").write_text('{"n": 1, "tags": ["x"],\n "who": {"name": "é"}}')
+    (tmp_path / "b.json").write_text('{"n": 2.5, "more": null, "who": {"age": 3}}')
+    found = readers.read_json_documents(spark, str(tmp_path))
+    rows = {r["path"].rsplit("/", 1)[-1]: r for r in readers.typed_documents(found).collect()}
+    assert rows["a.json"]["n"] == 1 and float(rows["b.json"]["n"]) == 2.5
+    assert rows["a.json"]["who"]["name"] == "é" and rows["b.json"]["who"]["age"] == 3
+    assert rows["a.json"]["tags"] == ["x"] and rows["b.json"]["tags"] is None
+    who = readers.typed_documents(found, path="$.who").select("name", "age").collect()
+    assert sorted(map(str, who)) == ["Row(name='é', age=None)", "Row(name=None, age=3)"]
+    numbers = readers.typed_documents(found, "double", "$.n").select("value").collect()
+    assert sorted(r[0] for r in numbers) == [1.0, 2.5]
+
+
+def test_malformed_json_document_fails(spark, tmp_path):
+    (tmp_path / "bad.json").write_text('{"n": 1')
+    with pytest.raises(Exception):
+        readers.read_json_documents(spark, str(tmp_path)).collect()
+
+
+def archive_source(spark, n, seen=None, fail_at=None):
+    def rows_of(first, last):
+        if seen is not None:
+            seen.append((first, last))
+        if fail_at is not None and first >= fail_at:
+            raise RuntimeError("stopped")
+        meta = F.struct(F.lit("r").alias("repo_name"), F.lit("f").alias("file_name"), F.lit("m").alias("mime_type"))
+        ids = spark.range(n).filter(F.floor(F.col("id") / 10).between(first, last) & (F.col("id") < 70))
+        return ids.select(F.concat(F.lit("text "), "id").alias("text"), meta.alias("meta"))
+
+    return rows_of
+
+
+def archived(spark, path):
+    return sorted(r["text"] for r in readers.read_archive(spark, path).collect())
+
+
+def test_a_stopped_archive_goes_on(spark, tmp_path):
+    """Ten chunks, three to a commit; the last one is short, and one has no rows."""
+    whole, parts = str(tmp_path / "whole"), str(tmp_path / "parts")
+    done = writers.write_archive_at_intervals(spark, archive_source(spark, 100), 10, whole, commit_every=3)
+    figures = [(0, 0, 2, 30), (1, 3, 5, 30), (2, 6, 8, 10), (3, 9, 9, 0)]
+    assert sorted(map(tuple, done.collect())) == figures
+    with pytest.raises(RuntimeError):
+        writers.write_archive_at_intervals(spark, archive_source(spark, 100, fail_at=6), 10, parts, commit_every=3)
+    assert len(archived(spark, parts)) == 60
+    seen = []
+    done = writers.write_archive_at_intervals(spark, archive_source(spark, 100, seen), 10, parts, commit_every=3)
+    assert seen == [(6, 8), (9, 9)]
+    assert sorted(map(tuple, done.collect())) == figures
+    assert archived(spark, parts) == archived(spark, whole) == sorted(f"text {i}" for i in range(70))
+    assert readers.read_archive(spark, parts).columns == ["text", "meta"]
+
+
+def test_a_range_written_without_its_mark_replaces_itself(spark, tmp_path):
+    path = tmp_path / "a"
+    writers.write_archive_at_intervals(spark, archive_source(spark, 100), 10, str(path), commit_every=5)
+    before = archived(spark, str(path))
+    import shutil
+
+    shutil.rmtree(path / "_commits" / "commit=1")  # the job was lost between rows and mark
+    seen = []
+    writers.write_archive_at_intervals(spark, archive_source(spark, 100, seen), 10, str(path), commit_every=5)
+    assert seen == [(5, 9)] and archived(spark, str(path)) == before
+
+
+def test_other_intervals_are_refused(spark, tmp_path):
+    path = str(tmp_path / "a")
+    writers.write_archive_at_intervals(spark, archive_source(spark, 100), 4, path, commit_every=2)
+    with pytest.raises(ValueError):
+        writers.write_archive_at_intervals(spark, archive_source(spark, 100), 4, path, commit_every=3)
+    with pytest.raises(ValueError):
+        writers.write_archive_at_intervals(spark, archive_source(spark, 100), 4, path, commit_every=0)
+
+
+def test_the_archive_grows_with_its_list(spark, tmp_path):
+    """More chunks than before: the last range, which was short, is written again."""
+    path = str(tmp_path / "a")
+    writers.write_archive_at_intervals(spark, archive_source(spark, 100), 3, path, commit_every=2)
+    seen = []
+    writers.write_archive_at_intervals(spark, archive_source(spark, 100, seen), 5, path, commit_every=2)
+    assert seen == [(2, 3), (4, 4)]
+    assert archived(spark, path) == sorted(f"text {i}" for i in range(50))
+
+
+def test_curation_reports_its_funnel(spark, corpus, tmp_path):
+    from corpuslens.operators import reports
+
+    files, funnel = curate_with_funnel(spark, corpus, str(tmp_path / "out"), "moderate", python_gate="all")
+    labelled = label_corpus(spark, corpus, "moderate", python_gate="all")
+    want = reports.funnel(labelled, syntax_gate=True)
+    assert funnel.schema == want.schema
+    assert sorted(map(tuple, funnel.collect())) == sorted(map(tuple, want.collect()))
+    kept = writers.read_kept(spark.read.parquet(str(tmp_path / "out" / "rows"))).count()
+    assert min(r["rows_left"] for r in funnel.collect()) == kept
+    watched, _ = reports.observed(labelled, syntax_gate=True)
+    plan = watched._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Scan parquet") == 1 and "CollectMetrics" in plan and "Exchange" not in plan
+
+
+def test_funnel_of_nothing(spark, corpus, tmp_path):
+    choice = LanguageChoice(mb_size_thresh=1e9)
+    _, funnel = curate_with_funnel(spark, corpus, str(tmp_path / "out"), choice=choice, python_gate="off")
+    assert {r["rows_left"] for r in funnel.collect()} == {0} and funnel.count() == 7

@@ -97,6 +97,15 @@ for _number, _reason in enumerate(rules.RULE_REASONS, start=1):
 # F8 and F9: cascade and kept-only plan in every tier --------------------------------------
 
 
+def sql_funnel(limits) -> str:
+    return f"""WITH l AS (SELECT reason FROM {sql_labelled(limits)}),
+            steps(step, rule) AS (VALUES (0, 'original'), (1, 'max_ll'), (2, 'file_too_small'),
+              (3, 'file_too_large'), (4, 'alphanum_frac'), (5, 'ave_ll'), (6, 'min_lines'))
+            SELECT step, rule, (SELECT count(*) FROM l) - (
+              SELECT count(*) FROM l JOIN steps s ON s.rule = l.reason WHERE s.step <= steps.step
+            ) AS rows_left FROM steps"""
+
+
 def _tier(name, limits):
     @query(
         f"f8_cascade_{name}",
@@ -122,15 +131,7 @@ def _tier(name, limits):
             "doc_id", "file_size", F.col("alphanum_frac").cast("double").alias("alphanum_frac")
         )
 
-    @query(
-        f"a4_funnel_{name}",
-        f"""WITH l AS (SELECT reason FROM {sql_labelled(limits)}),
-            steps(step, rule) AS (VALUES (0, 'original'), (1, 'max_ll'), (2, 'file_too_small'),
-              (3, 'file_too_large'), (4, 'alphanum_frac'), (5, 'ave_ll'), (6, 'min_lines'))
-            SELECT step, rule, (SELECT count(*) FROM l) - (
-              SELECT count(*) FROM l JOIN steps s ON s.rule = l.reason WHERE s.step <= steps.step
-            ) AS rows_left FROM steps""",
-    )
+    @query(f"a4_funnel_{name}", sql_funnel(limits))
     def funnel(spark, sf):
         return reports.funnel(labelled(spark, sf, limits))
 

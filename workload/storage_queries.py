@@ -3,14 +3,14 @@
 from pyspark.sql import functions as F
 
 from corpuslens import schemas
-from corpuslens.operators import rules
-from corpuslens.plans.curate import LanguageChoice, curate
+from corpuslens.operators import positions, rules
+from corpuslens.plans.curate import LanguageChoice, curate, curate_with_funnel
 from corpuslens.plans.extract import archive_rows
 from corpuslens.session import scratch_path
 from corpuslens.sources import readers, writers
 from workload.corpus_queries import meta
 from workload.registry import query
-from workload.rule_queries import TIERS, sql_labelled, sql_reason
+from workload.rule_queries import TIERS, sql_funnel, sql_labelled, sql_reason
 from workload.tables import (
     SQL_META,
     SQL_SLIM,
@@ -138,3 +138,90 @@ def repo_list(spark, sf):
     named = docs.select("lang", F.concat_ws("/", "source", "doc_id").alias("repo_name"), "n_chars")
     named.write.option("header", True).csv(path)
     return readers.read_repo_list(spark, path)
+
+
+@query(
+    "o5_segment_of_list",
+    """SELECT repo_name FROM (
+         SELECT source || '/' || doc_id AS repo_name, count(*) OVER () AS total,
+           row_number() OVER (ORDER BY md5(doc_id::VARCHAR), doc_id) - 1 AS row_index FROM documents)
+       WHERE row_index >= floor(total * 0.3::DOUBLE) AND row_index < floor(total * 0.3::DOUBLE) * 2""",
+)
+def segment_of_list(spark, sf):
+    """The second segment of a list in the order of its lines, which is not that of the names."""
+    docs = table(spark, sf, "documents").select(
+        F.concat_ws("/", "source", "doc_id").alias("repo_name"), F.md5(F.col("doc_id").cast("string")).alias("rank"), "doc_id"
+    )
+    path = scratch_path(spark, "repos")
+    # sorted by range, files are named in that order
+    docs.orderBy("rank", "doc_id").write.option("header", True).csv(path)
+    repos = readers.read_repo_list(spark, path)
+    return positions.select_listed_repos(repos, 0.3, 2)
+
+
+@query(
+    "s9_listing",
+    """SELECT 'source=' || source AS folder, sum(octet_length(encode(text)) + 1)::BIGINT AS length
+       FROM documents GROUP BY source""",
+)
+def listing(spark, sf):
+    """Sizes of text files, one for each source; a byte for every line end."""
+    path = scratch_path(spark, "texts")
+    texts = table(spark, sf, "documents").select("text", "source").repartition("source")
+    texts.write.partitionBy("source").text(path)
+    files = readers.list_files(spark, path)
+    return files.select(F.regexp_extract("path", "([^/]*)/[^/]*$", 1).alias("folder"), "length")
+
+
+@query(
+    "s8_json_documents",
+    """SELECT conv_id, count(*) AS n_turns, sum(length(text))::BIGINT AS n_chars, max(turn) AS last_turn
+       FROM conversations GROUP BY conv_id""",
+)
+def json_documents(spark, sf):
+    """Conversations as JSON documents, a file for each thousandth, read without a schema."""
+    path = scratch_path(spark, "json")
+    turns = F.sort_array(F.collect_list(F.struct("turn", "role", "text")))
+    talks = table(spark, sf, "conversations").groupBy("conv_id").agg(turns.alias("turns"))
+    part = (F.col("conv_id") / 1000).cast("int")
+    books = talks.groupBy(part.alias("part")).agg(F.collect_list(F.struct("conv_id", "turns")).alias("talks"))
+    json = F.to_json(F.struct("part", "talks")).alias("value")
+    books.select(json, "part").repartition("part").write.partitionBy("part").text(path)
+    books = readers.typed_documents(readers.read_json_documents(spark, path))
+    talks = books.select(F.explode("talks").alias("talk")).select("talk.conv_id", F.explode("talk.turns").alias("t"))
+    return talks.groupBy("conv_id").agg(
+        F.count(F.lit(1)).alias("n_turns"), F.sum(F.length("t.text")).alias("n_chars"), F.max("t.turn").alias("last_turn")
+    )
+
+
+@query("a4_funnel_of_curation", sql_funnel(TIERS["moderate"]))
+def funnel_of_curation(spark, sf):
+    """The funnel that a curation counts while it writes."""
+    root, out = corpus_tree(spark, sf), scratch_path(spark, "curation")
+    return curate_with_funnel(spark, root, out, "moderate", python_gate="off")[1]
+
+
+@query(
+    "k4_archive_at_intervals",
+    """WITH sized AS (SELECT (max(doc_id) // 100 + 4) // 4 AS every FROM documents)
+       SELECT doc_id // 100 // every AS commit, min(doc_id // 100) AS first_chunk,
+         max(doc_id // 100) AS last_chunk, count(*) AS n_rows, sum(length(text))::BIGINT AS n_chars
+       FROM documents, sized GROUP BY ALL""",
+)
+def archive_at_intervals(spark, sf):
+    """An archive of four ranges of chunks, stopped after two of them and then completed."""
+    docs = table(spark, sf, "documents").withColumn("chunk", F.floor(F.col("doc_id") / 100))
+    n_chunks = docs.agg(F.max("chunk")).first()[0] + 1
+
+    def rows_of(first, last):
+        name = F.concat(F.lit("doc_"), "doc_id").alias("file_name")
+        meta = F.struct(F.col("source").alias("repo_name"), name, F.lit("text/plain").alias("mime_type"))
+        return docs.filter(F.col("chunk").between(first, last)).select("text", meta.alias("meta"))
+
+    path, every = scratch_path(spark, "archive"), (n_chunks + 3) // 4
+    writers.write_archive_at_intervals(spark, rows_of, n_chunks, path, every, most=2)
+    commits = writers.write_archive_at_intervals(spark, rows_of, n_chunks, path, every)
+    doc = F.substring_index("meta.file_name", "_", -1).cast("bigint")
+    rows = readers.read_archive(spark, path).select(F.floor(doc / 100 / every).alias("commit"), "text")
+    chars = rows.groupBy("commit").agg(F.sum(F.length("text")).alias("n_chars"))
+    return commits.join(chars, "commit")
