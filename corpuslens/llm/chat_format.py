@@ -1,8 +1,9 @@
 """Chat formatting that is checked by reading it back. Native expressions only.
 
 A turn is rendered as ``### role:``, a line break, the text, ``</turn>`` and a line break.
-In escaped text a backslash is doubled and ``\\-``, which stands for nothing, breaks up
-control strings.
+Wherever ``### `` begins a line or follows a backslash, and wherever ``</turn>`` stands, the
+reader sees a mark. In escaped text a backslash is doubled and ``\\-``, which stands for nothing,
+breaks up control strings.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 
 OPEN, HEAD_END, CLOSE = "### ", ":\n", "</turn>\n"
 LEVELS = 3
+MARK = r"(?<![^\n\\])### |</turn>"
 
 
 def escape(value: Column, level: int) -> Column:
@@ -42,16 +44,17 @@ def render(turns: Column, level: int) -> Column:
 def parse(formatted: Column) -> Column:
     """Turns of a formatted conversation: role and text, unescaped, and the text as written.
 
-    Reads from left to right: a turn goes up to the next closing mark, its head up to the
-    first colon before a line break.
+    Every mark ends what stands before it. Between an opening and a closing mark is a turn, whose
+    head goes up to the first colon before a line break; between a closing and an opening mark is
+    nothing but a line break.
     """
-    parts = F.split(formatted, CLOSE)
-    parts = F.slice(parts, 1, F.size(parts) - 1)
+    parts = F.split(formatted, MARK)
+    parts = F.filter(parts, lambda _, i: i % 2 == 1)
 
     def one(part):
         head = F.instr(part, F.lit(HEAD_END))
         raw = F.substring(part, head + 2, F.length(part))
-        role = F.substring(part, F.lit(len(OPEN) + 1), head - 1 - len(OPEN))
+        role = F.substring(part, F.lit(1), head - 1)
         return F.struct(unescape(role).alias("role"), unescape(raw).alias("text"), raw.alias("raw"))
 
     return F.transform(parts, one)

@@ -165,7 +165,7 @@ WITH rows AS (
   UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
 levels AS (
   SELECT conv_id, bool_or(contains(text, '\-') OR contains(text, '\\')
-    OR contains(text, '</turn>' || chr(10))) AS escaped FROM rows GROUP BY conv_id),
+    OR regexp_matches(text, '(^|[\n\\])### |</turn>')) AS escaped FROM rows GROUP BY conv_id),
 written AS (
   SELECT rows.*, CASE WHEN escaped THEN replace(replace(replace(text, '\', '\\'),
       '###', '#\-##'), '</turn>', '<\-/turn>') ELSE text END AS shown
