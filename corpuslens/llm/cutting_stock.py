@@ -23,11 +23,12 @@ PIECES = pa.schema(
         ("width", pa.int32()),
         ("part", pa.int32()),
         ("place", pa.int64()),
+        ("inner", pa.int32()),
     ]
 )
 PIECES_DDL = (
     "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-    "width int, part int, place bigint"
+    "width int, part int, place bigint, inner int"
 )
 
 
@@ -171,30 +172,73 @@ class Assignment:
 # The operator --------------------------------------------------------------------------
 
 
+class Bundles:
+    """Gives pieces their width and their place among those of this width.
+
+    A piece shorter than half a bundle would lose much by rounding, so such pieces are gathered
+    and take the place of one piece together. A bundle ends where its length is nearest below a
+    multiple of ``unit``, between half and all of its greatest length.
+    """
+
+    def __init__(self, part: int, capacity: int, unit: int):
+        self.part, self.unit = part, unit
+        self.most = min(32 * unit, capacity)
+        self.seen = np.zeros(capacity // unit + 2, dtype=np.int64)
+        self.rows, self.held, self.held_length = [], [], 0
+
+    def close(self, pieces: list[tuple]):
+        width = -(-sum(p[2] for p in pieces) // self.unit)
+        place = int(self.seen[width])
+        self.seen[width] += 1
+        self.rows += [(*p, width, self.part, place, i) for i, p in enumerate(pieces)]
+
+    def add(self, piece: tuple):
+        if 2 * piece[2] >= self.most:
+            self.close([piece])
+            return
+        self.held.append(piece)
+        self.held_length += piece[2]
+        if self.held_length > self.most:
+            ends = np.cumsum([p[2] for p in self.held])
+            fit = np.flatnonzero((2 * ends >= self.most) & (ends <= self.most))
+            n = int(fit[np.lexsort((-ends[fit], -ends[fit] % self.unit))[0]]) + 1
+            self.close(self.held[:n])
+            self.held = self.held[n:]
+            self.held_length -= int(ends[n - 1])
+
+    def take(self, last: bool = False) -> pa.RecordBatch | None:
+        if last and self.held:
+            self.close(self.held)
+            self.held = []
+        if not self.rows:
+            return None
+        columns = [pa.array(c, f.type) for c, f in zip(zip(*self.rows), PIECES)]
+        self.rows = []
+        return pa.RecordBatch.from_arrays(columns, schema=PIECES)
+
+
 def token_pieces(
     docs: DataFrame, tokenizer: str, capacity: int, unit: int, end_id: int, key: str, text: str
 ) -> DataFrame:
     """One row per piece of a document, numbered within partition and width."""
 
     def pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part = TaskContext.get().partitionId()
-        seen = np.zeros(capacity // unit + 2, dtype=np.int64)
+        bundles = Bundles(TaskContext.get().partitionId(), capacity, unit)
         for batch in batches:
             ids_of = batch.column(0).to_pylist()
-            rows = []
             for low, ids, first in tokens.encode_column(batch.column(1), tokenizer, end_id):
                 view = memoryview(ids.astype("<u4", copy=False)).cast("B")
                 for i, (a, b) in enumerate(zip(first[:-1].tolist(), first[1:].tolist())):
                     for start, length in cut(b - a, capacity):
                         low_byte = 4 * (a + start)
                         crc = crc32(view[low_byte : low_byte + 4 * length])
-                        width = -(-length // unit)
-                        place = int(seen[width])
-                        seen[width] += 1
-                        rows.append((ids_of[low + i], start, length, crc, b - a, width, part, place))
-            if rows:
-                columns = [pa.array(c, f.type) for c, f in zip(zip(*rows), PIECES)]
-                yield pa.RecordBatch.from_arrays(columns, schema=PIECES)
+                        bundles.add((ids_of[low + i], start, length, crc, b - a))
+            done = bundles.take()
+            if done is not None:
+                yield done
+        done = bundles.take(last=True)
+        if done is not None:
+            yield done
 
     rows = docs.select(F.col(key).cast("bigint"), F.col(text))
     return rows.mapInArrow(pieces, PIECES_DDL)
@@ -211,8 +255,9 @@ def pack_cutting_stock(
 ) -> DataFrame:
     """Assign the token ids of all texts to sequences of at most ``capacity`` tokens.
 
-    Documents longer than ``capacity`` are cut into whole sequences and a rest. The lengths
-    of all pieces, rounded up to ``unit`` tokens, form a histogram of at most
+    Documents longer than ``capacity`` are cut into whole sequences and a rest. Pieces shorter
+    than ``16 * unit`` are gathered into bundles of twice that at most, which are packed like one
+    piece. The lengths, rounded up to ``unit`` tokens, form a histogram of at most
     ``capacity / unit`` entries; only that reaches the driver, whatever the input. A linear
     program over its patterns, with columns priced by a knapsack, says how many sequences
     take which lengths; fractions are rounded down and the few pieces left are packed by
@@ -244,7 +289,7 @@ def pack_cutting_stock(
     )
     ranked = pieces.join(starts, ["part", "width"]).select(
         "doc_id", "start", "length", "ids_crc32", "doc_tokens", "width",
-        (F.col("before") + F.col("place")).alias("rank"),
+        (F.col("before") + F.col("place")).alias("rank"), "inner",
     )
 
     def assign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -255,16 +300,16 @@ def pack_cutting_stock(
             for w in np.unique(width).tolist():
                 at = np.flatnonzero(width == w)
                 sequence[at], slot[at] = assignment.place(w, rank[at])
-            columns = [*batch.columns[:5], pa.array(sequence), pa.array(slot)]
-            names = [*batch.schema.names[:5], "sequence_id", "slot"]
+            columns = [*batch.columns[:5], pa.array(sequence), pa.array(slot), batch.column(7)]
+            names = [*batch.schema.names[:5], "sequence_id", "slot", "inner"]
             yield pa.RecordBatch.from_arrays(columns, names=names)
 
     placed = ranked.mapInArrow(
         assign,
         "doc_id bigint, start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint, "
-        "sequence_id bigint, slot bigint",
+        "sequence_id bigint, slot bigint, inner int",
     )
-    row = Window.partitionBy("sequence_id").orderBy("slot")  # at most capacity / unit rows
+    row = Window.partitionBy("sequence_id").orderBy("slot", "inner")  # at most capacity rows
     upto = row.rowsBetween(Window.unboundedPreceding, Window.currentRow)
     everything = row.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     return placed.select(

@@ -111,3 +111,21 @@ def test_plan_meets_every_demand_with_little_waste():
     for w, n in histogram.items():
         seen |= set(zip(*map(list, place.place(w, np.arange(n)))))
     assert len(seen) == sum(histogram.values())
+
+
+@pytest.mark.parametrize("sizes", [(1,), (2,), (17,), (20,), (65,), (250,), (270,), (5, 30, 90), (1, 40, 200, 900, 3000)])
+def test_little_padding_on_short_texts(spark, sizes):
+    """At most 2 % of all sequences but the last of each task; 1 is an empty text."""
+    rng = random.Random(sizes[0])
+    n = 200_000 // (sum(sizes) // len(sizes))
+    rows = []
+    for i in range(min(n, 20_000)):
+        size = rng.choice(sizes)
+        size = size if size < 20 else rng.randint(size - 9, size + 9)
+        rows.append((i, " ".join(["a"] * (size - 1))))
+    packed = cutting_stock.pack_cutting_stock(spark.createDataFrame(rows, SCHEMA).repartition(2), tokens.default_path())
+    pieces = [r.asDict() for r in packed.collect()]
+    check(rows, pieces, 4096)
+    total = sum(p["length"] for p in pieces)
+    sequences = {p["sequence_id"] for p in pieces}
+    assert len(sequences) * 4096 <= 1.02 * total + 2 * 4096
