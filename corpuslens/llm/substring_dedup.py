@@ -6,6 +6,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from corpuslens.llm import passages, textbuf
 
@@ -99,7 +100,7 @@ def repeated_words(
 
 
 def remove_repeated_words(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: str | None = None
 ) -> DataFrame:
     """Remove every word of a passage of ``length`` words that also starts earlier.
 
@@ -110,11 +111,13 @@ def remove_repeated_words(
     ``key`` is an integer that identifies a document. A null text has no words. Rows with a
     null key are compared with nothing and keep all their words. Repeated rows with one key
     are one document, no copies of each other: the passages that one loses, all lose. An
-    empty table gives no rows. Other columns are ignored.
+    empty table gives no rows. Other columns are ignored, but for ``carry``, which comes back
+    with its row.
     """
     spans = repeated_words(docs, key, text, length)
-    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"))
-    rows = rows.join(spans, "doc", "left").select("doc", "text", "spans")
+    more = [F.col(carry).alias("carried")] if carry else []
+    rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"), *more)
+    rows = rows.join(spans, "doc", "left").select("doc", "text", "spans", *(["carried"] if carry else []))
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,10 +138,11 @@ def remove_repeated_words(
                 words.append(n)
                 gone.append(n - len(all_words))
                 kept.append(b" ".join(all_words).decode())
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())],
-                names=["doc", "n_words", "n_removed", "kept"],
-            )
-
-    out = rows.mapInArrow(cut, "doc bigint, n_words bigint, n_removed bigint, kept string")
-    return out.withColumnRenamed("doc", key)
+            columns = [pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
+            names = ["doc", "n_words", "n_removed", "kept", "carried"]
+            columns = [batch.column(0), *columns, *batch.columns[3:]]
+            yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
+
+    made = T.StructType.fromDDL("doc bigint, n_words bigint, n_removed bigint, kept string")
+    out = rows.mapInArrow(cut, T.StructType(made.fields + rows.schema.fields[3:]))
+    return out.withColumnsRenamed({"doc": key, "carried": carry} if carry else {"doc": key})
