@@ -1,6 +1,12 @@
-"""From raw documents to packed sequences: each stage works on all that the one before kept."""
+"""From raw documents to packed sequences: each stage works on all that the one before kept.
 
-from pyspark.sql import DataFrame, SparkSession
+A stage reads ``doc_id`` and ``text`` and carries every other column along inside one structure,
+whatever its name and type. In all stages a null text is an empty one, rows without ``doc_id`` are
+compared with no other row and come back with their texts unless they are toxic, an empty table
+gives no rows, and long texts are worked on as a whole.
+"""
+
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm import (
@@ -15,56 +21,83 @@ from corpuslens.llm.queries import fold, table
 from corpuslens.session import materialize
 
 
+def carried(docs: DataFrame) -> Column:
+    """All columns of a row in one, under names of its own."""
+    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
+    return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).alias("row")
+
+
+def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
+    """The columns of ``docs`` from ``row``, some of them changed."""
+    given = [changed.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(docs.columns)]
+    return rows.select(*given)
+
+
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that the toxicity model does not reject."""
+    """Documents that the toxicity model does not reject.
+
+    Empty texts are scored by their length alone; repeated rows are scored alike.
+    """
+    rows = docs.select("doc_id", "text", carried(docs))
     scored = toxicity.score_toxicity(
-        docs,
+        rows,
         table(spark, sf_dir, "labels"),
         learn=F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0),
-        keep=[F.col(c) for c in docs.columns],
+        keep=[F.col("row")],
     )
-    return scored.filter("predicted = 0").select(*docs.columns)
+    return unpacked(scored.filter("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of every group linked by a similarity of 0.8 of five-word shingles.
 
-    Of several rows with one doc_id the least by its columns stays; rows without one all stay.
+    Of several rows with one doc_id the least by its columns stays; rows without one all stay,
+    and so do documents without words.
     """
-    groups = jaccard_join.jaccard_components(docs, percent=80, words=5).filter("doc_id is not null")
+    texts = docs.select("doc_id", "text")
+    groups = jaccard_join.jaccard_components(texts, percent=80, words=5).filter("doc_id is not null")
     ids = groups.groupBy("doc_id").agg(
         F.count(F.lit(1)).alias("n"), F.min("component_id").alias("first")
     )
     odd = materialize(ids.filter("n > 1 or first <> doc_id"))
-    several = docs.join(odd.filter("first = doc_id").select("doc_id"), "doc_id", "left_semi")
-    least = several.groupBy("doc_id").agg(F.min(F.struct(*docs.columns)).alias("row")).select("row.*")
-    return docs.join(odd.select("doc_id"), "doc_id", "left_anti").select(*docs.columns).unionByName(least)
+    rows = docs.select("doc_id", carried(docs))
+    several = rows.join(odd.filter("first = doc_id").select("doc_id"), "doc_id", "left_semi")
+    # structures with maps have no order, but their text has
+    least = several.groupBy("doc_id").agg(F.min_by("row", F.to_json("row")).alias("row"))
+    rest = rows.join(odd.select("doc_id"), "doc_id", "left_anti")
+    return unpacked(rest.unionByName(least), docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand earlier already; untouched texts stay as they are.
 
-    A document of which nothing is left has an empty text.
+    A document of which nothing is left has an empty text. Repeated rows are one document: what
+    one loses, all lose. ``n_chars`` follows the text where the table has such a column.
     """
-    cut = substring_dedup.remove_repeated_words(docs).filter("n_removed > 0")
-    cut = cut.select("doc_id", F.col("kept").alias("_kept")).dropDuplicates(["doc_id"])
-    text = F.coalesce("_kept", "text")
-    joined = docs.join(cut, "doc_id", "left").withColumn("text", text)
-    return joined.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)).select(
-        *docs.columns
-    )
+    rows = docs.select("doc_id", "text", carried(docs))
+    cut = substring_dedup.remove_repeated_words(rows, carry="row")
+    place = docs.columns.index("text")
+    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(f"row.c{place}"))
+    changed = {"text": text}
+    if "n_chars" in docs.columns:
+        changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
+    return unpacked(cut, docs, **changed)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that are not contaminated by the benchmark."""
-    found = decontamination.decontaminate(docs, table(spark, sf_dir, "benchmark"))
+    """Documents that are not contaminated by the benchmark.
+
+    Of repeated rows all go if one is contaminated; documents without words stay.
+    """
+    found = decontamination.decontaminate(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
     bad = found.filter("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(*docs.columns)
+    rows = docs.select("doc_id", carried(docs))
+    return unpacked(rows.join(bad, "doc_id", "left_anti"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of all documents and their places in sequences."""
-    return cutting_stock.pack_cutting_stock(docs, tokens.default_path())
+    """Pieces of all documents and their places in sequences; an empty text is one token."""
+    return cutting_stock.pack_cutting_stock(docs.select("doc_id", "text"), tokens.default_path())
 
 
 STAGES = [
