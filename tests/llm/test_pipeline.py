@@ -37,11 +37,6 @@ def test_only_toxic_documents_go(spark, tables):
     assert set(texts(tables[1])) == kept
 
 
-def test_one_document_of_each_group_stays(tables):
-    groups = brute.op7(texts(tables[1]).items())
-    assert set(texts(tables[2])) == {g for _, g in groups.values()}
-
-
 def test_passages_are_cut(tables):
     before, after = texts(tables[2]), texts(tables[3])
     cut = brute.op8(before.items())
@@ -106,3 +101,49 @@ def test_near_duplicates_share_five_words_and_four_fifths(spark):
 def test_stage_agrees_with_brute_force_on_the_documents(tables):
     groups = brute.op7(texts(tables[1]).items(), percent=80, words=5)
     assert set(texts(tables[2])) == {g for _, g in groups.values()}
+
+
+ODD_COLUMNS = {
+    "predicted": "int", "score": "double", "_text": "string", "_kept": "string", "a.b": "string", "row": "int",
+    "m": "map<string,int>", "n_removed": "int", "doc": "bigint", "first": "int", "c0": "string", "contaminated": "int",
+    "tick`": "string", "carried": "int", "kept": "string",
+}
+
+
+def odd_rows(rng):
+    say = lambda mark, n: " ".join(f"{mark}{i}" for i in range(n))
+    shared = say("s", 60)
+    texts = [(1, say("a", 30)), (2, say("b", 30) + " " + shared), (3, shared + " " + say("c", 300)), (4, say("a", 30)),
+             (5, None), (6, ""), (7, " \n"), (8, "word"), (9, say("long", 40_000)), (None, say("n", 30)), (None, None),
+             (2, say("b", 30) + " " + shared)]
+    more = {"int": 3, "double": 0.5, "string": "x", "bigint": 7, "map<string,int>": {"k": 1}}
+    return [(k, t, "en", "s", len(t or ""), *(more[v] if rng.random() < 0.8 else None for v in ODD_COLUMNS.values()))
+            for k, t in texts]
+
+
+@pytest.mark.parametrize("number", range(5))
+def test_stages_survive_odd_rows_and_columns(spark, number):
+    """Nulls, empty and long texts, repeated rows, columns of any name and type; no rows at all."""
+    extra = ", ".join(f"`{k.replace('`', '``')}` {v}" for k, v in ODD_COLUMNS.items())
+    schema = f"doc_id bigint, text string, lang string, source string, n_chars bigint, {extra}"
+    docs = materialize(spark.createDataFrame(odd_rows(random.Random(number)), schema))
+    name, stage = corpus_pipeline.STAGES[number]
+    out = materialize(stage(spark, docs, SF))
+    assert stage(spark, docs.limit(0), SF).collect() == []
+    ids = [r["doc_id"] for r in out.select("doc_id").collect()]
+    if name == "packing":
+        assert set(ids) == {None, *range(1, 10)}
+        return
+    assert out.dtypes == docs.dtypes
+    got = {k: t for k, t in out.select("doc_id", "text").collect() if k is not None}
+    want = {r["doc_id"]: r["text"] for r in docs.select("doc_id", "text").collect() if r["doc_id"] is not None}
+    assert ids.count(None) == 2
+    if name == "near_duplicates":
+        assert sorted(k for k in ids if k) == [1, 2, 3, 5, 6, 7, 8, 9]
+        assert all(got[k] == want[k] for k in got)
+    elif name == "repeated_passages":
+        assert got[4] == "" and got[3] == " ".join(f"c{i}" for i in range(300))
+        assert all(got[k] == want[k] for k in got if k not in (3, 4))
+        assert out.filter("doc_id in (3, 4) and n_chars <> length(text)").count() == 0
+    else:
+        assert all(got[k] == want[k] for k in got) and set(got) == set(want)
