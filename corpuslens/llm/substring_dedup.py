@@ -100,8 +100,9 @@ def repeated_words(
 
 
 def remove_repeated_words(
-    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH, carry: str | None = None
-) -> DataFrame:
+    docs: DataFrame, key: str = "doc_id", text: str = "text", length: int = LENGTH,
+    carry: list[str] | None = None, as_is: bool = False,
+) -> DataFrame:
     """Remove every word of a passage of ``length`` words that also starts earlier.
 
     Words are runs without ASCII white space, unchanged. Earlier means a smaller ``key``, or
@@ -111,13 +112,14 @@ def remove_repeated_words(
     ``key`` is an integer that identifies a document. A null text has no words. Rows with a
     null key are compared with nothing and keep all their words. Repeated rows with one key
     are one document, no copies of each other: the passages that one loses, all lose. An
-    empty table gives no rows. Other columns are ignored, but for ``carry``, which comes back
-    with its row.
+    empty table gives no rows. Other columns are ignored, but for those in ``carry``, which come
+    back with their row; ``as_is`` leaves texts that lose nothing unchanged, nulls too.
     """
     spans = repeated_words(docs, key, text, length)
-    more = [F.col(carry).alias("carried")] if carry else []
+    own = [f"_carried{i}" for i in range(len(carry or []))]
+    more = [F.col(c).alias(name) for c, name in zip(carry or [], own)]
     rows = docs.select(F.col(key).cast("bigint").alias("doc"), F.col(text).alias("text"), *more)
-    rows = rows.join(spans, "doc", "left").select("doc", "text", "spans", *(["carried"] if carry else []))
+    rows = rows.join(spans, "doc", "left").select("doc", "text", "spans", *own)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -125,6 +127,7 @@ def remove_repeated_words(
             at = batch.column(2).offsets.to_numpy()
             packed = batch.column(2).values.to_numpy()
             words, gone, kept = [], [], []
+            texts = batch.column(1)
             for i in range(len(batch)):
                 all_words = data[int(offsets[i]) : int(offsets[i + 1])].tobytes().split()
                 n = len(all_words)
@@ -137,12 +140,12 @@ def remove_repeated_words(
                     all_words = rest + all_words[last:]
                 words.append(n)
                 gone.append(n - len(all_words))
-                kept.append(b" ".join(all_words).decode())
+                same = as_is and n == len(all_words)
+                kept.append(texts[i].as_py() if same else b" ".join(all_words).decode())
             columns = [pa.array(words, pa.int64()), pa.array(gone, pa.int64()), pa.array(kept, pa.string())]
-            names = ["doc", "n_words", "n_removed", "kept", "carried"]
             columns = [batch.column(0), *columns, *batch.columns[3:]]
-            yield pa.RecordBatch.from_arrays(columns, names=names[: len(columns)])
+            yield pa.RecordBatch.from_arrays(columns, names=["doc", "n_words", "n_removed", "kept", *own])
 
     made = T.StructType.fromDDL("doc bigint, n_words bigint, n_removed bigint, kept string")
     out = rows.mapInArrow(cut, T.StructType(made.fields + rows.schema.fields[3:]))
-    return out.withColumnsRenamed({"doc": key, "carried": carry} if carry else {"doc": key})
+    return out.withColumnsRenamed({"doc": key, **dict(zip(own, carry or []))})

@@ -155,8 +155,8 @@ def word_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: boo
     """
     out = np.empty(len(start), dtype=np.uint64)
     i = 0
-    while i < len(start):  # long texts piece by piece
-        j = int(np.searchsorted(end, start[i] + GROUP_BYTES, "right"))
+    while i < len(start):  # piece by piece, for arrays of eight bytes per letter
+        j = int(np.searchsorted(end, start[i] + GROUP_BYTES // 8, "right"))
         j = max(j, i + 1)
         length = end[i:j] - start[i:j]
         first = np.cumsum(length) - length
