@@ -1,12 +1,12 @@
 """From raw documents to packed sequences: each stage works on all that the one before kept.
 
-A stage reads ``doc_id`` and ``text`` and carries every other column along inside one structure,
-whatever its name and type. In all stages a null text is an empty one, rows without ``doc_id`` are
-compared with no other row and come back with their texts unless they are toxic, an empty table
-gives no rows, and long texts are worked on as a whole.
+A stage reads ``doc_id`` and ``text`` and carries every other column along under a name of its
+own, whatever its name and type. In all stages a null text is an empty one, rows without ``doc_id``
+are compared with no other row and come back with their texts unless they are toxic, an empty
+table gives no rows, and long texts are worked on as a whole.
 """
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.llm import (
@@ -21,16 +21,15 @@ from corpuslens.llm.queries import fold, table
 from corpuslens.session import materialize
 
 
-def carried(docs: DataFrame) -> Column:
-    """All columns of a row in one, under names of its own."""
-    columns = [F.col("`" + c.replace("`", "``") + "`") for c in docs.columns]
-    return F.struct(*[c.alias(f"c{i}") for i, c in enumerate(columns)]).alias("row")
+def renamed(docs: DataFrame) -> tuple[DataFrame, str, str]:
+    """The table under plain column names, and those of ``doc_id`` and ``text``."""
+    names = [f"c{i}" for i in range(len(docs.columns))]
+    return docs.toDF(*names), names[docs.columns.index("doc_id")], names[docs.columns.index("text")]
 
 
-def unpacked(rows: DataFrame, docs: DataFrame, **changed: Column) -> DataFrame:
-    """The columns of ``docs`` from ``row``, some of them changed."""
-    given = [changed.get(c, F.col(f"row.c{i}")).alias(c) for i, c in enumerate(docs.columns)]
-    return rows.select(*given)
+def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
+    """``rows``, under plain names, with the names of ``docs``."""
+    return rows.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,14 +37,16 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
     Empty texts are scored by their length alone; repeated rows are scored alike.
     """
-    rows = docs.select("doc_id", "text", carried(docs))
+    rows, key, text = renamed(docs)
     scored = toxicity.score_toxicity(
         rows,
-        table(spark, sf_dir, "labels"),
-        learn=F.col("doc_id").isNotNull() & (fold("doc_id", 5) != 0),
-        keep=[F.col("row")],
+        table(spark, sf_dir, "labels").withColumnRenamed("doc_id", key),
+        learn=F.col(key).isNotNull() & (fold(key, 5) != 0),
+        key=key,
+        text=text,
+        keep=[F.col(c) for c in rows.columns],
     )
-    return unpacked(scored.filter("predicted = 0"), docs)
+    return named(scored.filter("predicted = 0"), docs)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -54,18 +55,18 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     Of several rows with one doc_id the least by its columns stays; rows without one all stay,
     and so do documents without words.
     """
-    texts = docs.select("doc_id", "text")
-    groups = jaccard_join.jaccard_components(texts, percent=80, words=5).filter("doc_id is not null")
-    ids = groups.groupBy("doc_id").agg(
+    rows, key, text = renamed(docs)
+    groups = jaccard_join.jaccard_components(rows, key, text, percent=80, words=5)
+    ids = groups.filter(F.col(key).isNotNull()).groupBy(key).agg(
         F.count(F.lit(1)).alias("n"), F.min("component_id").alias("first")
     )
-    odd = materialize(ids.filter("n > 1 or first <> doc_id"))
-    rows = docs.select("doc_id", carried(docs))
-    several = rows.join(odd.filter("first = doc_id").select("doc_id"), "doc_id", "left_semi")
+    odd = materialize(ids.filter((F.col("n") > 1) | (F.col("first") != F.col(key))))
+    several = rows.join(odd.filter(F.col("first") == F.col(key)).select(key), key, "left_semi")
     # structures with maps have no order, but their text has
-    least = several.groupBy("doc_id").agg(F.min_by("row", F.to_json("row")).alias("row"))
-    rest = rows.join(odd.select("doc_id"), "doc_id", "left_anti")
-    return unpacked(rest.unionByName(least), docs)
+    row = F.struct(*rows.columns)
+    least = several.groupBy(F.col(key).alias("_key")).agg(F.min_by(row, F.to_json(row)).alias("row")).select("row.*")
+    rest = rows.join(odd.select(key), key, "left_anti").select(*rows.columns)
+    return named(rest.unionByName(least), docs)
 
 
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -74,14 +75,14 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     A document of which nothing is left has an empty text. Repeated rows are one document: what
     one loses, all lose. ``n_chars`` follows the text where the table has such a column.
     """
-    rows = docs.select("doc_id", "text", carried(docs))
-    cut = substring_dedup.remove_repeated_words(rows, carry="row")
-    place = docs.columns.index("text")
-    text = F.when(F.col("n_removed") > 0, F.col("kept")).otherwise(F.col(f"row.c{place}"))
-    changed = {"text": text}
+    rows, key, text = renamed(docs)
+    others = [c for c in rows.columns if c not in (key, text)]
+    cut = substring_dedup.remove_repeated_words(rows, key, text, carry=others, as_is=True)
+    cut = cut.withColumnRenamed("kept", text)
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.length(text).cast(docs.schema["n_chars"].dataType)
-    return unpacked(cut, docs, **changed)
+        kind = docs.schema["n_chars"].dataType
+        cut = cut.withColumn(f"c{docs.columns.index('n_chars')}", F.length(text).cast(kind))
+    return named(cut, docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -89,10 +90,10 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Of repeated rows all go if one is contaminated; documents without words stay.
     """
+    rows, key, _ = renamed(docs)
     found = decontamination.decontaminate(docs.select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
-    bad = found.filter("contaminated").select("doc_id").distinct()
-    rows = docs.select("doc_id", carried(docs))
-    return unpacked(rows.join(bad, "doc_id", "left_anti"), docs)
+    bad = found.filter("contaminated").select(F.col("doc_id").alias(key)).distinct()
+    return named(rows.join(bad, key, "left_anti"), docs)
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
