@@ -13,26 +13,60 @@ ORDERS = (1, 2, 3)
 MAX_LANGUAGES = 1024
 
 
-def ngram_buckets(column: pa.Array, buckets: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+def character_values(codes: np.ndarray) -> np.ndarray:
+    """A random 64-bit value for every character, given as the number its UTF-8 bytes write."""
+    return textbuf.mix((codes + np.uint64(1)) * np.uint64(0xA24BAED4963EE407))
+
+
+ASCII = character_values(np.arange(128, dtype=np.uint64))
+
+# The longest n-gram ends at most so many bytes after the byte behind its first one.
+TAIL = 4 * max(ORDERS) - 1
+
+
+def characters(part: np.ndarray, firsts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Values of the characters that begin in these bytes, and the places where they begin.
+
+    ``firsts`` are the first bytes of texts, so that nothing crosses them.
+    """
+    begins = (part & 0xC0) != 0x80
+    begins[firsts] = True
+    at = np.flatnonzero(begins)
+    if len(at) == len(part) and not (part & 0x80).any():
+        return ASCII[part], at
+    codes = part[at].astype(np.uint64)
+    room = np.diff(at, append=len(part))
+    for k in range(1, 4):
+        longer = np.flatnonzero(room > k)
+        codes[longer] = (codes[longer] << np.uint64(8)) | part[at[longer] + k]
+    return character_values(codes), at
+
+
+def ngram_buckets(
+    column: pa.Array, buckets: int, piece: int = textbuf.GROUP_BYTES
+) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
     """Per group of texts: number of its first text, the bucket of every n-gram of each order
     and the text it belongs to, counted from the group's first.
 
-    Characters are bytes of UTF-8 with A-Z folded; n-grams do not cross texts, and a white
-    space character stands for the border of words.
+    Characters are code points with A-Z folded; n-grams do not cross texts, and a white
+    space character of ASCII stands for the border of words. Long texts are read in pieces of
+    so many bytes, which look as far into the next as the longest n-gram reaches.
     """
     data, offsets = textbuf.column_bytes(column)
     for low, high in textbuf.groups(offsets):
-        part = textbuf.LOWER[data[offsets[low] : offsets[high]]]
-        part = np.where(textbuf.SPACES[part], np.uint8(32), part)
-        at = offsets[low : high + 1] - offsets[low]
-        owner = np.repeat(np.arange(high - low), np.diff(at))
-        values = textbuf.BYTE_VALUES[part]
-        for n in ORDERS:
-            if len(part) < n:
-                continue
-            grams = textbuf.gram_hashes(values, n)
-            inside = owner[: len(grams)] == owner[n - 1 :]
-            yield low, (grams[inside] % np.uint64(buckets)).astype(np.int64), owner[: len(grams)][inside]
+        for start in range(int(offsets[low]), int(offsets[high]), piece):
+            end = min(start + piece, int(offsets[high]))
+            part = textbuf.LOWER[data[start : min(end + TAIL, int(offsets[high]))]]
+            part[textbuf.SPACES[part]] = 32
+            borders = offsets[low : high + 1] - start
+            firsts = borders[:-1]
+            values, at = characters(part, firsts[(firsts >= 0) & (firsts < len(part))])
+            owner = np.repeat(np.arange(high - low), np.diff(np.searchsorted(at, borders)))
+            own = int(np.searchsorted(at, end - start))
+            for n in ORDERS:
+                grams = textbuf.gram_hashes(values, n)[:own]
+                inside = owner[: len(grams)] == owner[n - 1 :][: len(grams)]
+                yield low, (grams[inside] % np.uint64(buckets)).astype(np.int64), owner[: len(grams)][inside]
 
 
 def train(

@@ -5,6 +5,7 @@ import re
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -137,6 +138,80 @@ def test_odd_languages(spark):
     assert language_id.identify_language(docs.limit(0), F.lit(True)).count() == 0
 
 
+def plain_languages(rows, learn, buckets):
+    """Naive Bayes over hashed n-grams of code points, one text and one n-gram after another."""
+    most = 2**64
+    mix = lambda h: int(textbuf.mix(np.array([h % most], dtype=np.uint64))[0])
+    value = {}
+
+    def grams(text):
+        folded = re.sub(r"[ \t-\r]", " ", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+        for c in set(folded) - set(value):
+            code = int.from_bytes(c.encode(), "big")
+            value[c] = int(language_id.character_values(np.array([code], dtype=np.uint64))[0])
+        for n in (1, 2, 3):
+            for i in range(len(folded) - n + 1):
+                yield mix(sum(value[c] * textbuf.BASE**k for k, c in enumerate(folded[i : i + n]))) % buckets
+
+    counts, docs = defaultdict(lambda: defaultdict(int)), defaultdict(int)
+    for key, text, lang in rows:
+        if learn(key) and lang is not None:
+            docs[lang] += 1
+            for g in grams(text):
+                counts[lang][g] += 1
+    total = {x: sum(counts[x].values()) for x in docs}
+    out = {}
+    for key, text, _ in rows:
+        found = list(grams(text))
+        sums = {
+            x: np.log(docs[x] / sum(docs.values()))
+            + sum(np.log((counts[x][g] + 0.5) / (total[x] + 0.5 * buckets)) for g in found)
+            for x in sorted(docs)
+        }
+        best = max(sums, key=sums.get)
+        known = text is not None and any(c.isalpha() for c in text)
+        weight = sum(np.exp(v - sums[best]) for v in sums.values())
+        out[key] = (best, 1 / weight) if known else ("und", 0.0)
+    return out
+
+
+def test_language_against_brute_force(spark):
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").select("doc_id", "text", "lang")
+    short = docs.filter("length(text) < 900").collect()
+    odd = [(-1, "猫と犬の話、もう一度", "ja"), (-2, "犬と猫", None), (-3, "Ärger ÄRGER über alles 😀😀", "de"),
+           (-4, None, "de"), (-5, "é", None), (-6, "", "ja"), (-7, "12 34", None)]
+    rows = [tuple(r) for r in short] + odd
+    want = plain_languages(rows, lambda key: key % 3 != 1, 1 << 10)
+    frame = spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3)
+    out = language_id.identify_language(frame, F.expr("pmod(doc_id, 3) <> 1"), buckets=1 << 10).collect()
+    assert len(out) == len(rows) > 50
+    for r in out:
+        lang, score = want[r["doc_id"]]
+        assert r["lang_pred"] == lang and abs(r["score"] - score) < 1e-9
+
+
+@pytest.mark.parametrize("piece", [1, 2, 3, 5, 64])
+def test_ngrams_of_code_points_in_pieces(piece):
+    texts = pa.array(["aé猫😀 x", None, "", "猫", "\tB" * 9, "😀" * 20])
+    whole, parts = (
+        sorted((low + int(o), int(g)) for low, grams, owner in found for g, o in zip(grams, owner))
+        for found in (language_id.ngram_buckets(texts, 1 << 14), language_id.ngram_buckets(texts, 1 << 14, piece))
+    )
+    lengths = [len(t or "") for t in texts.to_pylist()]
+    assert whole == parts and len(whole) == sum(max(n - k, 0) for n in lengths for k in range(3))
+    odd = list(language_id.ngram_buckets(pa.array([b"\xe3\x81", b"\x81a"]), 1 << 14))
+    assert all(len(grams) == len(owner) for _, grams, owner in odd)
+
+
+def test_odd_columns_and_repeated_rows_of_languages(spark):
+    rows = [(1, "the cat and the dog", "en", 1, "x"), (1, "the cat and the dog", "en", 1, "x"),
+            (2, "der hund und die katze", "de", 2, "y")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string, lang string, score int, lang_pred string")
+    out = language_id.identify_language(docs, F.lit(True)).collect()
+    assert [(r["doc_id"], r["lang_pred"]) for r in out] == [(1, "en"), (1, "en"), (2, "de")]
+    assert out[0] == out[1]
+
+
 def test_toxicity_on_held_out_documents(spark):
     out = queries.op10(spark, SF).join(spark.read.parquet(f"{SF}/labels.parquet"), "doc_id").filter("held_out")
     rows = out.select("predicted", "toxic", "score").collect()
