@@ -2,17 +2,18 @@
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpuslens.functions.decoding import decode_first_fit, decode_text, is_text, mime_type
 from corpuslens.functions.paths import has_valid_name
 from corpuslens.functions.text import keep_text
 from corpuslens.operators.reports import chunk_success, repo_success, running_mean
-from corpuslens.sources.readers import list_repositories, read_contents
+from corpuslens.sources.readers import list_repositories, read_contents, scan_landed
 
-# A character takes four bytes at most, and a byte order mark two more.
+# A character takes four bytes at most, and a byte order mark as many more.
 _BYTES_PER_CHAR = 4
+_MARK = 4
 
 
 def archive_rows(
@@ -53,15 +54,37 @@ def extract(
     Names and lengths are checked on the listing, before any byte is read. The length
     bounds follow from the character bounds, so they drop nothing that would be kept.
     """
-    name = F.col("file_name")
-    most = int(max_mb * 1024**2) * _BYTES_PER_CHAR + 2
-    listed = list_repositories(repos, root).filter(
-        has_valid_name(name, additional_extensions, match_on)
-        & F.col("length").between(min_chars, most)
-    )
+    wanted = _wanted(additional_extensions, match_on, max_mb, min_chars)
+    listed = list_repositories(repos, root).filter(wanted)
     return archive_rows(read_contents(listed), fallback, max_mb, min_chars, charsets)
 
 
+def extract_landed(
+    spark: SparkSession,
+    root: str,
+    additional_extensions: list[str] | None = None,
+    match_on: str = "name",
+    fallback: str | None = "ISO-8859-1",
+    max_mb: float = 1,
+    min_chars: int = 16,
+    charsets: Sequence[str] | None = None,
+) -> DataFrame:
+    """Text of every acceptable file below ``root`` in one scan of Spark's own file source.
+
+    As ``extract``, for whole trees without names that begin with an underscore and without
+    hidden folders, which that source does not see. Nothing is shuffled or stored in between.
+    """
+    files = scan_landed(spark, root).filter(_wanted(additional_extensions, match_on, max_mb, min_chars))
+    return archive_rows(files, fallback, max_mb, min_chars, charsets)
+
+
+def _wanted(additional: list[str] | None, match_on: str, max_mb: float, min_chars: int) -> Column:
+    """Conditions on name and length that a file must meet to be opened."""
+    most = int(max_mb * 1024**2) * _BYTES_PER_CHAR + _MARK
+    valid = has_valid_name(F.col("file_name"), additional, match_on)
+    return valid & F.col("length").between(min_chars, most)
+
+
 def outcomes(repos: DataFrame, extracted: DataFrame, chunk_size: int) -> DataFrame:
     """Chunk, number of extracted files and failure flag of every listed repository.
 

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from corpuslens import schemas
-from corpuslens.functions.paths import decoded_file_path, parent_name
+from corpuslens.functions.paths import decoded_file_path, parent_name, relative_name
 from corpuslens.operators.rules import slim
 from corpuslens.session import materialize, scratch_path, use_checkpoint_dir
 
@@ -251,6 +251,31 @@ def list_repositories(repos: DataFrame, root: str) -> DataFrame:
     return level.unionByName(below).filter("not is_folder").select(*LISTING.names)
 
 
+def scan_landed(spark: SparkSession, root: str) -> DataFrame:
+    """Files of the checkouts landed below the absolute path ``root``, by Spark's own file source.
+
+    The first two folders below ``root`` name the repository; files above that level belong to
+    none and are left out. Conditions on ``length`` reach the scan, which does not open a file that
+    fails them, and bytes that nobody asks for are not read. Spark's sources do not see files and
+    folders whose names begin with a full stop or an underscore; where those are wanted
+    (``__init__.py``), ``list_repositories`` and ``read_contents`` find them.
+    """
+    found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(_literal(root))
+    # a root may be written with or without the scheme and host that paths begin with
+    store = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
+    base = re.sub("/+", "/", re.sub(store, "", root)).rstrip("/")
+    inside = relative_name(F.regexp_replace("path", store, ""), F.lit(base))
+    parts = F.split(inside, "/")
+    rows = found.withColumn("_parts", parts).filter(F.size("_parts") > 2)
+    return rows.select(
+        F.array_join(F.slice("_parts", 1, 2), "/").alias("repo_name"),
+        F.array_join(F.slice("_parts", F.lit(3), F.size("_parts")), "/").alias("file_name"),
+        F.col("path").alias("file_path"),
+        "length",
+        "content",
+    )
+
+
 def _file_systems() -> Callable[[str], tuple[fs.FileSystem, str]]:
     """A function that finds the file system of a path with a scheme and the path inside it.
 

@@ -9,7 +9,7 @@ from corpuslens.functions import decoding
 from corpuslens.functions.text import byte_size
 from corpuslens.operators import rules
 from corpuslens.plans.curate import LanguageChoice, curate, curate_with_funnel, label_corpus, selected_files
-from corpuslens.plans.extract import extract, outcomes, success_report
+from corpuslens.plans.extract import extract, extract_landed, outcomes, success_report
 from corpuslens.operators import positions
 from corpuslens.sources import readers, writers
 from pyspark.sql import functions as F
@@ -324,6 +324,38 @@ def test_extract(spark, tree, repos):
     assert names == (WANTED["ann/tool"] | {"main.py"}) - {"node_modules/lib.js", "wide.txt", "limit.txt", "latin.py"}
 
 
+def test_extract_landed(spark, tree):
+    """The same files but for names that Spark's own source does not see."""
+    for root in (tree, tree + "/", "file://" + tree):
+        got = {}
+        for r in extract_landed(spark, root).collect():
+            got.setdefault(r["meta"]["repo_name"], {})[r["meta"]["file_name"]] = r["text"]
+        hidden = {"__init__.py", "src/_private/main.py"}
+        assert {repo: set(names) for repo, names in got.items()} == {r: w - hidden for r, w in WANTED.items()}
+        assert got["ann/tool"]["latin.py"] == "# café\n" + LONG
+    by_path = extract_landed(spark, tree, match_on="path", additional_extensions=["txt"], fallback=None)
+    names = {r["meta"]["file_name"] for r in by_path.collect()}
+    assert names == {"exact.py", "with space+plus%41.py", "main.py"}
+
+
+def test_landed_scan_opens_no_file_in_vain(spark, tree):
+    names = readers.scan_landed(spark, tree).filter("length between 10 and 20").select("file_name")
+    plan = names._jdf.queryExecution().executedPlan().toString()
+    assert "GreaterThanOrEqual(length,10)" in plan and "Exchange" not in plan
+    assert "content" not in plan.split("ReadSchema:")[-1]
+    repos = {r[0] for r in readers.scan_landed(spark, tree).select("repo_name").collect()}
+    assert repos == {"ann/tool", "bob/tool"}
+
+
+def test_long_text_in_four_bytes_a_character(spark, tmp_path):
+    path = tmp_path / "a/b/c.txt"
+    path.parent.mkdir(parents=True)
+    path.write_bytes(b"\x00\x00\xfe\xff" + ("x" * 1024 * 1024).encode("utf-32-be"))
+    repos = spark.createDataFrame([("a/b",)], schemas.REPO_LIST)
+    for rows in (extract(repos, str(tmp_path)), extract_landed(spark, str(tmp_path))):
+        assert [len(r["text"]) for r in rows.collect()] == [1024 * 1024]
+
+
 def test_remote_style_path(spark, tree, repos):
     names = {r["file_name"] for r in readers.list_repositories(repos, "file://" + tree).collect()}
     assert "__init__.py" in names and "src/_private/main.py" in names and ".git/config.py" not in names

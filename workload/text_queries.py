@@ -272,17 +272,17 @@ def p12_explode(spark, sf):
     )
 
 
-_NAME_RULES = """base_name NOT LIKE '.%' AND {searched} NOT LIKE '%.git%'
+NAME_RULES = """base_name NOT LIKE '.%' AND {searched} NOT LIKE '%.git%'
         AND {searched} NOT LIKE '%LICENSE%' AND {searched} NOT LIKE '%node\\_modules%' ESCAPE '\\'
         AND {searched} NOT LIKE '%.min.%'
         AND split_part(base_name, '.', -1) NOT IN ({blocked})"""
-_BLOCKED = ", ".join(f"'{e}'" for e in paths.BLOCKED_EXTENSIONS)
+BLOCKED = ", ".join(f"'{e}'" for e in paths.BLOCKED_EXTENSIONS)
 
 
 @query(
     "f14_valid_names",
     f"""SELECT doc_id, file_name FROM {SQL_FILE_NAMES}
-        WHERE {_NAME_RULES.format(searched='base_name', blocked=_BLOCKED)}""",
+        WHERE {NAME_RULES.format(searched='base_name', blocked=BLOCKED)}""",
 )
 def f14(spark, sf):
     return file_names(spark, sf).filter(paths.has_valid_name(F.col("file_name"))).select(
@@ -293,7 +293,7 @@ def f14(spark, sf):
 @query(
     "f14_valid_paths",
     f"""SELECT doc_id, file_name FROM {SQL_FILE_NAMES}
-        WHERE {_NAME_RULES.format(searched='file_name', blocked=_BLOCKED)}""",
+        WHERE {NAME_RULES.format(searched='file_name', blocked=BLOCKED)}""",
 )
 def f14_paths(spark, sf):
     valid = paths.has_valid_name(F.col("file_name"), match_on="path")
@@ -302,7 +302,7 @@ def f14_paths(spark, sf):
 
 @query(
     "f15_blocked_extensions",
-    f"""SELECT doc_id, file_name, split_part(base_name, '.', -1) IN ({_BLOCKED}, 'md') AS blocked
+    f"""SELECT doc_id, file_name, split_part(base_name, '.', -1) IN ({BLOCKED}, 'md') AS blocked
         FROM {SQL_FILE_NAMES}""",
 )
 def f15(spark, sf):
