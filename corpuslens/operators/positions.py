@@ -12,8 +12,9 @@ from pyspark.sql import functions as F
 
 from corpuslens.session import materialize
 
-# Number of buckets of the sampling histogram: four hexadecimal digits.
+# Hexadecimal digits by which each histogram of a sample extends the last, and those of a digest.
 _BUCKET_DIGITS = 4
+_DIGEST_DIGITS = 32
 
 
 def _running_total(counts: DataFrame, order_by: str) -> DataFrame:
@@ -177,33 +178,42 @@ def with_chunks(indexed: DataFrame, size: int) -> DataFrame:
 def sample_exact(df: DataFrame, frac: float, key: str, seed: int = 0) -> DataFrame:
     """Exactly ``round(frac * rows)`` rows, chosen by a digest of ``key`` and ``seed``.
 
-    A histogram over the first digits of the digest, 65,536 entries at most, tells which
-    buckets are taken whole. Only the one bucket at the border is ranked, so the table is
-    neither sorted nor shuffled. ``key`` should identify a row; rows that share a key fall
-    into one bucket, whose rows are ranked by many tasks.
+    The rows with the smallest digests are taken, up to a border that is found digit by digit: a
+    histogram over the first digits of the digest, 65,536 entries at most, tells which bucket
+    the border lies in, and the next one looks at that bucket alone. These passes read ``key``
+    only. The sample is then a filter over one scan, so the table is neither sorted nor shuffled.
+    Rows that share the digest of the border, which are rows of one key, are told apart by their
+    position; they alone are ranked, by many tasks.
     """
     if not 0 <= frac <= 1:
         raise ValueError("frac must be from 0 to 1")
     digest = F.md5(F.concat_ws("|", F.lit(str(seed)), F.col(key).cast("string")))
     keyed = df.withColumn("_digest", digest)
-    keyed = keyed.withColumn("_bucket", F.substring("_digest", 1, _BUCKET_DIGITS))
-    counts = keyed.groupBy("_bucket").agg(F.count(F.lit(1)).alias("n"))
-    wanted = F.bround(F.col("_total") * F.lit(float(frac)), 0).cast("bigint")
-    border = (
-        _running_total(counts, "_bucket")
-        .withColumn("_missing", wanted - F.col("_before"))
-        .filter((F.col("_missing") > 0) & (F.col("_missing") <= F.col("n")))
-        .select("_bucket", "_missing")
-        .first()
-    )
-    if border is None:
-        return df.limit(0)
-    bucket, missing = border
-    whole = keyed.filter(F.col("_bucket") < bucket)
-    part = keyed.filter(F.col("_bucket") == bucket)
-    part = with_row_index(part, ["_digest"], "_rank").drop("_total")
-    part = part.filter(F.col("_rank") < missing).drop("_rank")
-    return whole.unionByName(part).drop("_digest", "_bucket")
+    prefix, missing = "", None
+    while len(prefix) < _DIGEST_DIGITS:
+        width = len(prefix) + _BUCKET_DIGITS
+        inside = keyed.filter(F.col("_digest").startswith(prefix))
+        counts = inside.groupBy(F.substring("_digest", 1, width).alias("_bucket"))
+        totals = _running_total(counts.agg(F.count(F.lit(1)).alias("n")), "_bucket")
+        if missing is None:
+            wanted = F.bround(F.col("_total") * F.lit(float(frac)), 0).cast("bigint")
+        else:
+            wanted = F.lit(missing)
+        border = (
+            totals.withColumn("_missing", wanted - F.col("_before"))
+            .filter((F.col("_missing") > 0) & (F.col("_missing") <= F.col("n")))
+            .select("_bucket", "_missing", "n")
+            .first()
+        )
+        if border is None:
+            return df.limit(0)
+        prefix, missing, held = border
+        if missing == held:
+            return keyed.filter(F.substring("_digest", 1, width) <= prefix).drop("_digest")
+    whole = keyed.filter(F.col("_digest") < prefix)
+    part = with_row_index(keyed.filter(F.col("_digest") == prefix), ["_digest"], "_rank")
+    part = part.filter(F.col("_rank") < missing).drop("_rank", "_total")
+    return whole.unionByName(part).drop("_digest")
 
 
 def sample_approximate(df: DataFrame, frac: float, seed: int = 0) -> DataFrame:

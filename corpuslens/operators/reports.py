@@ -7,7 +7,6 @@ from pyspark.sql import functions as F
 
 from corpuslens.operators.positions import with_row_index
 from corpuslens.operators.rules import RULE_REASONS, SYNTAX_REASON
-from corpuslens.session import materialize
 
 # Number of blocks the running mean is cut into.
 _BLOCKS = 4096
@@ -79,7 +78,7 @@ def running_mean(
     order value stand nowhere: they come back with a null mean and count in no other.
     """
     placed = rates.filter(F.col(order_by).isNotNull())
-    placed = materialize(with_row_index(placed, [order_by], "_row"))
+    placed = with_row_index(placed, [order_by], "_row")  # stored there already
     block = F.expr(f"_row * {_BLOCKS} div greatest(_total, 1)")
     blocked = placed.withColumn("_block", block)
     inside = Window.partitionBy("_block").orderBy("_row")

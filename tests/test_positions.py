@@ -1,3 +1,5 @@
+import hashlib
+
 import pytest
 from corpuslens.operators import positions, reports
 from pyspark.sql import functions as F
@@ -72,6 +74,21 @@ def test_exact_sample_size(spark, n, frac):
     assert len(got) == len(set(got)) == round(frac * n)
 
 
+@pytest.mark.parametrize("digits", [1, 4])
+def test_exact_sample_takes_the_smallest_digests(spark, monkeypatch, digits):
+    # with one digit to a histogram the border is found in several passes
+    monkeypatch.setattr(positions, "_BUCKET_DIGITS", digits)
+    got = {r[0] for r in positions.sample_exact(spark.range(3000), 0.37, "id", 5).collect()}
+    ranked = sorted(range(3000), key=lambda n: hashlib.md5(f"5|{n}".encode()).hexdigest())
+    assert got == set(ranked[:1110])
+
+
+def test_exact_sample_shuffles_no_rows(spark):
+    rows = spark.range(3000).withColumn("text", F.lit("x"))
+    plan = positions.sample_exact(rows, 0.37, "id")._jdf.queryExecution().executedPlan().toString()
+    assert "Exchange" not in plan
+
+
 def test_exact_sample_is_reproducible(spark):
     def sample(seed, parts):
         rows = positions.sample_exact(spark.range(500).repartition(parts), 0.2, "id", seed)
