@@ -1,11 +1,12 @@
 """Corpus curation from a parquet tree to kept rows, rejects and a file table."""
 
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpuslens.operators import languages, reports, rules
+from corpuslens.operators import languages, reports, rules, syntax
 from corpuslens.session import materialize
 from corpuslens.sources import readers, writers
 
@@ -55,6 +56,9 @@ def label_corpus(
     """Every row of the chosen languages with ``reason`` and ``verdict``.
 
     Languages are chosen from the file listing, and only their directories are read.
+    ``python_gate`` is that of ``rules.cascade``, by the language in each row, or
+    ``python_directories``: then all rows of a directory named Python, in any case, must parse,
+    and no others. It has a scan of its own, so rows of other directories meet no Python worker.
     """
     files = selected_files(spark, root, choice)
     return _label(spark, root, files, rules.tier(tier), is_slim, python_gate)
@@ -69,13 +73,26 @@ def _label(
     python_gate: str,
 ) -> DataFrame:
     folders = _directories(files)
-    if folders:
-        corpus = readers.scan_corpus_tree(spark, folders, is_slim)
-        names = sorted({folder.rsplit("/", 1)[-1] for folder in folders})
-        corpus = corpus.filter(F.col("lang").isin(names))
+    if not folders:
+        gate = "off" if python_gate == "python_directories" else python_gate
+        return rules.cascade(readers.empty_corpus_tree(spark), limits, gate)
+    if python_gate == "python_directories":
+        parsed = [f for f in folders if _language(f).lower() in syntax.PYTHON]
+        parts = [(parsed, "all"), ([f for f in folders if f not in set(parsed)], "off")]
     else:
-        corpus = readers.empty_corpus_tree(spark)
-    return rules.cascade(corpus, limits, python_gate)
+        parts = [(folders, python_gate)]
+    labelled = []
+    for chosen, gate in parts:
+        if chosen:
+            rows = readers.scan_corpus_tree(spark, chosen, is_slim)
+            # a directory is read with all below it, which may be of another language
+            rows = rows.filter(F.col("lang").isin(sorted({_language(f) for f in chosen})))
+            labelled.append(rules.cascade(rows, limits, gate))
+    return reduce(DataFrame.unionByName, labelled)
+
+
+def _language(folder: str) -> str:
+    return folder.rsplit("/", 1)[-1]
 
 
 def _directories(files: DataFrame) -> list[str]:

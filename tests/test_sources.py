@@ -7,7 +7,7 @@ import pytest
 from corpuslens import schemas
 from corpuslens.functions import decoding
 from corpuslens.functions.text import byte_size
-from corpuslens.operators import rules
+from corpuslens.operators import reports, rules
 from corpuslens.plans.curate import LanguageChoice, curate, curate_with_funnel, label_corpus, selected_files
 from corpuslens.plans.extract import extract, extract_landed, outcomes, success_report
 from corpuslens.operators import positions
@@ -186,6 +186,45 @@ def test_curate_reads_the_corpus_once(spark, corpus):
     assert plan.count("Scan parquet") == 1 and "Exchange" not in plan
 
 
+def test_gate_by_directory_reads_every_directory_once(spark, corpus):
+    def plan(**choice):
+        rows = label_corpus(spark, corpus, choice=LanguageChoice(**choice), python_gate="python_directories")
+        return rows._jdf.queryExecution().executedPlan().toString()
+
+    # the directory of Python alone passes the evaluator, in a scan of its own
+    split = plan()
+    assert split.count("Scan parquet") == 2 and "Exchange" not in split
+    assert split.count("ArrowEvalPython") == 1
+    parsed, rest = split[: split.rindex("Scan parquet")], split[split.rindex("Scan parquet") :]
+    assert "/python]" in parsed and "ArrowEvalPython" in parsed and "/python]" not in rest
+    without = plan(bad_langs=("python",))
+    assert without.count("Scan parquet") == 1 and "ArrowEvalPython" not in without
+
+
+def test_gate_by_directory(spark, tmp_path):
+    whole = {f.name: None for f in schemas.SLIM.fields}
+    row = {**whole, "file_size": 900, "max_ll": 90, "ave_ll": 30.0, "alphanum_frac": 0.6, "content": "print 'x'"}
+    for folder, label in (("Python", None), ("go", "Python"), ("go/python", "go")):
+        row["repo_lang"] = label
+        rows = spark.createDataFrame([tuple(row.values())], schemas.SLIM)
+        rows.write.parquet(str(tmp_path / folder), mode="append")
+    out = label_corpus(spark, str(tmp_path), choice=LanguageChoice(bad_langs=()), is_slim=True, python_gate="python_directories")
+    got = sorted((r["lang"], r["reason"]) for r in out.select("lang", F.coalesce("reason", F.lit("")).alias("reason")).collect())
+    # the label of a row plays no part
+    assert got == [("Python", "python2"), ("go", ""), ("python", "python2")]
+
+
+def test_gate_by_directory_agrees_where_labels_do(spark, corpus, tmp_path):
+    by_row = label_corpus(spark, corpus, "moderate")
+    _, funnel = curate_with_funnel(spark, corpus, str(tmp_path / "out"), "moderate", python_gate="python_directories")
+    want = reports.funnel(by_row, syntax_gate=True)
+    assert sorted(map(tuple, funnel.collect())) == sorted(map(tuple, want.collect()))
+    rows = label_corpus(spark, corpus, "moderate", python_gate="python_directories")
+    assert rows.exceptAll(by_row).count() == by_row.exceptAll(rows).count() == 0
+    nothing = label_corpus(spark, corpus, choice=LanguageChoice(mb_size_thresh=1e9), python_gate="python_directories")
+    assert nothing.count() == 0 and nothing.columns == rows.columns
+
+
 def test_language_choice(spark, corpus):
     assert selected_files(spark, corpus, LanguageChoice(top_k=1)).select("lang").distinct().count() == 1
     chosen = label_corpus(spark, corpus, choice=LanguageChoice(top_k=1))
@@ -567,8 +606,6 @@ def test_the_archive_grows_with_its_list(spark, tmp_path):
 
 
 def test_curation_reports_its_funnel(spark, corpus, tmp_path):
-    from corpuslens.operators import reports
-
     files, funnel = curate_with_funnel(spark, corpus, str(tmp_path / "out"), "moderate", python_gate="all")
     labelled = label_corpus(spark, corpus, "moderate", python_gate="all")
     want = reports.funnel(labelled, syntax_gate=True)

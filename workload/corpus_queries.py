@@ -1,5 +1,8 @@
 """Languages, joins, aggregations, positions and samples."""
 
+from functools import reduce
+
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from corpuslens.operators import languages, positions, reports
@@ -169,6 +172,25 @@ def o4_approximate(spark, sf):
     return positions.sample_approximate(orders(spark, sf), 0.1, seed=7)
 
 
+@query(
+    "o4_approximate_sample_size",
+    "SELECT count(*) AS n_rows, true AS near, 0::BIGINT AS n_foreign FROM orders",
+)
+def o4_approximate_size(spark, sf):
+    """Size of an approximate sample within six standard deviations, and its rows all of the table."""
+    rows = orders(spark, sf)
+    sample = positions.sample_approximate(rows, 0.1, seed=7)
+    foreign = sample.join(rows, rows.columns, "left_anti")
+    parts = [frame.select(F.lit(name).alias("part")) for name, frame in
+             (("row", rows), ("sampled", sample), ("foreign", foreign))]
+    n_rows, sampled, n_foreign = (F.count_if(F.col("part") == name) for name in ("row", "sampled", "foreign"))
+    counts = reduce(DataFrame.unionByName, parts).agg(
+        n_rows.alias("n_rows"), sampled.alias("n"), n_foreign.alias("n_foreign")
+    )
+    near = F.abs(F.col("n") - 0.1 * F.col("n_rows")) <= 6 * F.sqrt(0.09 * F.col("n_rows"))
+    return counts.select("n_rows", near.alias("near"), "n_foreign")
+
+
 @query(
     "o5_segment",
     f"""SELECT row_index, o_orderkey, o_custkey, o_totalprice FROM {_SQL_INDEXED}
