@@ -252,14 +252,20 @@ def list_repositories(repos: DataFrame, root: str) -> DataFrame:
 
 
 def scan_landed(spark: SparkSession, root: str) -> DataFrame:
-    """Files of the checkouts landed below the absolute path ``root``, by Spark's own file source.
+    """Files of the checkouts landed below the absolute path ``root``, as Spark's file source sees them.
 
     The first two folders below ``root`` name the repository; files above that level belong to
-    none and are left out. Conditions on ``length`` reach the scan, which does not open a file that
-    fails them, and bytes that nobody asks for are not read. Spark's sources do not see files and
-    folders whose names begin with a full stop or an underscore; where those are wanted
+    none and are left out. Conditions on ``length`` reach the scan, so a file that fails them is not
+    opened, and bytes that nobody asks for are not read. As in Spark's sources, empty files and names
+    that begin with a full stop or an underscore are not seen; where those are wanted
     (``__init__.py``), ``list_repositories`` and ``read_contents`` find them.
+
+    On a mounted disk the files are those of ``list_landed``. A condition on ``content`` may read a
+    file once more there; ``read_contents`` reads each once. Other stores are read by Spark's own
+    source, which lists in the driver.
     """
+    if on_disk(spark, root):
+        return list_landed(spark, root).withColumn("content", _file_content()("file_path"))
     found = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(_literal(root))
     # a root may be written with or without the scheme and host that paths begin with
     store = r"^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?"
@@ -276,6 +282,58 @@ def scan_landed(spark: SparkSession, root: str) -> DataFrame:
     )
 
 
+def on_disk(spark: SparkSession, root: str) -> bool:
+    """Whether ``root`` is on a disk that is mounted everywhere, also where no scheme says so."""
+    scheme = re.match(r"[A-Za-z][A-Za-z0-9+.-]*:", root)
+    if scheme:
+        return scheme[0] == "file:"
+    store = spark.sparkContext._jsc.hadoopConfiguration().get("fs.defaultFS", "file:///")
+    return store.startswith("file:")
+
+
+def list_landed(spark: SparkSession, root: str) -> DataFrame:
+    """One row per file of the checkouts landed below ``root`` on a mounted disk, as a stored table.
+
+    The files and their paths are those of ``scan_landed``. Tasks list directories, and the driver
+    lists nothing: first the two levels that name the repositories, then the top level of each
+    repository, then all its directories on their own.
+    """
+    base = re.sub("/+", "/", re.sub("^file:(//[^/]*)?", "", root)).rstrip("/")
+    found = spark.createDataFrame([("", "")], "repo_name string, folder string")
+    for _ in range(2):
+        level = _list_directories(found, base, recursive=False, as_source=True).filter("is_folder")
+        name = F.concat_ws("/", F.expr("nullif(repo_name, '')"), "file_name").alias("repo_name")
+        found = materialize(level.select(name, F.lit("").alias("folder")))
+    top = materialize(_list_directories(found, base, recursive=False, as_source=True))
+    folders = top.filter("is_folder").select("repo_name", F.col("file_name").alias("folder"))
+    below = _list_directories(folders, base, recursive=True, as_source=True)
+    files = top.unionByName(below).filter("not is_folder and length > 0")
+    path = F.concat(F.lit("file:"), "file_path").alias("file_path")
+    return materialize(files.select("repo_name", "file_name", path, "length"))
+
+
+def _file_content() -> Callable:
+    """Bytes of the file at a path that begins with ``file:``; a file that is gone fails the job."""
+
+    # Batches are cut by their bytes, so they need not be as long as those that come in.
+    def content(paths: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        import pyarrow as pa
+
+        for batch in paths:
+            read, held = [], 0
+            for path in batch.to_pylist():
+                with open(path.removeprefix("file:"), "rb") as handle:
+                    read.append(handle.read())
+                held += len(read[-1])
+                if held >= _BATCH_BYTES:
+                    yield pa.array(read, pa.binary())
+                    read, held = [], 0
+            if read:
+                yield pa.array(read, pa.binary())
+
+    return F.arrow_udf(content, T.BinaryType())
+
+
 def _file_systems() -> Callable[[str], tuple[fs.FileSystem, str]]:
     """A function that finds the file system of a path with a scheme and the path inside it.
 
@@ -298,8 +356,14 @@ def _file_systems() -> Callable[[str], tuple[fs.FileSystem, str]]:
     return resolve
 
 
-def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFrame:
-    """Entries of the directories ``<root>/<repo_name>/<folder>``, or all files below them."""
+def _list_directories(
+    folders: DataFrame, root: str, recursive: bool, as_source: bool = False
+) -> DataFrame:
+    """Entries of the directories ``<root>/<repo_name>/<folder>``, or all files below them.
+
+    ``as_source=True`` sees what Spark's file sources see on a disk: no hidden names, and links to
+    directories are followed.
+    """
     base = root.rstrip("/")
     fields = _ENTRY.names
     resolve = _file_systems()
@@ -311,6 +375,13 @@ def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFra
         import pyarrow as pa
         from pyarrow import fs
 
+        def hidden(name, is_folder):
+            """Spark's rule; it lists what begins like the metadata of a table, but reads folders only."""
+            if is_folder and name.startswith(("_common_metadata", "_metadata")):
+                return False
+            underscored = name.startswith("_") and "=" not in name
+            return underscored or name.startswith(".") or name.endswith("._COPYING_")
+
         def children(path):
             """Name, whether it is a directory, and length of what a directory holds."""
             if "://" in path:  # a remote store; without a scheme, a mounted disk
@@ -319,10 +390,12 @@ def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFra
                 for info in files.get_file_info(selector):
                     if info.type in (fs.FileType.File, fs.FileType.Directory):
                         yield info.base_name, info.type == fs.FileType.Directory, info.size
-            elif os.path.isdir(path):
-                with os.scandir(path) as entries:
+            elif as_source or os.path.isdir(path):
+                with os.scandir(path or "/") as entries:
                     for entry in entries:
-                        if entry.is_dir(follow_symlinks=False):
+                        if as_source and hidden(entry.name, entry.is_dir()):
+                            continue
+                        if entry.is_dir(follow_symlinks=as_source):
                             yield entry.name, True, None
                         elif entry.is_file():
                             yield entry.name, False, entry.stat().st_size
@@ -366,14 +439,19 @@ def _list_directories(folders: DataFrame, root: str, recursive: bool) -> DataFra
     return folders.repartition(tasks).mapInArrow(walk, _ENTRY)
 
 
-def read_contents(listing: DataFrame, task_bytes: int = 128 * 1024 * 1024) -> DataFrame:
+def read_contents(
+    listing: DataFrame, task_bytes: int = 128 * 1024 * 1024, missing: str = "null"
+) -> DataFrame:
     """Add the bytes of every listed file, about ``task_bytes`` of them in each task.
 
     The listing is written to the checkpoint folder, since listing again costs as much as
     listing first, and its total length sets the number of tasks. Rows are spread by path,
     so a repository with very many files is read by many tasks. A file that has disappeared
-    gets null; any other error fails the task, which Spark then tries again.
+    gets null, or fails the task with ``missing="error"``; any other error fails the task, which
+    Spark then tries again.
     """
+    if missing not in ("null", "error"):
+        raise ValueError("missing must be 'null' or 'error'")
     fields = CONTENTS.names
     resolve = _file_systems()
 
@@ -386,9 +464,11 @@ def read_contents(listing: DataFrame, task_bytes: int = 128 * 1024 * 1024) -> Da
                     files, inner = resolve(path)
                     with files.open_input_stream(inner) as handle:
                         return handle.read()
-                with open(path, "rb") as handle:
+                with open(path.removeprefix("file:"), "rb") as handle:
                     return handle.read()
             except FileNotFoundError:
+                if missing == "error":
+                    raise
                 return None
 
         def flush(rows):

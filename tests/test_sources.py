@@ -386,6 +386,49 @@ def test_landed_scan_opens_no_file_in_vain(spark, tree):
     assert repos == {"ann/tool", "bob/tool"}
 
 
+@pytest.fixture(scope="module")
+def bushy(tmp_path_factory):
+    """A folder for each file, odd names, links, and what Spark's sources do not see."""
+    root = tmp_path_factory.mktemp("bushy [x]")
+    names = [f"r{n % 3}/s/part{n}/d/f{n}.py" for n in range(300)]
+    names += [
+        "r/s/sp ace+%41.py", "r/s/é\U0001F600.py", "r/s/q?[1]{2}.py", "r/s/new\nline.py", "r/s/_k=v.py",
+        "r/s/_metadata_x/f.py", "_o=1/s/f.py", "top.py", "r/mid.py", "r/s/_f.py", "r/s/.h", "r/s/_metadata",
+        "r/s/x._COPYING_", "r/s/y._COPYING_/z.py", "r/s/.git/c.py", "_o/s/f.py", "r/.s/f.py", "r/s/c/d/e.py",
+    ]
+    for name in names:
+        path = root / name
+        path.parent.mkdir(parents=True, exist_ok=True)
+        path.write_bytes(b"0123456789 0123456789 " + name.encode())
+    (root / "r/s/empty.py").write_bytes(b"")
+    (root / "r/s/gone.py").symlink_to(root / "nothing")
+    (root / "r/s/file.py").symlink_to(root / "r/s/c/d/e.py")
+    (root / "r/s/folder").symlink_to(root / "r/s/c")
+    return str(root)
+
+
+def test_landed_scan_sees_what_the_file_source_sees(spark, bushy):
+    literal = bushy.replace("[", "\\[").replace("]", "\\]")
+    source = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(literal)
+    depth = F.size(F.split(F.substr("path", F.lit(len(f"file:{bushy}/") + 1)), "/"))
+    want = sorted(map(tuple, source.filter(depth > 2).select("path", "length", "content").collect()))
+    for root in (bushy, bushy + "/", "file:" + bushy, "file://" + bushy):
+        rows = readers.scan_landed(spark, root)
+        assert sorted(map(tuple, rows.select("file_path", "length", "content").collect())) == want
+    named = F.concat(F.lit(f"file:{bushy}/"), "repo_name", F.lit("/"), "file_name") == F.col("file_path")
+    assert len(want) == 310 and rows.filter(~named).count() == 0
+    with pytest.raises(Exception, match="No such file"):
+        readers.scan_landed(spark, bushy + "/absent").count()
+
+
+def test_tasks_list_a_landed_tree(spark, bushy):
+    """Neither the driver's index nor the tasks of the scan grow with the files."""
+    rows = readers.scan_landed(spark, bushy)
+    assert "parquet" in rows._jdf.queryExecution().executedPlan().toString()
+    assert not any(path.endswith(".py") for path in rows.inputFiles())
+    assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+
+
 def test_long_text_in_four_bytes_a_character(spark, tmp_path):
     path = tmp_path / "a/b/c.txt"
     path.parent.mkdir(parents=True)
