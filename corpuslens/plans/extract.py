@@ -9,7 +9,13 @@ from corpuslens.functions.decoding import decode_first_fit, decode_text, is_text
 from corpuslens.functions.paths import has_valid_name
 from corpuslens.functions.text import keep_text
 from corpuslens.operators.reports import chunk_success, repo_success, running_mean
-from corpuslens.sources.readers import list_repositories, read_contents, scan_landed
+from corpuslens.sources.readers import (
+    list_landed,
+    list_repositories,
+    on_disk,
+    read_contents,
+    scan_landed,
+)
 
 # A character takes four bytes at most, and a byte order mark as many more.
 _BYTES_PER_CHAR = 4
@@ -69,12 +75,17 @@ def extract_landed(
     min_chars: int = 16,
     charsets: Sequence[str] | None = None,
 ) -> DataFrame:
-    """Text of every acceptable file below ``root`` in one scan of Spark's own file source.
+    """Text of every acceptable file below ``root``, without a list of repositories.
 
     As ``extract``, for whole trees without names that begin with an underscore and without
-    hidden folders, which that source does not see. Nothing is shuffled or stored in between.
+    hidden folders, which Spark's file sources do not see. On a mounted disk tasks list the tree
+    and read what is wanted of it; other stores are read in one scan of Spark's own file source.
     """
-    files = scan_landed(spark, root).filter(_wanted(additional_extensions, match_on, max_mb, min_chars))
+    wanted = _wanted(additional_extensions, match_on, max_mb, min_chars)
+    if on_disk(spark, root):
+        files = read_contents(list_landed(spark, root).filter(wanted), missing="error")
+    else:
+        files = scan_landed(spark, root).filter(wanted)
     return archive_rows(files, fallback, max_mb, min_chars, charsets)
 
 

@@ -429,6 +429,21 @@ def test_tasks_list_a_landed_tree(spark, bushy):
     assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
 
 
+def test_landed_files_are_read_by_few_tasks(spark, bushy, tmp_path):
+    rows = extract_landed(spark, bushy)
+    assert rows.rdd.getNumPartitions() <= spark.sparkContext.defaultParallelism
+    assert rows.count() == 310
+    path = tmp_path / "a/b/c.py"
+    path.parent.mkdir(parents=True)
+    path.write_text(LONG)
+    rows = extract_landed(spark, str(tmp_path))
+    path.unlink()
+    with pytest.raises(Exception, match="No such file"):
+        rows.collect()
+    with pytest.raises(ValueError):
+        readers.read_contents(readers.list_landed(spark, bushy), missing="skip")
+
+
 def test_long_text_in_four_bytes_a_character(spark, tmp_path):
     path = tmp_path / "a/b/c.txt"
     path.parent.mkdir(parents=True)
