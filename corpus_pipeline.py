@@ -3,9 +3,13 @@
 A stage reads ``doc_id`` and ``text`` and carries every other column along under a name of its
 own, whatever its name and type. In all stages a null text is an empty one, rows without ``doc_id``
 are compared with no other row and come back with their texts unless they are toxic, an empty
-table gives no rows, and long texts are worked on as a whole.
+table gives no rows, and long texts are worked on as a whole. Stages limit the bytes of the
+session's Arrow batches, see ``small_batches``; ``run`` puts the limit back.
 """
 
+from collections.abc import Callable
+from functools import wraps
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -18,7 +22,18 @@ from corpuslens.llm import (
     toxicity,
 )
 from corpuslens.llm.queries import fold, table
-from corpuslens.session import materialize
+from corpuslens.session import BATCH_BYTES, materialize, small_batches
+
+
+def bounded(stage: Callable) -> Callable:
+    """``stage`` with small Arrow batches: whole texts go to Python workers in each of them."""
+
+    @wraps(stage)
+    def run_bounded(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        small_batches(spark)
+        return stage(spark, docs, sf_dir)
+
+    return run_bounded
 
 
 def renamed(docs: DataFrame) -> tuple[DataFrame, str, str]:
@@ -32,6 +47,7 @@ def named(rows: DataFrame, docs: DataFrame) -> DataFrame:
     return rows.select(*[f"c{i}" for i in range(len(docs.columns))]).toDF(*docs.columns)
 
 
+@bounded
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the toxicity model does not reject.
 
@@ -49,6 +65,7 @@ def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return named(scored.filter("predicted = 0"), docs)
 
 
+@bounded
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The first document of every group linked by a similarity of 0.8 of five-word shingles.
 
@@ -69,6 +86,7 @@ def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return named(rest.unionByName(least), docs)
 
 
+@bounded
 def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Texts without the passages that stand earlier already; untouched texts stay as they are.
 
@@ -85,6 +103,7 @@ def cut_repeated_passages(spark: SparkSession, docs: DataFrame, sf_dir: str) ->
     return named(cut, docs)
 
 
+@bounded
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that are not contaminated by the benchmark.
 
@@ -96,6 +115,7 @@ def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return named(rows.join(bad, key, "left_anti"), docs)
 
 
+@bounded
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of all documents and their places in sequences; an empty text is one token."""
     return cutting_stock.pack_cutting_stock(docs.select("doc_id", "text"), tokens.default_path())
@@ -115,7 +135,10 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the documents; what each returns is written and read by the next."""
-    rows = table(spark, sf_dir, "documents")
-    for _, stage in STAGES:
-        rows = materialize(stage(spark, rows, sf_dir))
+    rows, before = table(spark, sf_dir, "documents"), spark.conf.get(BATCH_BYTES)
+    try:
+        for _, stage in STAGES:
+            rows = materialize(stage(spark, rows, sf_dir))
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
     return rows

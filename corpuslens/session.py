@@ -51,6 +51,21 @@ def use_checkpoint_dir(spark: SparkSession) -> None:
         raise RuntimeError("set spark.checkpoint.dir to a folder shared by all executors")
 
 
+# Bytes of a batch of rows on its way to a Python worker.
+BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Send rows to Python workers in Arrow batches of about 4 MB, or of one longer row.
+
+    An executor holds a batch of each task several times outside its heap: the vectors, twice
+    while they grow, the message that is being sent, and the rows in the worker. At Spark's
+    64 MB that is some hundred MB a task. The setting stays in the session, since a DataFrame
+    that was made under it runs later.
+    """
+    spark.conf.set(BATCH_BYTES, "4m")
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A new path in the checkpoint folder."""
     use_checkpoint_dir(spark)

@@ -3,12 +3,13 @@
 import random
 
 import brute
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
 from corpuslens.llm import queries
-from corpuslens.session import materialize
+from corpuslens.session import BATCH_BYTES, materialize
 
 SF = "/root/testdata/sf0.001"
 
@@ -147,3 +148,39 @@ def test_stages_survive_odd_rows_and_columns(spark, number):
         assert out.filter("doc_id in (3, 4) and n_chars <> length(text)").count() == 0
     else:
         assert all(got[k] == want[k] for k in got) and set(got) == set(want)
+
+
+def test_texts_go_to_workers_in_small_batches(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.nbytes])], names=["n"])
+
+    before = spark.conf.get(BATCH_BYTES)
+    word = F.concat(F.lit("w"), F.col("id").cast("string"), F.lit(" "))
+    docs = spark.range(0, 1500, 1, 1).select(F.col("id").alias("doc_id"), F.repeat(word, 3000).alias("text"))
+    try:
+        for name, stage in corpus_pipeline.STAGES[:4]:
+            spark.conf.set(BATCH_BYTES, "64m")
+            stage(spark, docs.limit(0), SF)
+            found = docs.mapInArrow(sizes, "n bigint").collect()
+            assert len(found) > 1 and max(r[0] for r in found) < 5_000_000, name
+    finally:
+        spark.conf.set(BATCH_BYTES, before)
+
+
+def test_run_puts_the_limit_of_batches_back(spark, monkeypatch):
+    before, seen = spark.conf.get(BATCH_BYTES), []
+
+    def stage(spark, docs, sf_dir):
+        seen.append(spark.conf.get(BATCH_BYTES))
+        if len(seen) > 1:
+            raise ValueError("stop")
+        return docs
+
+    monkeypatch.setattr(corpus_pipeline, "STAGES", [("one", corpus_pipeline.bounded(stage))])
+    rows = corpus_pipeline.run(spark, SF)
+    assert seen == ["4m"] and spark.conf.get(BATCH_BYTES) == before
+    assert rows.count() == spark.read.parquet(f"{SF}/documents.parquet").count()
+    with pytest.raises(ValueError, match="stop"):
+        corpus_pipeline.run(spark, SF)
+    assert spark.conf.get(BATCH_BYTES) == before
