@@ -2,6 +2,7 @@
 
 import random
 import re
+import time
 from collections import defaultdict
 
 import numpy as np
@@ -65,6 +66,29 @@ def test_odd_contamination(spark):
     assert decontamination.decontaminate(docs.limit(0), items).count() == 0
 
 
+def test_words_are_all_but_ascii_signs(spark):
+    chars = [*map(chr, range(1, 0x300)), "\ud7ff", "\ue000", "\ufffd", "\uffff", "\U00010000", "\U0010ffff", "İ", "K"]
+    texts = ["A" + "".join(chars), *(f"Xy{c}9" for c in chars), "\x00a\x00", "", None]
+    out = spark.createDataFrame(list(enumerate(texts)), "i int, text string")
+    out = {r["i"]: r["w"] for r in out.select("i", decontamination.words_of(F.col("text")).alias("w")).collect()}
+    small = str.maketrans(decontamination.UPPER, decontamination.SMALL)
+    for i, text in enumerate(texts):
+        assert out[i] == re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (text or "").translate(small))
+
+
+def test_words_are_matched_as_fast_as_plain_ones(spark):
+    text = F.repeat(F.concat(F.col("id").cast("string"), F.lit(" onouwh the tinti étréa, anhe... ")), 2000)
+    texts = spark.range(0, 100, 1, 2).select(text.alias("text")).localCheckpoint()
+
+    def seconds(pattern):
+        begin = time.perf_counter()
+        texts.agg(F.sum(F.size(F.regexp_extract_all("text", F.lit(pattern), F.lit(0))))).collect()
+        return time.perf_counter() - begin
+
+    rounds = [(seconds(decontamination.WORD), seconds("[a-z]+")) for _ in range(5)]
+    assert min(r[0] for r in rounds) < 2.5 * min(r[1] for r in rounds)
+
+
 def test_chats_round_trip(spark):
     rng = random.Random(4)
     bits = ["\\", "-", "</turn>", "\n", "### ", "assistant", ":", "<", "/turn>", "é", "a", "#", "\\-", "\\\\", " "]
